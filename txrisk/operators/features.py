@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -50,40 +50,47 @@ def _row_windows(
     wanted: dict[str, dict[str, str]],
     frames: Sequence[int],
     hot_rows: int | None,
+    earlier: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Row-frame statistics for several keys.
 
     ``wanted`` maps a key column to ``{"count": name, "mean": name}``.  Each key
     costs one exchange.  A key value with more than ``hot_rows`` rows is cut into
     slices; each slice brings along the rows just before it, so frames that reach
-    back over a cut stay whole.
+    back over a cut stay whole.  ``earlier`` holds, per key column, rows that come
+    before those of ``df`` and count in their frames only.
     """
+    earlier = earlier or {}
     out = [*df.columns]
     rows = df.withColumn("_at", epoch_micros(TIME))
-    narrow = rows.select(*wanted, "_at", TIME, ID, AMOUNT)
-    lead_ins, names = {}, {key: [] for key in wanted}
-    for key in wanted if hot_rows is not None else ():
-        cuts = hot_slices(narrow, key, "_at", ID, hot_rows)
+    base = rows
+    for key, stats in wanted.items():
+        narrow = base.select(key, "_at", TIME, ID, AMOUNT)
+        extra = []
+        if key in earlier:
+            extra = [earlier[key].select(key, TIME, ID, AMOUNT).withColumn("_at", epoch_micros(TIME))]
+            narrow = narrow.unionByName(extra[0])
+        cuts = [] if hot_rows is None else hot_slices(narrow, key, "_at", ID, hot_rows)
+        names = slice_names(key, len(cuts))
         if cuts:
-            names[key] = slice_names(key, len(cuts))
             rows = apply_slices(rows, key, "_at", ID, cuts)
+            extra = [apply_slices(e, key, "_at", ID, cuts) for e in extra]
             hot = apply_slices(rows_of_hot_keys(narrow, key, cuts[0]), key, "_at", ID, cuts)
-            lead_ins[key] = lead_in(hot, key, names[key], [TIME, ID], [AMOUNT], max(frames))
-    for key, stats in wanted.items():
-        if key in lead_ins:
-            rows = rows.withColumn("_lead_in", F.lit(False)).unionByName(
-                lead_ins[key].withColumn("_lead_in", F.lit(True)), allowMissingColumns=True
-            )
+            extra.append(lead_in(hot, key, names, [TIME, ID], [AMOUNT], max(frames)))
+        if extra:
+            rows = rows.withColumn("_extra", F.lit(False))
+            for e in extra:
+                rows = rows.unionByName(e.withColumn("_extra", F.lit(True)), allowMissingColumns=True)
         columns = {}
         for n in frames:
-            frame = row_frame([key, *names[key]], n)
+            frame = row_frame([key, *names], n)
             if "count" in stats:
                 columns[stats["count"].format(n)] = F.count(ID).over(frame).cast("float")
             if "mean" in stats:
                 columns[stats["mean"].format(n)] = F.avg(AMOUNT).over(frame)
         rows = rows.withColumns(columns)
-        if key in lead_ins:
-            rows = rows.filter(~F.col("_lead_in")).drop("_lead_in", *names[key])
+        if extra:
+            rows = rows.filter(~F.col("_extra")).drop("_extra", *names)
         out += list(columns)
     return rows.select(*out)
 
@@ -182,6 +189,13 @@ def _day_windows_of_key(
     return done.select(*columns, *named)
 
 
+def last_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The last ``n`` rows of each key, as far as later frames need them; cut before the shuffle."""
+    newest = Window.partitionBy(key).orderBy(F.col(TIME).desc(), F.col(ID).desc())
+    ranked = rows.select(key, TIME, ID, AMOUNT).withColumn("_rank", F.row_number().over(newest))
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+
+
 def _wanted() -> dict[str, dict[str, str]]:
     return {
         CUSTOMER: {"count": CUSTOMER_COUNT, "mean": CUSTOMER_MEAN},
@@ -225,14 +239,18 @@ def rolling_features(
     frames: Sequence[int] = FRAMES,
     frames_by: str = "rows",
     hot_rows: int | None = HOT_ROWS,
+    earlier: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Count and mean per customer, and count per terminal, over each frame.
 
     ``frames_by="rows"`` takes the current row and ``n`` before it;
     ``frames_by="days"`` takes everything up to ``n`` days back.  ``hot_rows`` is the
     number of rows above which one customer or terminal is cut into several
-    window partitions; None never cuts.
+    window partitions; None never cuts.  ``earlier`` gives, for row frames and per key
+    column, the :func:`last_rows` of what came before ``df``.
     """
+    if earlier and frames_by == "rows":
+        return _row_windows(df, _wanted(), frames, hot_rows, earlier)
     return _rolling(df, _wanted(), frames, frames_by, hot_rows)
 
 

@@ -1,0 +1 @@
+"""Training and the composite jobs."""

@@ -21,8 +21,12 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_TX)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write rows in the form :func:`read_raw_csv` reads."""
-    df.write.mode(mode).option("header", "false").csv(path)
+    """Write rows in the form :func:`read_raw_csv` reads: every file has a ``#`` header line.
+
+    The writer is told another comment sign, or it would quote the header.
+    """
+    first = df.columns[0]
+    df.withColumnRenamed(first, f"#{first}").write.mode(mode).options(header="true", comment="~").csv(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

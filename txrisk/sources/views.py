@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions import epoch_seconds
-from txrisk.schema import RAW_TX
+from txrisk.operators import features
+from txrisk.schema import FEATURES, MESSAGE_FIELDS, RAW_TX
+from txrisk.streaming.messages import encode, to_messages
 
 #: 2024-01-01 00:00:00
 FIRST_SECOND = 1_704_067_200
@@ -63,3 +65,23 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
         .withColumn("prediction_old", (F.col("score_old") >= 0.5).cast("int"))
     )
+
+
+def keyed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with the transaction id kept, to key messages with."""
+    rolled = features.to_epoch(features.rolling_features(transactions(spark, sf_dir)))
+    return rolled.select("transaction_id", *FEATURES.names)
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``(key, value)`` message per transaction."""
+    return to_messages(keyed_features(spark, sf_dir), key="transaction_id")
+
+
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which every 7th is no JSON, every 11th lacks a field and every 13th has a text in one."""
+    every = lambda n: F.col("transaction_id") % n == 0
+    rest = [f for f in MESSAGE_FIELDS if f != "tx_amount"]
+    texted = F.to_json(F.struct(F.lit("much").alias("tx_amount"), *rest))
+    value = F.when(every(7), "not json").when(every(11), encode(rest)).when(every(13), texted).otherwise(encode())
+    return keyed_features(spark, sf_dir).select(F.col("transaction_id").cast("string").alias("key"), value.alias("value"))

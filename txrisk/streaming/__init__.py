@@ -1,0 +1,23 @@
+"""Structured Streaming: messages, scoring, replies, counts and keyed rolling features."""
+
+from txrisk.streaming.messages import decode, encode, mark, read_messages, replay, to_messages, write_messages
+from txrisk.streaming.replies import match_replies
+from txrisk.streaming.rolling import rolling_features_batches, rolling_features_stream
+from txrisk.streaming.scoring import prediction_counts, predictions, progress_rows, score_stream
+
+__all__ = [
+    "decode",
+    "encode",
+    "mark",
+    "match_replies",
+    "prediction_counts",
+    "predictions",
+    "progress_rows",
+    "read_messages",
+    "replay",
+    "rolling_features_batches",
+    "rolling_features_stream",
+    "score_stream",
+    "to_messages",
+    "write_messages",
+]
