@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions import columns as fx
 from txrisk.schema import IQR_COLUMNS, NON_NEGATIVE
+from txrisk.session import settle
 
 #: exact quantiles are read off directly once at most this many rows are left
 EXACT_ROWS = 1_000_000
@@ -263,9 +264,10 @@ def report(
     """What each cleaning rule removes from the rows the rules before it left.
 
     Rows ``(step, rule, rows_in, rows_removed)``.  A bad date is blanked, not
-    removed, so the outlier rule still sees its row.
+    removed, so the outlier rule still sees its row.  The de-duplicated table is
+    written once, since the fences and the counts both read it.
     """
-    unique = dedup(raw, keys)
+    unique = settle(dedup(raw, keys), "unique")
     inside = within(fences(drop_invalid(unique, columns), iqr_columns, k, **options))
     valid = F.coalesce(is_valid(columns), F.lit(False))
     counts = unique.agg(

@@ -25,7 +25,7 @@ def clean(
     k: float = 1.5,
     mode: str = "sequential",
     exact: bool = False,
-    staged: bool = False,
+    staged: bool = True,
 ) -> DataFrame:
     """De-duplicate, drop invalid rows, parse dates and drop outliers.
 
@@ -112,11 +112,11 @@ def train_validated(
     prepared.unpersist()
     model = PipelineModel(stages=[*prep.stages, tuned.bestModel])
 
-    models = {"new": ("score", "prediction")}
-    judged = _scored(model, held_out.drop("_row"), "")
-    if previous is not None:
-        judged = _scored(previous, judged, "_old")
-        models["old"] = ("score_old", "prediction_old")
+    judged, models = held_out.drop("_row"), {}
+    for name, m in {"new": model, "old": previous}.items():
+        if m is not None:
+            models[name] = (f"score_{name}", f"prediction_{name}")
+            judged = _scored(m, judged, *models[name])
     judged = settle(judged.select(LABEL, *[c for pair in models.values() for c in pair]), "judged")
     compared = evaluate.compare_models(judged, models)
     sweep = evaluate.threshold_sweep(evaluate.stack_models(judged, models), by=["model"])
@@ -124,10 +124,10 @@ def train_validated(
     return Trained(model, train.best_params(feature_tx, tuned.bestModel), metrics, sweep)
 
 
-def _scored(model: PipelineModel, df: DataFrame, suffix: str) -> DataFrame:
+def _scored(model: PipelineModel, df: DataFrame, score: str, prediction: str) -> DataFrame:
     """Add score and prediction of a model, and none of the columns it makes on the way."""
-    predicted = evaluate.scores(train.score(model, df), output=f"score{suffix}")
-    return predicted.select(*df.columns, f"score{suffix}", F.col("prediction").alias(f"prediction{suffix}"))
+    predicted = evaluate.scores(train.score(model, df), output=score)
+    return predicted.select(*df.columns, score, F.col("prediction").alias(prediction))
 
 
 def score_stream(

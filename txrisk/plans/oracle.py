@@ -241,7 +241,9 @@ def statements() -> dict[str, str]:
         + _pick(*_IDS, *[f"avg_transaction_terminal_id_count_{n}" for n in FRAMES])
         + " FROM rolled",
         "rolling_features": f"WITH {_ROWS} SELECT {_ROLLED} FROM rolled",
-        "rolling_features_days": f"WITH {_DAYS} SELECT {_ROLLED} FROM rolled",
+        # half a unit in the sixth place is possible (a frame of 32 rows); both sides lift it off the edge
+        "rolling_features_days": f"""WITH {_DAYS} SELECT {_ROLLED} FROM (SELECT * REPLACE (
+            {", ".join(f"avg_transaction_mean_{n} + 1e-9 AS avg_transaction_mean_{n}" for n in FRAMES)}) FROM rolled)""",
         "feature_table": f"WITH {_ROWS} SELECT {_pick(*MESSAGE_FIELDS[:4], 'tx_fraud', *MESSAGE_FIELDS[4:])} FROM ({epoch_rolled})",
         # sorting, sampling, balancing
         "sorted_topn": f"{tx} SELECT {_TEXTED} FROM (SELECT * FROM tx ORDER BY tx_amount DESC, transaction_id LIMIT 100)",
@@ -317,7 +319,7 @@ def statements() -> dict[str, str]:
             CASE WHEN transaction_id % 7 = 0 THEN '{",".join(MESSAGE_FIELDS)}' ELSE 'tx_amount' END AS rejected
             FROM tx WHERE transaction_id % 7 = 0 OR transaction_id % 11 = 0 OR transaction_id % 13 = 0""",
         "stream_rolling_features": f"WITH {_ROWS} SELECT {_ROLLED} FROM rolled",
-        "prediction_counts": f"""{sc} SELECT (floor(epoch(tx_datetime)) // 3600 * 3600)::BIGINT AS window_start,
+        "prediction_counts": f"""{sc} SELECT (floor(epoch(tx_datetime))::BIGINT // 3600) * 3600 AS window_start,
             count(*) AS predictions, count(*) FILTER (WHERE prediction = 1) AS positives FROM scored GROUP BY 1""",
         "match_replies": f"""{tx} SELECT transaction_id::VARCHAR AS key, 'request' AS value, sent AS ts,
             CASE WHEN d <= 60 THEN 'reply after ' || d::VARCHAR END AS reply,
