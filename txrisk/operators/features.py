@@ -45,6 +45,11 @@ def row_frame(keys: str | Sequence[str], n: int) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(TIME, ID).rowsBetween(-n, 0)
 
 
+def _position() -> Column:
+    """Microseconds for slicing; rows without a time sort first, as they do in a window."""
+    return F.coalesce(epoch_micros(TIME), F.lit(-(2**61)))
+
+
 def _row_windows(
     df: DataFrame,
     wanted: dict[str, dict[str, str]],
@@ -62,13 +67,13 @@ def _row_windows(
     """
     earlier = earlier or {}
     out = [*df.columns]
-    rows = df.withColumn("_at", epoch_micros(TIME))
+    rows = df.withColumn("_at", _position())
     base = rows
     for key, stats in wanted.items():
         narrow = base.select(key, "_at", TIME, ID, AMOUNT)
         extra = []
         if key in earlier:
-            extra = [earlier[key].select(key, TIME, ID, AMOUNT).withColumn("_at", epoch_micros(TIME))]
+            extra = [earlier[key].select(key, TIME, ID, AMOUNT).withColumn("_at", _position())]
             narrow = narrow.unionByName(extra[0])
         cuts = [] if hot_rows is None else hot_slices(narrow, key, "_at", ID, hot_rows)
         names = slice_names(key, len(cuts))

@@ -20,13 +20,16 @@ HOT_ROWS = 1_000_000
 #: is hot only above total / MAX_HOT rows.  It bounds every broadcast made here.
 MAX_HOT = 100_000
 
-SLICE_LEVELS = 2
+#: how often a slice that is still too large is cut again; each level costs a pass over hot keys,
+#: and none is made once all slices are small
+SLICE_LEVELS = 8
 
 
 def hot_groups(rows: DataFrame, by: list[str], hot_rows: int, total: Column, stats: dict[str, Column]) -> DataFrame:
     """Groups with more than ``max(hot_rows, total / MAX_HOT)`` rows; fewer than ``MAX_HOT``."""
     counted = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in stats.items()])
-    return counted.filter(F.col("_n") > F.greatest(F.lit(hot_rows), total / MAX_HOT))
+    limit = F.greatest(F.lit(hot_rows).cast("double"), total / MAX_HOT)
+    return counted.withColumn("_limit", limit).filter(F.col("_n") > F.col("_limit"))
 
 
 def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -64,7 +67,7 @@ def hot_slices(
     in_time = F.col("_hi") > F.col("_lo")
     first = F.when(in_time, F.col("_lo")).otherwise(F.col("_id_lo"))
     span = F.when(in_time, F.col("_hi") - F.col("_lo")).otherwise(F.col("_id_hi") - F.col("_id_lo")) + 1
-    parts = F.ceil(2 * F.col("_n") / F.lit(hot_rows))
+    parts = F.ceil(2 * F.col("_n") / F.col("_limit"))
     width = F.greatest(F.lit(1), F.ceil(span / parts)).cast("long")
     tables: list[DataFrame] = []
     inside = narrow

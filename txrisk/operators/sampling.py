@@ -76,8 +76,7 @@ def oversample(df: DataFrame, label: str = LABEL, strict: bool = False) -> DataF
     Copies are made where the row lies, so nothing is shuffled; the factor is a
     scalar subquery, so ``df`` is read once for it and once for the rows.
     """
-    factor = class_ratio(df, label, strict).select("factor").scalar()
-    if strict:
-        factor = F.coalesce(factor, F.raise_error(F.lit("no positive rows")).cast("int"))
+    undefined = F.raise_error(F.lit("no positive rows")).cast("int")
+    factor = class_ratio(df, label, strict).select(F.coalesce("factor", undefined)).scalar()
     positive = F.when(F.col(label) == 1, factor).when(F.col(label) == 0, 1).otherwise(0)
     return replicate(df, positive)
