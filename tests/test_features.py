@@ -63,7 +63,7 @@ def test_hot_slices_stay_small(spark, skewed):
     from txrisk.operators.hotkeys import apply_slices, hot_slices, slice_names
 
     df = skewed.withColumn("_at", features._position())
-    cuts = hot_slices(df, "terminal_id", "_at", "transaction_id", hot_rows=50)
+    cuts = hot_slices(df, "terminal_id", "_at", "transaction_id", limit=50)
     names = slice_names("terminal_id", len(cuts))
     sliced = apply_slices(df, "terminal_id", "_at", "transaction_id", cuts)
     assert df.filter("terminal_id = 7").count() > 500

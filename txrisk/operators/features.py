@@ -11,9 +11,8 @@ from txrisk.functions import epoch_micros, epoch_seconds
 from txrisk.operators.hotkeys import (
     HOT_ROWS,
     apply_slices,
-    hot_keys,
+    hot_limits,
     hot_slices,
-    join_hot,
     lead_in,
     rows_of_hot_keys,
     slice_names,
@@ -32,8 +31,6 @@ CUSTOMER_MEAN = "avg_transaction_mean_{}"
 TERMINAL_COUNT = "avg_transaction_terminal_id_count_{}"
 
 DAY = 86_400
-#: seconds per slot for hot keys in day frames; divides a day
-HOT_SLOT = 900
 
 
 def row_frame(keys: str | Sequence[str], n: int) -> WindowSpec:
@@ -68,19 +65,18 @@ def _row_windows(
     earlier = earlier or {}
     out = [*df.columns]
     rows = df.withColumn("_at", _position())
-    base = rows
+    before = {key: e.select(key, TIME, ID, AMOUNT).withColumn("_at", _position()) for key, e in earlier.items()}
+    narrow = {key: rows.select(key, "_at", TIME, ID, AMOUNT) for key in wanted}
+    narrow = {key: n.unionByName(before[key]) if key in before else n for key, n in narrow.items()}
+    limits = {} if hot_rows is None else hot_limits(narrow, hot_rows)
     for key, stats in wanted.items():
-        narrow = base.select(key, "_at", TIME, ID, AMOUNT)
-        extra = []
-        if key in earlier:
-            extra = [earlier[key].select(key, TIME, ID, AMOUNT).withColumn("_at", _position())]
-            narrow = narrow.unionByName(extra[0])
-        cuts = [] if hot_rows is None else hot_slices(narrow, key, "_at", ID, hot_rows)
+        extra = [before[key]] if key in before else []
+        cuts = hot_slices(narrow[key], key, "_at", ID, limits[key]) if key in limits else []
         names = slice_names(key, len(cuts))
         if cuts:
             rows = apply_slices(rows, key, "_at", ID, cuts)
             extra = [apply_slices(e, key, "_at", ID, cuts) for e in extra]
-            hot = apply_slices(rows_of_hot_keys(narrow, key, cuts[0]), key, "_at", ID, cuts)
+            hot = apply_slices(rows_of_hot_keys(narrow[key], key, cuts[0]), key, "_at", ID, cuts)
             extra.append(lead_in(hot, key, names, [TIME, ID], [AMOUNT], max(frames)))
         if extra:
             rows = rows.withColumn("_extra", F.lit(False))
@@ -100,89 +96,64 @@ def _row_windows(
     return rows.select(*out)
 
 
-def _day_windows(
-    df: DataFrame,
-    wanted: dict[str, dict[str, str]],
-    frames: Sequence[int],
-    hot_rows: int | None,
-) -> DataFrame:
+def _day_windows(df: DataFrame, wanted: dict[str, dict[str, str]], frames: Sequence[int]) -> DataFrame:
     """Day-frame statistics: rows of the same key at most ``n * 86400`` seconds back.
 
-    A sliding range frame would visit every row of a 30-day frame for every row.
-    Instead time is cut into slots (a day; 15 minutes for hot keys), and a frame is
-    put together from three sums: the rows of this slot so far, the slots between,
-    and the rest of the slot the frame starts in.  Each is a running sum, so the
-    work is linear and a window partition holds the rows of one slot only.
+    All rows of a key in one second share a frame, so frames are worked out per key
+    and second and joined back.  However many rows a key or a second has, they are
+    counted up before the shuffle.
     """
     out = [*df.columns]
     rows = df.withColumn("_sec", epoch_seconds(TIME))
-    base = rows.select(*wanted, "_sec", ID, AMOUNT)
+    base = rows
     for key, stats in wanted.items():
-        rows = _day_windows_of_key(rows, base, key, stats, frames, hot_rows)
+        sums = _frames_by_second(base.select(key, "_sec", ID, AMOUNT), key, stats, frames)
+        sums = sums.withColumnsRenamed({key: "_key", "_sec": "_at"})
+        same = rows[key].eqNullSafe(sums["_key"]) & rows["_sec"].eqNullSafe(sums["_at"])
+        rows = rows.join(sums, same, "left").drop("_key", "_at")
         out += [stats[s].format(n) for n in frames for s in ("count", "mean") if s in stats]
     return rows.select(*out)
 
 
-def _day_windows_of_key(
-    rows: DataFrame,
-    base: DataFrame,
-    key: str,
-    stats: dict[str, str],
-    frames: Sequence[int],
-    hot_rows: int | None,
-) -> DataFrame:
-    columns = rows.columns
-
-    hot = None if hot_rows is None else hot_keys(base, key, hot_rows)
-
-    def with_slot(d: DataFrame) -> DataFrame:
-        width = F.lit(DAY)
-        if hot is not None:
-            d = join_hot(d, hot.withColumn("_hot", F.lit(True)), [key], "left")
-            width = F.when(F.col("_hot"), HOT_SLOT).otherwise(DAY)
-        d = d.withColumn("_width", width)
-        return d.withColumn("_start", (F.floor(F.col("_sec") / F.col("_width")) * F.col("_width")).cast("long"))
-
-    slotted = with_slot(rows).withColumn("_into", F.col("_sec") - F.col("_start"))
+def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames: Sequence[int]) -> DataFrame:
+    """Statistics of the frames that end in each second of each key.
 
+    A sliding range frame would visit every second of 30 days for every second.
+    Instead a frame is put together from three sums: this day so far, the days
+    between, and the rest of the day the frame starts in.  Each is a running sum, and a
+    window partition holds the seconds of one day.
+    """
     # what is added up: per statistic a value for each row
-    parts = {"n": F.when(F.col(ID).isNotNull(), 1).otherwise(0)} if "count" in stats else {}
+    parts = {"n": F.count(ID)} if "count" in stats else {}
     if "mean" in stats:
-        parts["priced"] = F.when(F.col(AMOUNT).isNotNull(), 1).otherwise(0)
-        parts["sum"] = F.coalesce(F.col(AMOUNT), F.lit(0.0))
+        parts |= {"priced": F.count(AMOUNT), "sum": F.coalesce(F.sum(AMOUNT), F.lit(0.0))}
+    seconds = base.groupBy(key, "_sec").agg(*[v.alias(p) for p, v in parts.items()])
+    seconds = seconds.withColumn("_day", F.floor(F.col("_sec") / DAY).cast("long"))
 
-    # totals of whole slots, and their sums over the slots a frame covers
-    totals = with_slot(base).groupBy(key, "_start").agg(*[F.sum(v).alias(p) for p, v in parts.items()])
-    per_key = Window.partitionBy(key).orderBy("_start")
-    spans = {n: per_key.rangeBetween(-n * DAY, -1) for n in frames}
+    # totals of whole days, and their sums over the days a frame covers up to today
+    totals = seconds.groupBy(key, "_day").agg(*[F.sum(p).alias(p) for p in parts])
+    by_day = Window.partitionBy(key).orderBy("_day")
     covered = totals.select(
         F.col(key).alias("_key"),
-        F.col("_start").alias("_slot"),
-        *[F.coalesce(F.sum(p).over(w), F.lit(0)).alias(f"_{p}_{n}") for n, w in spans.items() for p in parts],
+        F.col("_day").alias("_on"),
+        *[F.coalesce(F.sum(p).over(by_day.rangeBetween(-n, -1)), F.lit(0)).alias(f"{p}_{n}") for n in frames for p in parts],
     )
 
-    # each row also goes, bare, to the slot whose frames start in its own slot
-    ages = F.explode(F.array(F.lit(0), *[F.lit(n * DAY) for n in frames]))
-    bare = {c: F.when(F.col("_age") == 0, F.col(c)).alias(c) for c in columns if c not in (key, ID, AMOUNT)}
-    spread = slotted.withColumn("_age", ages).select(
-        *[bare.get(c, F.col(c)) for c in columns],
-        "_age",
-        "_into",
-        (F.col("_start") + F.col("_age")).alias("_start"),
-    )
-    same_slot = spread[key].eqNullSafe(covered["_key"]) & spread["_start"].eqNullSafe(covered["_slot"])
-    spread = spread.join(covered, same_slot, "inner").drop("_key", "_slot")
-    in_slot = Window.partitionBy(key, "_start").orderBy("_into")
-    so_far = in_slot.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = in_slot.rangeBetween(Window.unboundedPreceding, -1)
+    # each second also goes to the day whose frames start in its own day
+    spread = seconds.withColumn("_age", F.explode(F.array(F.lit(0), *[F.lit(n) for n in frames])))
+    spread = spread.withColumn("_day", F.col("_day") + F.col("_age"))
+    same_day = spread[key].eqNullSafe(covered["_key"]) & spread["_day"].eqNullSafe(covered["_on"])
+    spread = spread.join(covered, same_day, "inner").drop("_key", "_on")
+
+    in_day = Window.partitionBy(key, "_day").orderBy(F.col("_sec") + F.col("_age") * DAY)
+    so_far = in_day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = in_day.rangeBetween(Window.unboundedPreceding, -1)
 
     def running(age: int, part: str, frame: WindowSpec) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("_age") == age, parts[part])).over(frame), F.lit(0))
+        return F.coalesce(F.sum(F.when(F.col("_age") == age, F.col(part))).over(frame), F.lit(0))
 
     sums = {
-        f"_{p}_{n}": running(0, p, so_far) + F.col(f"_{p}_{n}") - running(n * DAY, p, earlier)
-        for n in frames
-        for p in parts
+        f"_{p}_{n}": running(0, p, so_far) + F.col(f"{p}_{n}") - running(n, p, earlier) for n in frames for p in parts
     }
     named = {}
     for n in frames:
@@ -191,7 +162,7 @@ def _day_windows_of_key(
         if "mean" in stats:
             named[stats["mean"].format(n)] = F.try_divide(F.col(f"_sum_{n}"), F.col(f"_priced_{n}"))
     done = spread.withColumns(sums).filter(F.col("_age") == 0).withColumns(named)
-    return done.select(*columns, *named)
+    return done.select(key, "_sec", *named)
 
 
 def last_rows(rows: DataFrame, key: str, n: int) -> DataFrame:
@@ -211,8 +182,9 @@ def _wanted() -> dict[str, dict[str, str]]:
 def _rolling(df, wanted, frames, frames_by, hot_rows):
     if frames_by not in ("rows", "days"):
         raise ValueError("frames_by is 'rows' or 'days'")
-    windows = _row_windows if frames_by == "rows" else _day_windows
-    return windows(df, wanted, frames, hot_rows)
+    if frames_by == "days":
+        return _day_windows(df, wanted, frames)
+    return _row_windows(df, wanted, frames, hot_rows)
 
 
 def rolling_count(
@@ -250,8 +222,8 @@ def rolling_features(
 
     ``frames_by="rows"`` takes the current row and ``n`` before it;
     ``frames_by="days"`` takes everything up to ``n`` days back.  ``hot_rows`` is the
-    number of rows above which one customer or terminal is cut into several
-    window partitions; None never cuts.  ``earlier`` gives, for row frames and per key
+    number of rows above which row frames of one customer or terminal are cut into
+    several window partitions; None never cuts.  ``earlier`` gives, for row frames and per key
     column, the :func:`last_rows` of what came before ``df``.
     """
     if earlier and frames_by == "rows":

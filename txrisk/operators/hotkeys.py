@@ -7,6 +7,7 @@ in time, so that each slice can be its own window partition.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 from operator import and_
 
@@ -25,39 +26,44 @@ MAX_HOT = 100_000
 SLICE_LEVELS = 8
 
 
-def hot_groups(rows: DataFrame, by: list[str], hot_rows: int, total: Column, stats: dict[str, Column]) -> DataFrame:
-    """Groups with more than ``max(hot_rows, total / MAX_HOT)`` rows; fewer than ``MAX_HOT``."""
-    counted = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in stats.items()])
-    limit = F.greatest(F.lit(hot_rows).cast("double"), total / MAX_HOT)
-    return counted.withColumn("_limit", limit).filter(F.col("_n") > F.col("_limit"))
+def hot_limits(rows: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> dict[str, float]:
+    """For each key that has hot values, the number of rows that makes a value hot.
 
-
-def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The hot values of ``key``, or None if there are none.
-
-    Runs one aggregation over the key column, so that the plan of the usual case,
-    no hot key at all, stays a plain window.
+    ``rows`` maps a key column to the rows to look at.  The limit is
+    ``max(hot_rows, total / MAX_HOT)``.  One job counts rows per value of every key,
+    combined before the shuffle.  It runs up front, so that the plan of the usual
+    case, no hot key at all, stays a plain window.
     """
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    return _fixed(hot_groups(rows.select(key), [key], hot_rows, total, {}).select(key))
+    sizes = [
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.lit(key).alias("key"), F.max("_n").alias("largest"), F.sum("_n").alias("total"))
+        for key, df in rows.items()
+    ]
+    limits = {}
+    for found in reduce(DataFrame.unionAll, sizes).collect():
+        limit = max(hot_rows, (found.total or 0) / MAX_HOT)
+        if (found.largest or 0) > limit:
+            limits[found.key] = limit
+    return limits
+
+
+def hot_groups(rows: DataFrame, by: list[str], limit: float, stats: dict[str, Column] | None = None) -> DataFrame:
+    """Groups with more than ``limit`` rows, where :func:`hot_limits` keeps them below ``MAX_HOT``."""
+    columns = {"_n": F.count(F.lit(1)), **(stats or {})}
+    return rows.groupBy(*by).agg(*[c.alias(n) for n, c in columns.items()]).filter(F.col("_n") > limit)
 
 
 def hot_slices(
-    rows: DataFrame,
-    key: str,
-    position: str,
-    tie_break: str,
-    hot_rows: int = HOT_ROWS,
-    levels: int = SLICE_LEVELS,
+    rows: DataFrame, key: str, position: str, tie_break: str, limit: float, levels: int = SLICE_LEVELS
 ) -> list[DataFrame]:
-    """How the hot values of ``key`` are cut: one bounded table per level, none if nothing is hot.
+    """How the values of ``key`` with more than ``limit`` rows are cut: one bounded table per level.
 
     Level one cuts the time a hot key spans into equal parts.  Each further level
     does the same inside a part that still holds too many rows, by ``tie_break`` if
     all of them share one position.
     """
     narrow = rows.select(key, position, tie_break)
-    total = narrow.agg(F.count(F.lit(1))).scalar()
     stats = {
         "_lo": F.min(position),
         "_hi": F.max(position),
@@ -67,25 +73,24 @@ def hot_slices(
     in_time = F.col("_hi") > F.col("_lo")
     first = F.when(in_time, F.col("_lo")).otherwise(F.col("_id_lo"))
     span = F.when(in_time, F.col("_hi") - F.col("_lo")).otherwise(F.col("_id_hi") - F.col("_id_lo")) + 1
-    parts = F.ceil(2 * F.col("_n") / F.col("_limit"))
+    parts = F.ceil(2 * F.col("_n") / F.lit(limit))
     width = F.greatest(F.lit(1), F.ceil(span / parts)).cast("long")
     tables: list[DataFrame] = []
     inside = narrow
     for level in range(levels):
         by = [key, *slice_names(key, level)]
-        hot = hot_groups(inside, by, hot_rows, total, stats)
+        hot = hot_groups(inside, by, limit, stats)
         table = _fixed(hot.select(*by, in_time.alias("_in_time"), first.alias("_first"), width.alias("_width")))
-        if table is None:
+        if table.isEmpty():
             break
         tables.append(table)
         inside = apply_slices(rows_of_hot_keys(narrow, key, tables[0]), key, position, tie_break, tables)
     return tables
 
 
-def _fixed(table: DataFrame) -> DataFrame | None:
+def _fixed(table: DataFrame) -> DataFrame:
     """Compute a table of hot groups (under ``MAX_HOT`` rows) once."""
-    found = table.collect()
-    return table.sparkSession.createDataFrame(found, table.schema) if found else None
+    return table.sparkSession.createDataFrame(table.collect(), table.schema)
 
 
 def slice_names(key: str, levels: int) -> list[str]:

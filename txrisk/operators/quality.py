@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from fractions import Fraction
 from functools import reduce
 from math import ceil
@@ -117,22 +118,22 @@ def pseudonymise(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
 # -- quantiles and interquartile fences ---------------------------------------
 
 
-def _exact_quantiles(df: DataFrame, column: str, qs: Sequence[float]) -> list:
-    """Per share ``q``, the smallest value with at least that share of the non-NULL values up to it."""
+def _exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], at_most: int | None = None) -> list:
+    """Per share ``q``, the smallest value with at least that share of the non-NULL values up to it.
+
+    ``at_most`` is a number of rows that ``df`` is known not to exceed.
+    """
     values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
-        return [None] * len(qs)
-    ranks = [max(1, ceil(Fraction(str(q)) * n)) for q in qs]
+    n = values.count() if at_most is None or at_most > EXACT_ROWS else at_most
     if n <= EXACT_ROWS:
-        return _pick(values, ranks)
-    return [_narrow(values, n, rank) for rank in ranks]
+        return _pick(values, [F.ceil(F.lit(Decimal(str(q))) * F.col("n_all")) for q in qs])
+    return [_narrow(values, n, max(1, ceil(Fraction(str(q)) * n))) for q in qs]
 
 
-def _pick(values: DataFrame, ranks: Sequence[int]) -> list:
+def _pick(values: DataFrame, ranks: Sequence[Column]) -> list:
     """Values of the given ranks among at most ``EXACT_ROWS`` rows."""
-    upto = F.sum("n").over(Window.orderBy("v"))
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumns({"upto": F.sum("n").over(Window.orderBy("v")), "n_all": F.sum("n").over(Window.partitionBy())})
     return list(counts.agg(*[F.min(F.when(F.col("upto") >= r, F.col("v"))) for r in ranks]).first())
 
 
@@ -154,7 +155,7 @@ def _narrow(values: DataFrame, n: int, rank: int):
         if low == high:
             return low
         values, n, rank = values.filter(inside), held, rank - below
-    return _pick(values, [rank])[0]
+    return _pick(values, [F.lit(rank)])[0]
 
 
 def _halve(values: DataFrame, rank: int):
@@ -177,10 +178,11 @@ def _halve(values: DataFrame, rank: int):
 
 
 def _quantile_values(
-    df: DataFrame, columns: Sequence[str], qs: Sequence[float], exact: bool, accuracy: int
+    df: DataFrame, columns: Sequence[str], qs: Sequence[float], exact: bool, accuracy: int, at_most: int | None = None
 ) -> dict[str, list]:
     if exact:
-        return {c: _exact_quantiles(df, c, qs) for c in columns}
+        at_most = at_most or df.count()
+        return {c: _exact_quantiles(df, c, qs, at_most) for c in columns}
     # every column in one pass, merged from fixed-size digests
     found = df.agg(*[F.percentile_approx(c, list(qs), accuracy).alias(c) for c in columns]).first()
     return {c: found[c] or [None] * len(qs) for c in columns}
@@ -228,9 +230,10 @@ def fences(
     if mode != "sequential":
         raise ValueError("mode is 'sequential' or 'joint'")
     result: dict[str, tuple[float, float]] = {}
+    rows = df.count() if exact else None
     for c in columns:
         kept = df.filter(within(result)) if result else df
-        result[c] = _fence(_quantile_values(kept, [c], (0.25, 0.75), exact, accuracy)[c], k)
+        result[c] = _fence(_quantile_values(kept, [c], (0.25, 0.75), exact, accuracy, rows)[c], k)
     return result
 
 

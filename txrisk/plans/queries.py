@@ -18,7 +18,7 @@ from txrisk import sources
 from txrisk.operators import evaluate, features, mlprep, quality, sampling
 from txrisk.plans import jobs, train
 from txrisk.schema import FRAMES, LABEL, MESSAGE_FIELDS, RAW_TX
-from txrisk.session import new_path
+from txrisk.session import new_path, settle
 from txrisk.sources import raw_transactions, scored, transactions
 from txrisk.streaming import (
     decode,
@@ -28,6 +28,7 @@ from txrisk.streaming import (
     predictions,
     read_messages,
     rolling_features_batches,
+    to_messages,
     write_messages,
 )
 
@@ -179,6 +180,12 @@ def clean_transactions(spark, sf_dir):
     return tidy(jobs.clean(raw_transactions(spark, sf_dir), CLEAN_FENCES, exact=True, staged=True))
 
 
+@query
+def clean_transactions_approx(spark, sf_dir):
+    """Cleaning as it runs on large tables: approximate fences, one pass per column."""
+    return tidy(jobs.clean(raw_transactions(spark, sf_dir)))
+
+
 # -- rolling features ---------------------------------------------------------
 
 _IDS = ["transaction_id", "customer_id", "terminal_id"]
@@ -372,7 +379,8 @@ def metric_averages(spark, sf_dir):
 
 
 def _logistic(spark, sf_dir):
-    table = sources.keyed_features(spark, sf_dir)
+    """A stored feature table and a model fitted to it; fitting reads the table several times."""
+    table = settle(sources.keyed_features(spark, sf_dir), "features")
     return table, train.logistic_pipeline().fit(table)
 
 
@@ -418,7 +426,7 @@ def baseline_training(spark, sf_dir):
 @query
 def cv_metrics(spark, sf_dir):
     """Training with validation, judged against an earlier model."""
-    table = jobs.build_features(transactions(spark, sf_dir))
+    table = settle(jobs.build_features(transactions(spark, sf_dir)), "features")
     earlier = train.logistic_pipeline(max_iter=1).fit(table)
     return tidy(jobs.train_validated(table, fraction=0.5, previous=earlier).metrics)
 
@@ -438,13 +446,6 @@ def decode_rejects(spark, sf_dir):
     return mark(sources.faulty_messages(spark, sf_dir)).filter(F.col("rejected") != "").select("key", "rejected")
 
 
-def _message_stream(spark, sf_dir):
-    """All messages as files in a folder, read as a stream."""
-    path = new_path(spark, "messages")
-    sources.messages(spark, sf_dir).write.parquet(path)
-    return read_messages(spark, "parquet", {"path": path})
-
-
 def _run(spark, rows: DataFrame, name: str) -> DataFrame:
     """Run a stream over all there is and read what it wrote."""
     path, checkpoint = new_path(spark, name), new_path(spark, f"{name}-checkpoint")
@@ -454,14 +455,19 @@ def _run(spark, rows: DataFrame, name: str) -> DataFrame:
 
 @query
 def stream_decode(spark, sf_dir):
-    good, _ = decode(_message_stream(spark, sf_dir))
+    inbox = new_path(spark, "messages")
+    sources.messages(spark, sf_dir).write.parquet(inbox)
+    good, _ = decode(read_messages(spark, "parquet", {"path": inbox}))
     return tidy(_run(spark, good, "decoded"))
 
 
 @query
 def stream_score(spark, sf_dir):
-    _, model = _logistic(spark, sf_dir)
-    return tidy(_run(spark, predictions(_message_stream(spark, sf_dir), model), "predictions").select("key", "prediction"))
+    table, model = _logistic(spark, sf_dir)
+    inbox = new_path(spark, "messages")
+    to_messages(table, key="transaction_id").write.parquet(inbox)
+    source = read_messages(spark, "parquet", {"path": inbox})
+    return tidy(_run(spark, predictions(source, model), "predictions").select("key", "prediction"))
 
 
 @query

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,19 +92,25 @@ def mark(messages: DataFrame, schema: T.StructType = MESSAGE) -> DataFrame:
 
     Text that is not a JSON object lacks every field.
     """
-    names = schema.names
-    missing = F.array_compact(F.array(*[F.when(F.col(f"_message.{n}").isNull(), F.lit(n)) for n in names]))
-    others = [c for c in messages.columns if c not in names]
-    return (
-        messages.withColumn("_message", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
-        .withColumn("rejected", F.concat_ws(",", missing))
-        .select(*others, *[F.col(f"_message.{n}") for n in names], "rejected")
-    )
+    fields = [F.col(n) for n in schema.names]
+    faults = F.concat_ws(",", *[F.when(f.isNull(), F.lit(n)) for f, n in zip(fields, schema.names, strict=True)])
+    return _parsed(messages, schema).withColumn("rejected", faults)
+
+
+def _parsed(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of ``value`` as columns.
+
+    The parsed object goes through a generator, which a filter on its fields cannot
+    pass; else the optimizer would parse the text again for each field in the filter.
+    """
+    others = [c for c in messages.columns if c not in schema.names]
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE"})
+    return messages.select(*others, F.inline_outer(F.array(parsed)))
 
 
 def decode(messages: DataFrame, schema: T.StructType = MESSAGE) -> tuple[DataFrame, DataFrame]:
     """Messages that decode, as columns, and the others as they came with the fields at fault."""
-    marked = mark(messages, schema)
-    good = marked.filter(F.col("rejected") == "").drop("value", "rejected")
-    bad = marked.filter(F.col("rejected") != "").select(*messages.columns, "rejected")
+    whole = reduce(and_, [F.col(n).isNotNull() for n in schema.names])
+    good = _parsed(messages, schema).filter(whole).drop("value")
+    bad = mark(messages, schema).filter(~whole).select(*[c for c in messages.columns if c not in schema.names], "rejected")
     return good, bad
