@@ -14,6 +14,7 @@ from txrisk.schema import MESSAGE_FIELDS
 MAX_CATEGORIES = 100_000
 
 SCENARIO = "tx_fraud_scenario"
+BASELINE_COLUMNS = ("tx_amount", "tx_time_seconds", "tx_time_days")
 
 
 def minmax_bounds(df: DataFrame, columns: Sequence[str] = MESSAGE_FIELDS) -> DataFrame:
@@ -70,12 +71,11 @@ def scaler(input_col: str = "features", output: str = "scaledFeatures") -> MinMa
     return MinMaxScaler(inputCol=input_col, outputCol=output)
 
 
-def scenario_stages(use_scenario: bool = False) -> list:
+def scenario_stages(use_scenario: bool = False, columns: Sequence[str] = BASELINE_COLUMNS) -> list:
     """Stages of the baseline model: amount and time, optionally the encoded scenario.
 
     The scenario tells whether a transaction is fraud, so it is left out by default.
     """
-    columns = ["tx_amount", "tx_time_seconds", "tx_time_days"]
     if not use_scenario:
         return [assembler(columns)]
     indexer = StringIndexer(inputCols=[SCENARIO], outputCols=[f"{SCENARIO}_index"], handleInvalid="keep")

@@ -273,6 +273,17 @@ def statements() -> dict[str, str]:
             SELECT transaction_id, i AS tx_fraud_scenario_index, (i = 0)::INTEGER AS scenario_0,
                    (i = 1)::INTEGER AS scenario_1, (i = 2)::INTEGER AS scenario_2
             FROM tx JOIN cats ON tx_fraud_scenario = category""",
+        "model_stages": f"""{tx}, cats AS (SELECT tx_fraud_scenario AS category,
+              (row_number() OVER (ORDER BY count(*) DESC, tx_fraud_scenario::VARCHAR) - 1)::DOUBLE AS i
+              FROM tx GROUP BY tx_fraud_scenario)
+            SELECT transaction_id, i AS tx_fraud_scenario_index, {", ".join(
+                f"round(({c}::DOUBLE - min({c}::DOUBLE) OVER ()) / (max({c}::DOUBLE) OVER () - min({c}::DOUBLE) OVER ()), 6) AS {n}"
+                for c, n in (("tx_amount", "amount"), ("tx_time_seconds", "seconds"), ("tx_time_days", "days"))
+            )}, {", ".join(f"(i = {i})::INTEGER::DOUBLE AS scenario_{i}" for i in range(4))}
+            FROM tx JOIN cats ON tx_fraud_scenario = category""",
+        # training
+        "linear_fit_amount": f"""{tx} SELECT transaction_id, tx_fraud, round(tx_amount * slope + base, 6) AS prediction
+            FROM tx, (SELECT regr_slope(tx_fraud, tx_amount) AS slope, regr_intercept(tx_fraud, tx_amount) AS base FROM tx)""",
         # evaluation
         "confusion_matrix": f"{sc} SELECT {_CELLS} FROM scored",
         "precision_recall_f1": f"""{sc}, {counts}, {_RATIOS} SELECT tp, fp, fn, tn, round(precision, 6) AS precision,

@@ -391,6 +391,14 @@ def linear_fit(spark, sf_dir):
     return tidy(train.score(model, table).select("transaction_id", LABEL, "prediction"))
 
 
+@query
+def linear_fit_amount(spark, sf_dir):
+    """The same pipeline on one column, where the fit has a closed form in SQL."""
+    table = transactions(spark, sf_dir)
+    model = train.linear_pipeline(columns=["tx_amount"]).fit(table)
+    return tidy(train.score(model, table).select("transaction_id", LABEL, "prediction"))
+
+
 @query
 def logistic_fit(spark, sf_dir):
     table, model = _logistic(spark, sf_dir)
@@ -413,8 +421,10 @@ def model_stages(spark, sf_dir):
     stages = [*mlprep.scenario_stages(use_scenario=True), mlprep.scaler()]
     table = transactions(spark, sf_dir)
     prepared = Pipeline(stages=stages).fit(table).transform(table)
-    vector = F.transform(vector_to_array("scaledFeatures"), lambda x: F.round(x, 6))
-    return prepared.select("transaction_id", "tx_fraud_scenario_index", F.concat_ws(",", vector).alias("scaled"))
+    vector = vector_to_array("scaledFeatures")
+    names = ["amount", "seconds", "days", *[f"scenario_{i}" for i in range(4)]]
+    columns = [vector[i].alias(n) for i, n in enumerate(names)]
+    return tidy(prepared.select("transaction_id", "tx_fraud_scenario_index", *columns))
 
 
 @query

@@ -23,9 +23,11 @@ def linear(label: str = LABEL) -> LinearRegression:
     return LinearRegression(featuresCol="features", labelCol=label)
 
 
-def linear_pipeline(use_scenario: bool = False, label: str = LABEL) -> Pipeline:
+def linear_pipeline(
+    use_scenario: bool = False, label: str = LABEL, columns: Sequence[str] = mlprep.BASELINE_COLUMNS
+) -> Pipeline:
     """Amount and time (optionally the encoded scenario), assembled, and a linear regression."""
-    return Pipeline(stages=[*mlprep.scenario_stages(use_scenario), linear(label)])
+    return Pipeline(stages=[*mlprep.scenario_stages(use_scenario, columns), linear(label)])
 
 
 def prep_pipeline(columns: Sequence[str] = MESSAGE_FIELDS) -> Pipeline:
