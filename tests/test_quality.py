@@ -134,3 +134,41 @@ def test_written_table_is_in_order(spark, sf_dir, tmp_path):
     assert all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
     sources.write_table(tx, str(tmp_path / "parts"), partition_by=["tx_fraud"], n_files=2)
     assert {r.tx_fraud for r in sources.read_table(spark, str(tmp_path / "parts")).select("tx_fraud").distinct().collect()} == {0, 1}
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    from txrisk.session import new_path, settle, shared_dir
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == folder
+    assert new_path(spark, "x").startswith(folder) and new_path(spark, "x") != new_path(spark, "x")
+    df = spark.range(5).withColumn("part", F.spark_partition_id())
+    kept = settle(df)
+    assert values(kept) == values(df) and folder in kept.inputFiles()[0]
+
+
+def test_report_counts_add_up(spark, sf_dir):
+    raw = raw_transactions(spark, sf_dir)
+    got = {r.rule: (r.rows_in, r.rows_removed) for r in quality.report(raw, exact=True).collect()}
+    unique = quality.dedup(raw, ["transaction_id"])
+    assert got["duplicates"] == (raw.count(), quality.duplicates(raw, ["transaction_id"]).count())
+    assert got["invalid"] == (unique.count(), quality.invalid_rows(unique).count())
+    valid = quality.drop_invalid(unique)
+    assert got["bad_datetimes"] == (valid.count(), quality.bad_datetimes(valid).count())
+    assert got["outliers"] == (valid.count(), quality.outliers(valid, exact=True).count())
+
+
+def test_epoch_does_not_depend_on_the_zone(spark):
+    from txrisk.functions import epoch_micros, epoch_seconds
+
+    texts = ["1970-01-01 00:00:00.25", "2024-03-10 02:30:00.5", "2024-03-10 03:00:00", "2024-11-03 01:30:00.000001"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("cast(t AS timestamp_ntz) AS ts")
+    want = [250_000, 1_710_037_800_500_000, 1_710_039_600_000_000, 1_730_597_400_000_001]
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = df.select(epoch_micros("ts"), epoch_seconds("ts")).collect()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert [r[0] for r in got] == want
+        assert [r[1] for r in got] == [w // 1_000_000 for w in want]

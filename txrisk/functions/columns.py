@@ -23,9 +23,13 @@ def epoch_seconds(ts: Column | str) -> Column:
 
 
 def epoch_micros(ts: Column | str) -> Column:
-    """Microseconds since 1970, ordered like the timestamp itself."""
-    second = F.extract(F.lit("SECOND"), _col(ts))
-    return epoch_seconds(ts) * 1_000_000 + F.pmod(second * 1_000_000, F.lit(1_000_000)).cast("long")
+    """Microseconds since 1970, ordered like the timestamp itself (from 1970 on).
+
+    Whole seconds do not depend on the session time zone, and the part below a second
+    is the same in every zone, so neither does the sum.
+    """
+    below = F.pmod(F.unix_micros(_col(ts).cast("timestamp")), F.lit(1_000_000))
+    return epoch_seconds(ts) * 1_000_000 + below
 
 
 def ratio(a: Column | str, b: Column | str) -> Column:

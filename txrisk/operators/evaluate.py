@@ -18,10 +18,14 @@ from txrisk.functions import ratio
 from txrisk.operators.ordered import running_totals
 from txrisk.schema import LABEL
 
-#: goals a model must meet
+#: goals a model must meet (fixed values)
 MIN_RECALL = 0.98
 MAX_FALSE_ALARMS = 0.05
 
+#: names metrics are logged under (fixed values)
+METRIC_NAMES = {"f1": "avg_F1_Score", "roc_auc": "avg_ROC_AUC"}
+SWEEP_NAMES = {"precision": "avg_Precision_Threshold_%.2f", "recall": "avg_Recall_Threshold_%.2f"}
+
 
 def thresholds(n: int = 10) -> list[float]:
     """``n`` evenly spaced thresholds from 0 to 1."""
@@ -250,19 +254,16 @@ def metric_rows(metrics: DataFrame, run_id: str, names: Mapping[str, str] | None
 
     ``names`` maps metric columns to the names they are logged under.
     """
-    names = names or {"f1": "avg_F1_Score", "roc_auc": "avg_ROC_AUC"}
-    values = [F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value")) for c, n in names.items()]
+    names = (names or METRIC_NAMES).items()
+    values = [F.struct(F.lit(n).alias("metric"), F.col(c).cast("double").alias("value")) for c, n in names]
     return metrics.select(F.lit(run_id).alias("run_id"), model, F.inline(F.array(*values)))
 
 
 def sweep_rows(sweep: DataFrame, run_id: str, model: str = "model") -> DataFrame:
     """A threshold sweep in long form, as ``avg_Precision_Threshold_0.11`` and so on."""
     values = [
-        F.struct(
-            F.format_string(f"avg_{c.capitalize()}_Threshold_%.2f", "threshold").alias("metric"),
-            F.col(c).alias("value"),
-        )
-        for c in ("precision", "recall")
+        F.struct(F.format_string(name, "threshold").alias("metric"), F.col(c).alias("value"))
+        for c, name in SWEEP_NAMES.items()
     ]
     return sweep.select(F.lit(run_id).alias("run_id"), model, F.inline(F.array(*values)))
 

@@ -267,17 +267,18 @@ def report(
     """What each cleaning rule removes from the rows the rules before it left.
 
     Rows ``(step, rule, rows_in, rows_removed)``.  A bad date is blanked, not
-    removed, so the outlier rule still sees its row.  The de-duplicated table is
-    written once, since the fences and the counts both read it.
+    removed, so the outlier rule still sees its row.  What the counts and the fences
+    need of the de-duplicated table is written once, since both read it.
     """
-    unique = settle(dedup(raw, keys), "unique")
-    inside = within(fences(drop_invalid(unique, columns), iqr_columns, k, **options))
     valid = F.coalesce(is_valid(columns), F.lit(False))
-    counts = unique.agg(
+    checked = dedup(raw, keys).select(*iqr_columns, valid.alias("_valid"), (valid & is_bad_datetime()).alias("_bad"))
+    checked = settle(checked, "checked")
+    inside = within(fences(checked.filter("_valid"), iqr_columns, k, **options))
+    counts = checked.agg(
         F.count(F.lit(1)).alias("unique"),
-        F.count_if(valid).alias("valid"),
-        F.count_if(valid & is_bad_datetime()).alias("bad"),
-        F.count_if(valid & ~F.coalesce(inside, F.lit(False))).alias("outside"),
+        F.count_if("_valid").alias("valid"),
+        F.count_if("_bad").alias("bad"),
+        F.count_if(F.col("_valid") & ~F.coalesce(inside, F.lit(False))).alias("outside"),
     ).withColumn("raw", raw.agg(F.count(F.lit(1))).scalar())
     rules = [
         ("duplicates", F.col("raw"), F.col("raw") - F.col("unique")),
