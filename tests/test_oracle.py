@@ -12,11 +12,17 @@ QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
 
+def as_key(v) -> str:
+    if v is None or v != v:
+        return ""
+    return f"{v:020.6f}" if isinstance(v, (int, float, np.number)) else str(v)
+
+
 def settled(df: pd.DataFrame) -> pd.DataFrame:
+    """Columns by name and rows in a fixed order."""
     df = df[sorted(df.columns)]
-    keys = [df[c].map(lambda v: "" if v is None or v != v else (f"{v:020.6f}" if isinstance(v, (int, float, np.number)) else str(v))) for c in df]
-    order = pd.concat(keys, axis=1).apply(tuple, axis=1).sort_values(kind="stable").index
-    return df.loc[order].reset_index(drop=True)
+    keys = pd.concat([df[c].map(as_key) for c in df], axis=1).apply(tuple, axis=1)
+    return df.loc[keys.sort_values(kind="stable").index].reset_index(drop=True)
 
 
 @pytest.fixture(scope="module")

@@ -137,15 +137,6 @@ def test_replies_on_streams(spark, tmp_path):
     assert {r.key: r.reply for r in spark.table("matched").collect()} == found
 
 
-def days(spark, sf_dir, path, parts):
-    """Write transactions to ``path`` in order of time, a part at a time."""
-    tx = transactions(spark, sf_dir)
-    for i in range(parts):
-        part = tx.filter(F.floor(F.col("tx_time_days") * parts / 30) == i)
-        yield part
-        part.coalesce(1).write.mode("append").parquet(path)
-
-
 def test_keyed_state_equals_batch_windows(spark, sf_dir, tmp_path):
     inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     tx = transactions(spark, sf_dir)

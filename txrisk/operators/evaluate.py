@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions import ratio
@@ -233,7 +233,9 @@ def stack_models(df: DataFrame, models: Mapping[str, tuple[str, str]], label: st
     return df.select(label, F.inline(F.array(*sides))).select("model", label, "score", "prediction")
 
 
-def join_predictions(new: DataFrame, old: DataFrame, key: str = "transaction_id", columns: Sequence[str] = ("score", "prediction")) -> DataFrame:
+def join_predictions(
+    new: DataFrame, old: DataFrame, key: str = "transaction_id", columns: Sequence[str] = ("score", "prediction")
+) -> DataFrame:
     """Put the scores of a model that was applied separately next to another's, by key."""
     renamed = old.select(key, *[F.col(c).alias(f"{c}_old") for c in columns])
     return new.join(renamed, key)

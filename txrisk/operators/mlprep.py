@@ -25,7 +25,9 @@ def minmax_bounds(df: DataFrame, columns: Sequence[str] = MESSAGE_FIELDS) -> Dat
     )
 
 
-def minmax_scale(df: DataFrame, columns: Sequence[str] = MESSAGE_FIELDS, suffix: str = "_scaled", fit_on: DataFrame | None = None) -> DataFrame:
+def minmax_scale(
+    df: DataFrame, columns: Sequence[str] = MESSAGE_FIELDS, suffix: str = "_scaled", fit_on: DataFrame | None = None
+) -> DataFrame:
     """Columns scaled to 0..1; a constant column becomes 0.5."""
     bounds = minmax_bounds(df if fit_on is None else fit_on, columns)
     one = bounds.select(F.struct(*bounds.columns)).scalar()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from txrisk import sources
 from txrisk.operators import evaluate, features, mlprep, quality, sampling
 from txrisk.plans import jobs, train
-from txrisk.schema import FRAMES, LABEL, MESSAGE_FIELDS, RAW_TX
+from txrisk.schema import FRAMES, LABEL, MESSAGE_FIELDS
 from txrisk.session import new_path, settle
 from txrisk.sources import raw_transactions, scored, transactions
 from txrisk.streaming import (
