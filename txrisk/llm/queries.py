@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm import bpe, packing, repair
+from txrisk.llm import bpe, neardup, packing, parsing, repair, toxicity
 from txrisk.llm.common import documents
 from txrisk.session import new_path
 
@@ -49,3 +49,22 @@ def op3_pack(spark, sf_dir):
 @query
 def op8_bpe_stream(spark, sf_dir):
     return bpe.encode_decode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op5_minhash_tensor(spark, sf_dir):
+    return neardup.near_duplicates(documents(spark, sf_dir), neardup.Params(words=2, percent=80))
+
+
+@query
+def op2_consistent_parsing(spark, sf_dir):
+    return parsing.fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op4_toxicity_mil(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc_id", "held_out", "score", "predicted", "n_sentences", "worst_start", "worst_end", "worst_score"
+    )
