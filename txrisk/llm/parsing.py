@@ -32,11 +32,13 @@ FIRST, LAST = 2, 4
 FEW = 8
 SLOTS = 96
 #: texts of a batch are parsed together up to so many code points
-TOGETHER = 1 << 18
+TOGETHER = 1 << 17
 #: ranges of ids, each one small row on the driver
 MOST_RANGES = 4096
 
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+#: what a place in a phrase adds; phrases are far shorter
+_STEPS = np.arange(1 << 16, dtype=np.uint64) * _B
 #: label of the mark before each text; no other symbol has it
 _MARK = 127
 
@@ -78,7 +80,7 @@ def cuts(symbols: np.ndarray, marks: np.ndarray) -> np.ndarray:
     labels[0] = _MARK
     # 62 bits of the symbols, so that labels stay below the mark's
     x = (symbols & np.uint64((1 << 62) - 1)).view(np.int64)
-    labels[1:] = _tossed(x[1:], x[:-1])
+    labels[1:] = _tossed(x[1:], x[:-1])  # two marks in a row have no difference, but get their label next
     labels[marks] = _MARK
     for _ in range(3):
         labels[1:] = _ROUND.take((labels[1:].astype(np.uint16) << 7) | labels[:-1])
@@ -91,14 +93,18 @@ def cuts(symbols: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
-def _runs(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One symbol for each run of equal ones, and where each run begins."""
-    first = np.flatnonzero(np.concatenate(([True], symbols[1:] != symbols[:-1])))
+def _runs(symbols: np.ndarray) -> np.ndarray:
+    """One symbol for each run of equal ones."""
+    starts = np.concatenate(([True], symbols[1:] != symbols[:-1]))
+    starts |= symbols == 0
+    first = np.flatnonzero(starts)
+    if len(first) == len(symbols):
+        return symbols
     length = np.diff(np.append(first, len(symbols))).astype(np.uint64)
     out = symbols[first]
     long = length > 1
     out[long] = _mixed(out[long] * _A + length[long])
-    return out, first
+    return out
 
 
 def levels(strings: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -107,28 +113,24 @@ def levels(strings: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]
     Texts are parsed side by side; a mark before each keeps them apart.
     """
     sizes = np.array([len(s) for s in strings])
-    doc = np.repeat(np.arange(len(strings)), sizes + 1)
-    marks = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    symbols = np.zeros(len(doc), np.uint64)
-    inside = np.ones(len(doc), bool)
-    inside[marks] = False
+    symbols = np.zeros(sizes.sum() + len(strings), np.uint64)
+    inside = np.ones(len(symbols), bool)
+    inside[np.cumsum(sizes + 1) - sizes - 1] = False
     symbols[inside] = _mixed(np.concatenate(strings).astype(np.uint64) * _A + _B)
     while True:
-        symbols, first = _runs(symbols)
-        doc = doc[first]
-        marks = np.flatnonzero(symbols == 0)
-        begin = cuts(symbols, marks)
-        # a phrase's name: a polynomial of its symbols, each by its place in the phrase
+        symbols = _runs(symbols)
+        begin = cuts(symbols, np.flatnonzero(symbols == 0))
+        # a phrase's name: a sum of its symbols, each mixed with its place in the phrase
         size = np.diff(np.append(begin, len(symbols)))
-        place = (np.arange(len(symbols)) - np.repeat(begin, size)).astype(np.uint64)
-        terms = _mixed(symbols + place * _B)
+        place = np.arange(len(symbols), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)
+        terms = _mixed(symbols + _STEPS.take(place & 0xFFFF))
         names = _mixed(np.add.reduceat(terms, begin) + size.astype(np.uint64) * _A)
         names[symbols[begin] == 0] = 0
-        symbols, doc = names, doc[begin]
+        symbols = names
         inside = symbols != 0
         if not inside.any():
             return
-        yield symbols[inside], doc[inside]
+        yield symbols[inside], (np.cumsum(~inside) - 1)[inside]
 
 
 def sketches(strings: list[np.ndarray]) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm import bpe, neardup, packing, parsing, repair, toxicity
+from txrisk.llm import bpe, exact, licenses, neardup, packing, parsing, pii, repair, toxicity
 from txrisk.llm.common import documents
 from txrisk.session import new_path
 
@@ -68,3 +68,18 @@ def op4_toxicity_mil(spark, sf_dir):
     return toxicity.score(docs, model).select(
         "doc_id", "held_out", "score", "predicted", "n_sentences", "worst_start", "worst_end", "worst_score"
     )
+
+
+@query
+def op6_license_diagonals(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir)).drop("notices")
+
+
+@query
+def op7_exact_copies(spark, sf_dir):
+    return exact.copies(documents(spark, sf_dir))
+
+
+@query
+def op9_personal_data(spark, sf_dir):
+    return pii.find(documents(spark, sf_dir))
