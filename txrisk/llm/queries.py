@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm import bpe, exact, licenses, neardup, packing, parsing, pii, repair, toxicity
+from txrisk.llm import bpe, exact, licenses, neardup, packing, parsing, pii, repair, toxicity, warc
 from txrisk.llm.common import documents
 from txrisk.session import new_path
 
@@ -83,3 +83,18 @@ def op7_exact_copies(spark, sf_dir):
 @query
 def op9_personal_data(spark, sf_dir):
     return pii.find(documents(spark, sf_dir))
+
+
+@query
+def op10_warc_transactions(spark, sf_dir):
+    path = new_path(spark, "warc")
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, least_bytes=0)
+    captures = warc.assemble(warc.read(spark, path, with_payload=False))
+    return captures.select(
+        warc.field(F.col("metadata"), "pageId").cast("long").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        warc.field(F.col("metadata"), "refersToPage").cast("long").alias("refers_to"),
+        F.col("response.uri").alias("uri"),
+    )
