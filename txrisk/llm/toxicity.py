@@ -31,7 +31,7 @@ from txrisk.llm.common import batches_of, ddl, rows_of, small_batches, texts
 
 #: slots of the hashed weights
 SLOTS = 1 << 18
-PER_CLASS = 2500
+PER_CLASS = 2000
 THRESHOLD = 0.3
 #: words that fewer sampled documents hold have no weight
 LEAST_DOCS = 3
