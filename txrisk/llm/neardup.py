@@ -7,10 +7,11 @@ likeness to another is s shares a key with it with the chance
 ``(1 - (1 - s**rows)**bands)**2``: 0.9994 at 0.8 and above 0.9999 at 0.86 with the values here.
 
 Texts with equal sets are one class and enter the tables once.  In a bucket, members are
-first compared with one of them (the same order in all buckets); then, where a bucket still holds
-several components, every pair of members that are in different ones is compared.  So no pair
-that shares a bucket is left out unless both ends are already joined, and a group of
-thousands of copies costs a few comparisons a copy, not the square.
+first compared with one of them (the same order in all buckets).  Where a bucket still holds
+several components, its members go on to a join that leaves out only pairs that cannot be alike enough
+(see :func:`candidates`), and every pair it finds in different components is compared.  So no pair that shares a bucket is
+left out unless both ends are already joined, and a group of thousands of copies, alike enough or
+not quite, costs a few comparisons a copy, not the square.
 
 Null and empty texts, and texts without words, have an empty set and are linked with nothing.
 Rows with equal ids or texts are in one class.  A row without an id takes the component of its
@@ -36,6 +37,11 @@ from txrisk.session import settle
 
 #: so many comparisons with one text are made by one task
 PAIRS_PER_TASK = 256
+#: a set is summed up in ``2**BITS`` bits: whether an odd number of its items begin with each
+BITS = 10
+#: sets from which is told which items are common, and how many of those items are noted
+SAMPLED_SETS = 2048
+COMMON_ITEMS = 200_000
 
 
 class Params(NamedTuple):
@@ -48,7 +54,10 @@ class Params(NamedTuple):
 SKETCHES = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))]
 )
-SETS = pa.schema([("id", pa.int64()), ("items", pa.binary())])
+SETS = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("bits", pa.list_(pa.int64())), ("items", pa.binary())])
+PREFIXES = pa.schema(
+    [("id", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("item", pa.int64()), ("place", pa.int64())]
+)
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -77,8 +86,13 @@ def _sketch(batches: Iterable, p: Params) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterable, p: Params) -> Iterator[pa.RecordBatch]:
-    rows = ((doc_id, shingle_set(text, p.words).tobytes()) for doc_id, text in rows_of(batches))
-    yield from batches_of(rows, SETS, flush=256)
+    def rows() -> Iterator[tuple]:
+        for doc_id, text in rows_of(batches):
+            values = shingle_set(text, p.words)
+            odd = np.bincount((values >> np.uint64(64 - BITS)).view(np.int64), minlength=1 << BITS) & 1
+            yield doc_id, len(values), np.packbits(odd.astype(bool)).view(np.int64), values.tobytes()
+
+    yield from batches_of(rows(), SETS, flush=256)
 
 
 def _confirm(batches: Iterable, percent: int) -> Iterator[pa.RecordBatch]:
@@ -101,8 +115,17 @@ def _confirm(batches: Iterable, percent: int) -> Iterator[pa.RecordBatch]:
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those ``(a, b)`` of distinct ``pairs`` whose sets are alike enough.
 
-    The set of ``b`` travels with the pair; the set of ``a`` once per ``PAIRS_PER_TASK`` pairs of it.
+    Where the bits of two sets differ, an item is in one of them alone, so pairs that differ in too many
+    go by their bits.  For the others, the set of ``b`` travels with the pair, and the set of ``a`` once per
+    ``PAIRS_PER_TASK`` pairs of it.
     """
+    bits = sets.select("id", "size", "bits")
+    for end in ("a", "b"):
+        pairs = pairs.join(bits.select(F.col("id").alias(end), F.col("size").alias(f"size_{end}"), F.col("bits").alias(f"bits_{end}")), end)
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("size_a") + F.col("size_b"))
+    pairs = settle(pairs.where(near).select("a", "b"), "pairs")
+    sets = sets.select("id", "items")
     slices = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).alias("slices"))
     sliced = pairs.join(slices, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("slices")).alias("slice"))
     right = sliced.join(sets.withColumnRenamed("id", "b"), "b").select("a", "slice", "b", "items")
@@ -115,6 +138,60 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return together.select("a", "b", "items").mapInArrow(partial(_confirm, percent=percent), ddl(LINKS))
 
 
+def _prefixes(batches: Iterable, percent: int, common_: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The items of each set that a set alike enough must share one of: the first in an order of all items."""
+
+    def rows() -> Iterator[tuple]:
+        for id_, n, component, items in rows_of(batches):
+            values = np.frombuffer(items, np.int64)
+            seen = np.zeros(n, np.int64)
+            if len(common_):
+                at = np.minimum(np.searchsorted(common_, values), len(common_) - 1)
+                seen = np.where(common_[at] == values, times[at], 0)
+            order = np.lexsort((values, seen))
+            for place in range(n - -(-percent * n // 100) + 1):
+                yield id_, n, component, int(values[order[place]]), place
+
+    yield from batches_of(rows(), PREFIXES, flush=8192)
+
+
+def _items(batches: Iterable) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for items in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(items, np.int64))], ["item"])
+
+
+def candidates(open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(lo, hi)`` of sets in different components that may be alike enough.  None is left out.
+
+    Items have one order, the rarer first.  The first item that two sets share leaves, in both, only those
+    behind it to be shared, so it must stand early in both, and in the smaller set earlier still.  Pairs are
+    formed on such items alone; members of one component never meet.  How rare an item is comes from a
+    sample of the sets: that shapes the order, and so the work, but no result, as any order will do.
+    """
+    sample = open_.orderBy(F.xxhash64("id")).select("items").limit(SAMPLED_SETS)
+    counts = sample.mapInArrow(_items, "item long").groupBy("item").count().where("count >= 3")
+    often = sorted(tuple(r) for r in counts.orderBy(F.desc("count"), "item").limit(COMMON_ITEMS).collect())
+    common_, times = np.array([i for i, _ in often], np.int64), np.array([c for _, c in often], np.int64)
+    step = partial(_prefixes, percent=percent, common_=common_, times=times)
+    entries = open_.select("id", "n", "component", "items").mapInArrow(step, ddl(PREFIXES))
+    early = (100 + percent) * (F.col("n") - F.col("place")) >= 2 * percent * F.col("n")
+    entries = settle(entries.withColumn("early", early), "prefixes")
+    apart = entries.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("early").alias("any"))
+    entries = settle(entries.join(apart.where("lo <> hi and any").select("item"), "item", "left_semi"), "prefixes")
+    met = (
+        entries.where("early").select("item", F.col("component").alias("cx")).distinct()
+        .join(entries.select("item", F.col("component").alias("cy")).distinct(), "item")
+        .where("cx <> cy")
+    )
+    x = entries.where("early").select("item", F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), F.col("place").alias("px"))
+    y = entries.select("item", F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), F.col("place").alias("py"))
+    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
+    left = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+    found = met.join(x, ["item", "cx"]).join(y, ["item", "cy"]).where(smaller & ((100 + percent) * left >= percent * (F.col("nx") + F.col("ny"))))
+    return found.select(F.least("ix", "iy").alias("lo"), F.greatest("ix", "iy").alias("hi")).distinct()
+
+
 def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """Sketches of all rows, and ``(h1, h2, component_id)`` of each distinct set."""
     small_batches(docs.sparkSession)
@@ -144,13 +221,8 @@ def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataF
     # buckets whose members are not all joined yet
     labelled = members.drop("first").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed_keys = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_ = settle(labelled.join(mixed_keys, "key", "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & alike("x.n", "y.n"))
-        .select(F.least("x.id", "y.id").alias("lo"), F.greatest("x.id", "y.id").alias("hi"))
-        .distinct()
-    )
+    open_ = labelled.join(mixed_keys, "key", "left_semi").select("id", "n", "component").distinct()
+    rest = candidates(settle(open_.join(sets.select("id", "items"), "id"), "open"), p.percent)
     tried = stars.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     rest = settle(rest.join(tried, ["lo", "hi"], "left_anti").select(F.col("lo").alias("a"), F.col("hi").alias("b")), "pairs")
     if not rest.isEmpty():
