@@ -13,12 +13,12 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n) AS text_
 
 OP5 = rf"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WHITE}'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WHITE}'), lambda x: x <> '') AS w
   FROM documents
 ),
 s AS MATERIALIZED (
   SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END)) AS s
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s
   FROM w WHERE len(w) > 0
 ),
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -37,8 +37,8 @@ OP10 = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
 q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keeper, sha1(html) AS h FROM p)
 SELECT page_id, octet_length(encode(html)) AS payload_bytes,
-  array_to_string(list_transform(range(8), g -> array_to_string(list_transform([15, 10, 5, 0],
-    k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * g + 1, 5))::BIGINT >> k) & 31)::BIGINT + 1, 1)), '')), '') AS payload_digest,
+  array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+    lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * g + 1, 5))::BIGINT >> k) & 31)::BIGINT + 1, 1)), '')), '') AS payload_digest,
   CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to,
   url AS uri
