@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-TABLES = ["events", "lineitem"]
+TABLES = ["events", "lineitem", "documents", "pages"]
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 

@@ -58,3 +58,9 @@ def test_top_k_is_one_scan(spark, sf_dir):
     plan = sampling.random_rows(transactions(spark, sf_dir), 5, 1, "transaction_id")
     assert "TakeOrderedAndProject" in plan._jdf.queryExecution().executedPlan().toString()
     assert plan.agg(F.count(F.lit(1))).first()[0] == 5
+
+
+def test_tiny_shares_have_rows(spark):
+    kept = sampling.sample(spark.range(10_000_000), 4e-7 * 100, 3, key="id").count()
+    assert 330 < kept < 470
+    assert sampling.sample(spark.range(1_000_000), 4e-7, 3, key="id").count() < 5

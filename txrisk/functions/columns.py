@@ -43,8 +43,8 @@ def hash_order(key: Column | str, seed: int | str) -> Column:
 
 
 def hash_bucket(key: Column | str, seed: int | str, buckets: int) -> Column:
-    """A seeded bucket in ``0 .. buckets-1``; equal keys share a bucket."""
-    head = F.substring(hash_order(key, seed), 1, 8)
+    """A seeded bucket in ``0 .. buckets-1`` (60 bits at most); equal keys share a bucket."""
+    head = F.substring(hash_order(key, seed), 1, 15)
     return F.conv(head, 16, 10).cast("long") % buckets
 
 

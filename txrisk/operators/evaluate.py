@@ -200,6 +200,9 @@ def threshold_sweep(
         .groupBy(*by, reached.alias("_reached"))
         .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     )
+    if not by:  # a table without rows has a row per threshold too
+        none = [F.lit(0).alias(c) for c in ("_reached", "_pos", "_neg")]
+        cells = cells.unionByName(df.sparkSession.range(1).select(*none))
     grid = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(t).alias("t")) for i, t in enumerate(at)])
     flagged = F.col("_reached") >= F.col("_at.i")
     counts = (

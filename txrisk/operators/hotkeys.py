@@ -21,10 +21,6 @@ HOT_ROWS = 1_000_000
 #: is hot only above total / MAX_HOT rows.  It bounds every broadcast made here.
 MAX_HOT = 100_000
 
-#: how often a slice that is still too large is cut again; each level costs a pass over hot keys,
-#: and none is made once all slices are small
-SLICE_LEVELS = 8
-
 
 def hot_limits(rows: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> dict[str, float]:
     """For each key that has hot values, the number of rows that makes a value hot.
@@ -55,13 +51,14 @@ def hot_groups(rows: DataFrame, by: list[str], limit: float, stats: dict[str, Co
 
 
 def hot_slices(
-    rows: DataFrame, key: str, position: str, tie_break: str, limit: float, levels: int = SLICE_LEVELS
+    rows: DataFrame, key: str, position: str, tie_break: str, limit: float
 ) -> list[DataFrame]:
     """How the values of ``key`` with more than ``limit`` rows are cut: one bounded table per level.
 
     Level one cuts the time a hot key spans into equal parts.  Each further level
     does the same inside a part that still holds too many rows, by ``tie_break`` if
-    all of them share one position.
+    all of them share one position, until no part holds too many.  Rows that share position and
+    ``tie_break`` cannot be told apart and stay together.
     """
     narrow = rows.select(key, position, tie_break)
     stats = {
@@ -77,9 +74,9 @@ def hot_slices(
     width = F.greatest(F.lit(1), F.ceil(span / parts)).cast("long")
     tables: list[DataFrame] = []
     inside = narrow
-    for level in range(levels):
-        by = [key, *slice_names(key, level)]
-        hot = hot_groups(inside, by, limit, stats)
+    while True:
+        by = [key, *slice_names(key, len(tables))]
+        hot = hot_groups(inside, by, limit, stats).filter(in_time | (F.col("_id_hi") > F.col("_id_lo")))
         table = _fixed(hot.select(*by, in_time.alias("_in_time"), first.alias("_first"), width.alias("_width")))
         if table.isEmpty():
             break

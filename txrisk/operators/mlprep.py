@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.operators.ordered import running_totals
 from txrisk.schema import MESSAGE_FIELDS
 
-#: an encoder refuses columns with more categories; it bounds the category table
-MAX_CATEGORIES = 100_000
-
+#: columns of the baseline model (fixed values)
 SCENARIO = "tx_fraud_scenario"
 BASELINE_COLUMNS = ("tx_amount", "tx_time_seconds", "tx_time_days")
 
@@ -42,21 +41,20 @@ def minmax_scale(
 def index_categories(df: DataFrame, column: str = SCENARIO) -> DataFrame:
     """Categories by falling frequency, then by value as text: ``(column, n, index)``.
 
-    More than ``MAX_CATEGORIES`` categories are an error, so the table is small.
+    Any number of categories is numbered: each range of the order counts its own, so no task sees all.
+    The ordered counts are written to the shared folder once.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    bounded = counts.limit(MAX_CATEGORIES + 1)
-    by_frequency = Window.orderBy(F.col("n").desc(), F.col(column).cast("string"))
-    index = F.row_number().over(by_frequency) - 1
-    too_many = F.raise_error(F.lit(f"more than {MAX_CATEGORIES} categories in {column}"))
-    return bounded.withColumn("index", F.when(index >= MAX_CATEGORIES, too_many).otherwise(index).cast("int"))
+    order = F.struct(-F.col("n"), F.col(column).cast("string"))
+    numbered = running_totals(counts.withColumn("_one", F.lit(1).cast("long")), [], order, ["_one"])
+    return numbered.select(column, "n", (F.col("_one_upto") - 1).alias("index"))
 
 
 def encode_categories(df: DataFrame, column: str = SCENARIO, fit_on: DataFrame | None = None) -> DataFrame:
     """Add ``<column>_index``; NULL for a category ``fit_on`` does not have."""
     table = index_categories(df if fit_on is None else fit_on, column)
     table = table.select(F.col(column).alias("_category"), F.col("index").alias(f"{column}_index"))
-    return df.join(F.broadcast(table), F.col(column) == F.col("_category"), "left").drop("_category")
+    return df.join(table, F.col(column) == F.col("_category"), "left").drop("_category")
 
 
 def onehot(df: DataFrame, index: str, size: int, prefix: str | None = None) -> DataFrame:
@@ -73,13 +71,17 @@ def scaler(input_col: str = "features", output: str = "scaledFeatures") -> MinMa
     return MinMaxScaler(inputCol=input_col, outputCol=output)
 
 
-def scenario_stages(use_scenario: bool = False, columns: Sequence[str] = BASELINE_COLUMNS) -> list:
+def scenario_stages(
+    use_scenario: bool = False, columns: Sequence[str] = BASELINE_COLUMNS, handle_invalid: str = "error"
+) -> list:
     """Stages of the baseline model: amount and time, optionally the encoded scenario.
 
     The scenario tells whether a transaction is fraud, so it is left out by default.
+    ``handle_invalid="keep"`` gives scenarios the fit has not seen a category of their own, and so one
+    column more.
     """
     if not use_scenario:
         return [assembler(columns)]
-    indexer = StringIndexer(inputCols=[SCENARIO], outputCols=[f"{SCENARIO}_index"], handleInvalid="keep")
+    indexer = StringIndexer(inputCols=[SCENARIO], outputCols=[f"{SCENARIO}_index"], handleInvalid=handle_invalid)
     encoder = OneHotEncoder(inputCols=[f"{SCENARIO}_index"], outputCols=[f"{SCENARIO}_encoded"])
     return [indexer, encoder, assembler([*columns, f"{SCENARIO}_encoded"])]

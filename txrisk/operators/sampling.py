@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from txrisk.functions import hash_bucket, hash_order
 from txrisk.schema import LABEL
 
-#: resolution of hash fractions
-BUCKETS = 1_000_000
+#: hash fractions are told to 60 bits, so a share of any table has its rows
+BUCKETS = 1 << 60
 
 
 def random_rows(df: DataFrame, k: int, seed: int, key: str) -> DataFrame:
@@ -41,6 +41,7 @@ def split(df: DataFrame, weights: Sequence[float], seed: int, key: str | None =
     if key is None:
         return df.randomSplit(list(weights), seed)
     ends = [round(w * BUCKETS) for w in accumulate(weights)]
+    ends[-1] = BUCKETS
     bucket = hash_bucket(key, seed, BUCKETS)
     return [df.filter((bucket >= low) & (bucket < high)) for low, high in zip([0, *ends], ends)]
 

@@ -158,7 +158,7 @@ def _hash(key: str) -> str:
 
 
 def _bucket(key: str) -> str:
-    return f"('0x' || substr({_hash(key)}, 1, 8))::BIGINT % 1000000"
+    return f"('0x' || substr({_hash(key)}, 1, 15))::BIGINT"
 
 
 def statements() -> dict[str, str]:
@@ -188,10 +188,13 @@ def statements() -> dict[str, str]:
         "parquet_roundtrip": f"{tx} SELECT {_TEXTED} FROM tx",
         # data quality
         "dedup_transactions": f"{raw} SELECT {_COLS} FROM deduped",
-        "dedup_lineitem": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-            round(l_quantity, 6) AS l_quantity, round(l_extendedprice, 6) AS l_extendedprice
+        "dedup_lineitem": """SELECT * EXCLUDE (rn)
+            REPLACE (round(l_quantity, 6) AS l_quantity, round(l_extendedprice, 6) AS l_extendedprice,
+              round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax,
+              strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate)
             FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                  ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""",
+                  ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                    l_returnflag, l_linestatus, l_shipdate) AS rn FROM lineitem) WHERE rn = 1""",
         "valid_rows": f"{raw} SELECT {_COLS} FROM raw WHERE {valid}",
         "valid_datetimes": f"{raw} SELECT {_COLS} FROM parsed WHERE tx_datetime IS NOT NULL",
         "parse_datetime": f"{raw} SELECT transaction_id, tx_datetime FROM parsed",
@@ -249,9 +252,9 @@ def statements() -> dict[str, str]:
         "sorted_topn": f"{tx} SELECT {_TEXTED} FROM (SELECT * FROM tx ORDER BY tx_amount DESC, transaction_id LIMIT 100)",
         "random_rows": f"""{tx} SELECT {_TEXTED} FROM
             (SELECT * FROM tx ORDER BY {_hash('transaction_id')}, transaction_id LIMIT 100)""",
-        "hash_sample": f"{tx} SELECT {_TEXTED} FROM tx WHERE {_bucket('transaction_id')} < 100000",
+        "hash_sample": f"{tx} SELECT {_TEXTED} FROM tx WHERE {_bucket('transaction_id')} < {round(0.1 * 2**60)}",
         "hash_split": f"""{tx} SELECT transaction_id, tx_fraud,
-            CASE WHEN {_bucket('transaction_id')} < 800000 THEN 'train' ELSE 'test' END AS part FROM tx""",
+            CASE WHEN {_bucket('transaction_id')} < {round(0.8 * 2**60)} THEN 'train' ELSE 'test' END AS part FROM tx""",
         "class_counts": f"""{tx} SELECT *, greatest(1, floor(n0 / n1))::INTEGER AS factor FROM (
             SELECT count(*) FILTER (WHERE tx_fraud = 0) AS n0, count(*) FILTER (WHERE tx_fraud = 1) AS n1 FROM tx)""",
         "oversample": f"""{tx}, k AS (SELECT greatest(1, floor(count(*) FILTER (WHERE tx_fraud = 0)
@@ -265,10 +268,10 @@ def statements() -> dict[str, str]:
             max(tx_time_days) AS max_tx_time_days FROM tx""",
         "minmax_scaled": f"WITH {_ROWS} SELECT transaction_id, {scaled} FROM ({epoch_rolled})",
         "category_index": f"""{tx} SELECT tx_fraud_scenario, n,
-            (row_number() OVER (ORDER BY n DESC, tx_fraud_scenario::VARCHAR) - 1)::INTEGER AS "index"
+            (row_number() OVER (ORDER BY n DESC, tx_fraud_scenario::VARCHAR) - 1)::BIGINT AS "index"
             FROM (SELECT tx_fraud_scenario, count(*) AS n FROM tx GROUP BY tx_fraud_scenario)""",
         "category_onehot": f"""{tx}, cats AS (SELECT tx_fraud_scenario AS category,
-              (row_number() OVER (ORDER BY count(*) DESC, tx_fraud_scenario::VARCHAR) - 1)::INTEGER AS i
+              (row_number() OVER (ORDER BY count(*) DESC, tx_fraud_scenario::VARCHAR) - 1)::BIGINT AS i
               FROM tx GROUP BY tx_fraud_scenario)
             SELECT transaction_id, i AS tx_fraud_scenario_index, (i = 0)::INTEGER AS scenario_0,
                    (i = 1)::INTEGER AS scenario_1, (i = 2)::INTEGER AS scenario_2
@@ -279,7 +282,7 @@ def statements() -> dict[str, str]:
             SELECT transaction_id, i AS tx_fraud_scenario_index, {", ".join(
                 f"round(({c}::DOUBLE - min({c}::DOUBLE) OVER ()) / (max({c}::DOUBLE) OVER () - min({c}::DOUBLE) OVER ()), 6) AS {n}"
                 for c, n in (("tx_amount", "amount"), ("tx_time_seconds", "seconds"), ("tx_time_days", "days"))
-            )}, {", ".join(f"(i = {i})::INTEGER::DOUBLE AS scenario_{i}" for i in range(4))}
+            )}, {", ".join(f"(i = {i})::INTEGER::DOUBLE AS scenario_{i}" for i in range(3))}
             FROM tx JOIN cats ON tx_fraud_scenario = category""",
         # training
         "linear_fit_amount": f"""{tx} SELECT transaction_id, tx_fraud, round(tx_amount * slope + base, 6) AS prediction

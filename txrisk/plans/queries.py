@@ -100,7 +100,6 @@ def dedup_transactions(spark, sf_dir):
 def dedup_lineitem(spark, sf_dir):
     """Copies of a key that differ: the survivor is the first by all other columns."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    lines = lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     return tidy(quality.dedup(lines, ["l_orderkey", "l_linenumber"]))
 
 
@@ -422,7 +421,7 @@ def model_stages(spark, sf_dir):
     table = transactions(spark, sf_dir)
     prepared = Pipeline(stages=stages).fit(table).transform(table)
     vector = vector_to_array("scaledFeatures")
-    names = ["amount", "seconds", "days", *[f"scenario_{i}" for i in range(4)]]
+    names = ["amount", "seconds", "days", *[f"scenario_{i}" for i in range(3)]]
     columns = [vector[i].alias(n) for i, n in enumerate(names)]
     return tidy(prepared.select("transaction_id", "tx_fraud_scenario_index", *columns))
 

@@ -9,12 +9,13 @@ from txrisk.operators import quality
 
 
 def match_replies(requests: DataFrame, replies: DataFrame, within: str = "1 minute") -> DataFrame:
-    """Each request with the first reply of its key, if it came in time.
+    """Each request with the first reply of its key that came in time; earlier and later ones do not count.
 
     Both sides are ``(key, value, ts)``; the result is ``(key, value, ts, reply,
     reply_ts)``, with NULLs for a request that got none.  Keys of requests are
     unique.  On streams the watermark limits how long either side is kept, and an
-    unanswered request comes out once no reply can count any more.
+    unanswered request comes out once no reply can count any more; of several replies in time the one
+    that arrives first is taken.
     """
     span = F.expr(f"INTERVAL {within}")
     answers = replies.select(
@@ -22,9 +23,12 @@ def match_replies(requests: DataFrame, replies: DataFrame, within: str = "1 minu
     )
     if requests.isStreaming:
         requests = requests.withWatermark("ts", within)
-        answers = answers.withWatermark("reply_ts", within).dropDuplicatesWithinWatermark(["_key"])
-    else:
-        answers = quality.dedup(answers, ["_key"], order_by=["reply_ts"])
+        answers = answers.withWatermark("reply_ts", within)
     in_time = (F.col("reply_ts") >= F.col("ts")) & (F.col("reply_ts") <= F.col("ts") + span)
     matched = requests.join(answers, (F.col("key") == F.col("_key")) & in_time, "left")
-    return matched.select("key", "value", "ts", "reply", "reply_ts")
+    matched = matched.select("key", "value", "ts", "reply", "reply_ts")
+    if requests.isStreaming:
+        # one event time is left to go by
+        matched = matched.withColumn("reply_ts", F.col("reply_ts") + F.expr("INTERVAL 0 SECONDS"))
+        return matched.dropDuplicatesWithinWatermark(["key"])
+    return quality.dedup(matched, ["key", "ts", "value"], order_by=["reply_ts", "reply"])
