@@ -103,8 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
         first = usable.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen |= {r.doc_id: label for r in first.select("doc_id").collect()}
     ids = spark.createDataFrame([(i,) for i in chosen], "doc_id long")
-    sample = texts(docs).join(F.broadcast(ids), "doc_id").mapInArrow(_instances, ddl(INSTANCES)).collect()
-    rows = sorted((r for r in sample), key=lambda r: (r.doc_id, bytes(r.words)))
+    sample = texts(docs).join(F.broadcast(ids), "doc_id").mapInArrow(_instances, ddl(INSTANCES))
+    rows = sorted(sample.collect(), key=lambda r: (r.doc_id, bytes(r.words)))
     y = np.array([chosen[r.doc_id] for r in rows], float)
     if not 0 < y.sum() < len(y):
         return Model({}, -math.inf)
@@ -112,14 +112,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     return descend([(np.frombuffer(r.words, "<u4"), np.frombuffer(r.sizes, "<u4")) for r in rows], y, share / share.sum())
 
 
-def telling(words: np.ndarray, label: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The slots that go with a label beyond chance: G-test of each, at a level for as many as there are.
-
-    ``words`` are the distinct slots of each document and ``label`` that document's.
-    """
+def telling(bags: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The slots that go with a label beyond chance: G-test of each, at a level for as many as there are."""
     n, pos = len(y), y.sum()
-    total = np.bincount(words, minlength=SLOTS).astype(float)
-    with_ = np.bincount(words, label, SLOTS)
+    total, with_ = np.zeros(SLOTS), np.zeros(SLOTS)
+    for bag, label in zip(bags, y, strict=True):
+        own = np.unique(bag)
+        total[own] += 1
+        with_[own] += label
 
     def part(seen: np.ndarray, rows: np.ndarray, share: float) -> np.ndarray:
         return np.where(seen > 0, 2 * seen * np.log(np.maximum(seen, 1) / np.maximum(rows * share, 1e-12)), 0.0)
@@ -134,21 +134,22 @@ def telling(words: np.ndarray, label: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def descend(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, share: np.ndarray, steps: int = 200, decay: float = 1e-6) -> Model:
     """Maximise the weighted likelihood of the labels under noisy-or, by Adam."""
-    words = np.concatenate([w for w, _ in bags]).astype(np.int64)
-    sizes = np.concatenate([s for _, s in bags]).astype(np.int64)
-    doc_of_sentence = np.repeat(np.arange(len(bags)), [len(s) for _, s in bags])
-    sentence = np.repeat(np.arange(len(sizes)), sizes)
-    doc_of_word = doc_of_sentence[sentence]
-    pairs = np.unique(doc_of_word * SLOTS + words)
-    often = telling(pairs % SLOTS, y[pairs // SLOTS], y)
-    index = np.full(SLOTS, -1)
+    often = telling([w for w, _ in bags], y)
+    index = np.full(SLOTS, -1, np.int32)
     index[often] = np.arange(len(often))
-    kept = index[words] >= 0
-    words, sentence = index[words[kept]], sentence[kept]
+    # only words with a weight are kept, so the sample is in memory once, as it came
+    words, sentence, n_sentences, n = [], [], [], 0
+    for bag, sizes in bags:
+        own = index[bag]
+        words.append(own[own >= 0])
+        sentence.append((np.repeat(np.arange(len(sizes), dtype=np.int32), sizes) + n)[own >= 0])
+        n_sentences.append(len(sizes))
+        n += len(sizes)
+    words, sentence = np.concatenate(words), np.concatenate(sentence)
+    doc_of_sentence = np.repeat(np.arange(len(bags)), n_sentences)
     w = np.zeros(len(often) + 1)
     w[-1] = -4.0
     m, v = np.zeros_like(w), np.zeros_like(w)
-    n = len(sizes)
     for step in range(1, steps + 1):
         z = w[-1] + np.bincount(sentence, w[words], n)
         p = 1 / (1 + np.exp(-z))
