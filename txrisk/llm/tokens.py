@@ -15,7 +15,7 @@ import re
 from struct import pack
 
 #: entries of a memo; a full memo starts anew, which changes speed only
-MEMO = 800_000
+MEMO = 300_000
 #: longer parts are not kept
 LONGEST = 64
 

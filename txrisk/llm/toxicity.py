@@ -66,7 +66,7 @@ def slot(feature: str) -> int:
     return xxhash.xxh3_64_intdigest(feature.encode("utf-8", "surrogatepass")) % SLOTS
 
 
-@lru_cache(200_000)
+@lru_cache(50_000)
 def slots(word: str) -> tuple[int, ...]:
     """The slots of a word and of its beginnings."""
     return slot(word), *(slot(f"{word[:n]}-") for n in BEGINNINGS if len(word) >= n)
@@ -170,7 +170,7 @@ class _Weights(dict):
         self.by_slot = model.weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         weight = math.fsum(self.by_slot.get(x, 0.0) for x in slots(word))
         if len(word) < 64:
