@@ -91,3 +91,12 @@ def test_earlier_rows_count_in_frames(spark, sf_dir):
 def test_feature_table_schema(spark, sf_dir):
     table = features.feature_table(transactions(spark, sf_dir))
     assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in schema.FEATURES]
+
+
+def test_day_means_keep_their_digits(spark):
+    """Amounts of any size, infinite or not a number, count in their own frames only."""
+    amounts = [(1, 0, 1e17), (1, 10, 1.0), (2, 12, 2.0), (2, 14, 3.0), (4, 0, float("nan")), (4, 1, 5.0), (6, 0, float("inf")), (8, 0, 7.0), (20, 0, 8.0)]
+    tx = spark.createDataFrame([(i, d, h, a) for i, (d, h, a) in enumerate(amounts)], "transaction_id long, d int, h int, tx_amount double")
+    tx = tx.selectExpr("*", "1L AS customer_id", "2L AS terminal_id", "make_timestamp_ntz(2024, 1, d, h, 0, 0) AS tx_datetime").drop("d", "h")
+    got, want = rows(features.rolling_features(tx, frames_by="days")), rows(plain(tx, "days"))
+    pd.testing.assert_frame_equal(got, want, check_dtype=False, rtol=0, atol=0)

@@ -180,3 +180,68 @@ def test_window_batches_equal_batch(spark, sf_dir, tmp_path):
     got = spark.read.parquet(out).select(*want.columns)
     a, b = (d.toPandas().sort_values("transaction_id").reset_index(drop=True) for d in (got, want))
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_late_rows_are_returned(spark, sf_dir, tmp_path):
+    """A row older than what its keys had before goes to the late table; the others are as in batch."""
+    inbox, out, checkpoint, late = (str(tmp_path / n) for n in ("in", "out", "checkpoint", "late"))
+    tx = transactions(spark, sf_dir).withColumn("terminal_id", F.col("customer_id"))
+    one, first = tx.first().customer_id, F.col("tx_time_days") < 20
+    mine = tx.filter(F.col("customer_id") == one)
+    held = mine.filter(first).orderBy("tx_datetime").first().transaction_id
+    early = F.col("transaction_id") == held
+    parts = [tx.filter(first & ~early), tx.filter(~first).limit(10).unionByName(tx.filter(early))]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(tx.schema).parquet(inbox)
+        stream.rolling_features_batches(source, out, checkpoint, late=late).awaitTermination()
+    assert [r.transaction_id for r in spark.read.parquet(late).collect()] == [held]
+    done = spark.read.parquet(out).drop("batch")
+    want = features.rolling_features(parts[0].unionByName(parts[1].filter(~early)))
+    assert values(done.select(*want.columns)) == values(want)
+    # the second micro-batch keeps rows of its own keys only
+    assert spark.read.parquet(f"{checkpoint}/last-rows/customer_id/1").count() <= 10
+
+
+def test_tables_of_last_rows_are_merged(spark, sf_dir, tmp_path, monkeypatch):
+    from txrisk.streaming import rolling
+
+    monkeypatch.setattr(rolling, "MERGE_EVERY", 2)
+    inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    tx = transactions(spark, sf_dir)
+    for part in range(6):
+        tx.filter(F.floor(F.col("tx_time_days") * 6 / 30) == part).coalesce(1).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(tx.schema).parquet(inbox)
+        stream.rolling_features_batches(source, out, checkpoint).awaitTermination()
+    want = features.rolling_features(tx)
+    assert values(spark.read.parquet(out).select(*want.columns)) == values(want)
+    left = {p.name for p in (tmp_path / "checkpoint" / "last-rows" / "customer_id").iterdir()}
+    assert left == {"upto-2", "upto-4", "2", "3", "4", "5"}
+
+
+def test_frames_skip_missing_amounts():
+    import numpy as np
+
+    from txrisk.streaming.rolling import frame_values
+
+    counts, means = frame_values([float("nan")], np.array([1.0, 2.0, 3.0]), 1)
+    assert counts.tolist() == [2, 2, 2] and means.tolist() == [1.0, 1.5, 2.5]
+    assert frame_values([1e17, 1.0], np.array([2.0, 3.0]), 1)[1].tolist() == [1.5, 2.5]
+    assert np.isnan(frame_values([], np.array([float("nan")]), 7)[1][0])
+
+
+def test_every_message_is_answered(spark, tmp_path, model):
+    sent = messages(spark, json.dumps(BODY), "no json", json.dumps({**BODY, "tx_amount": None}))
+    got = {r.key: json.loads(r.value) for r in stream.score_stream(sent, model).collect()}
+    assert set(got["0"]) == {"prediction"}
+    assert got["1"] == {"rejected": ",".join(schema.MESSAGE_FIELDS)} and got["2"] == {"rejected": "tx_amount"}
+    sent.coalesce(1).write.parquet(str(tmp_path / "in"))
+    log = stream.ProgressLog(spark, str(tmp_path / "log"), every=1)
+    spark.streams.addListener(log)
+    source = stream.read_messages(spark, "parquet", {"path": str(tmp_path / "in")})
+    q = jobs.score_stream(source, model, "parquet", {"path": str(tmp_path / "out")}, str(tmp_path / "c"), available_now=True)
+    q.awaitTermination()
+    row = stream.progress_rows(spark, q).filter("input_rows > 0").first()
+    assert (row.scored, row.rejects) == (1, 2)
+    log.flush()
+    spark.streams.removeListener(log)

@@ -276,3 +276,15 @@ def sweep_rows(sweep: DataFrame, run_id: str, model: str = "model") -> DataFrame
 def average_runs(rows: DataFrame) -> DataFrame:
     """Mean of every metric over the repeats in a long metric table."""
     return rows.groupBy("model", "metric").agg(F.avg("value").alias("value"))
+
+
+def log_metrics(rows: DataFrame, path: str) -> None:
+    """Append the metric rows of a run to the log at ``path``, with the time of logging."""
+    rows.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def latest_run(log: DataFrame) -> DataFrame:
+    """The rows of the run that was logged last, per model; of runs logged at one moment the larger id."""
+    newest = log.groupBy("model").agg(F.max(F.struct("logged_at", "run_id")).alias("_newest"))
+    newest = newest.select("model", F.col("_newest.run_id").alias("run_id"))
+    return log.join(newest, ["model", "run_id"], "left_semi").drop("logged_at")

@@ -120,8 +120,9 @@ def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames:
 
     A sliding range frame would visit every second of 30 days for every second.
     Instead a frame is put together from three sums: this day so far, the days
-    between, and the rest of the day the frame starts in.  Each is a running sum, and a
-    window partition holds the seconds of one day.
+    between, and the rest of the day the frame starts in (a running sum from its end).  A
+    window partition holds the seconds of a few days.  Nothing is taken away again, so
+    amounts outside a frame, however large, leave its mean alone.
     """
     # what is added up: per statistic a value for each row
     parts = {"n": F.count(ID)} if "count" in stats else {}
@@ -130,13 +131,19 @@ def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames:
     seconds = base.groupBy(key, "_sec").agg(*[v.alias(p) for p, v in parts.items()])
     seconds = seconds.withColumn("_day", F.floor(F.col("_sec") / DAY).cast("long"))
 
-    # totals of whole days, and their sums over the days a frame covers up to today
+    # totals of whole days, and their sums over the days that lie whole in a frame before today
     totals = seconds.groupBy(key, "_day").agg(*[F.sum(p).alias(p) for p in parts])
     by_day = Window.partitionBy(key).orderBy("_day")
+
+    def whole_days(part: str, n: int) -> Column:
+        if n == 1:
+            return F.lit(0)
+        return F.coalesce(F.when(F.col("_day").isNotNull(), F.sum(part).over(by_day.rangeBetween(1 - n, -1))), F.lit(0))
+
     covered = totals.select(
         F.col(key).alias("_key"),
         F.col("_day").alias("_on"),
-        *[F.coalesce(F.sum(p).over(by_day.rangeBetween(-n, -1)), F.lit(0)).alias(f"{p}_{n}") for n in frames for p in parts],
+        *[whole_days(p, n).alias(f"{p}_{n}") for n in frames for p in parts],
     )
 
     # each second also goes to the day whose frames start in its own day
@@ -145,15 +152,18 @@ def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames:
     same_day = spread[key].eqNullSafe(covered["_key"]) & spread["_day"].eqNullSafe(covered["_on"])
     spread = spread.join(covered, same_day, "inner").drop("_key", "_on")
 
-    in_day = Window.partitionBy(key, "_day").orderBy(F.col("_sec") + F.col("_age") * DAY)
-    so_far = in_day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = in_day.rangeBetween(Window.unboundedPreceding, -1)
+    in_day = Window.partitionBy(key, "_day")
+    moment = F.col("_sec") + F.col("_age") * DAY
+    so_far = in_day.orderBy(moment).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    from_here = in_day.orderBy(moment.desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
     def running(age: int, part: str, frame: WindowSpec) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("_age") == age, F.col(part))).over(frame), F.lit(0))
+        # rows without a time share one frame, which is the first sum
+        counted = (F.col("_age") == age) & (F.col("_sec").isNotNull() if age else F.lit(True))
+        return F.coalesce(F.sum(F.when(counted, F.col(part))).over(frame), F.lit(0))
 
     sums = {
-        f"_{p}_{n}": running(0, p, so_far) + F.col(f"{p}_{n}") - running(n, p, earlier) for n in frames for p in parts
+        f"_{p}_{n}": running(0, p, so_far) + F.col(f"{p}_{n}") + running(n, p, from_here) for n in frames for p in parts
     }
     named = {}
     for n in frames:

@@ -29,15 +29,14 @@ def clean(
 ) -> DataFrame:
     """De-duplicate, drop invalid rows, parse dates and drop outliers.
 
-    A date that does not parse is NULL in the result.  ``staged`` writes the columns
-    the fences need once, so that several passes over them do not repeat the
-    de-duplication; the passes then read single Parquet columns.
+    A date that does not parse is NULL in the result.  ``staged`` writes the valid rows
+    once, so that neither the passes for the fences, which then read single Parquet columns, nor
+    the result repeat the de-duplication.
     """
     valid = quality.drop_invalid(quality.dedup(raw, ["transaction_id"]))
-    basis = valid.select(*iqr_columns)
     if staged:
-        basis = settle(basis, "fences")
-    inside = quality.within(quality.fences(basis, iqr_columns, k, mode=mode, exact=exact))
+        valid = settle(valid, "valid")
+    inside = quality.within(quality.fences(valid.select(*iqr_columns), iqr_columns, k, mode=mode, exact=exact))
     return quality.parse_datetime(valid.filter(inside))
 
 
@@ -138,6 +137,9 @@ def score_stream(
     checkpoint: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Score a stream of messages and send the replies; restartable from ``checkpoint``."""
+    """Score a stream of messages and answer each, rejects too; restartable from ``checkpoint``.
+
+    Counts of predictions, positives and rejects come with the progress of the query.
+    """
     replies = scoring.score_stream(source, model)
     return messages.write_messages(replies, sink_format, sink_options, checkpoint, available_now=available_now)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from txrisk.plans.queries import CLEAN_FENCES, FENCED, SALT, SEED
-from txrisk.schema import FRAMES, MESSAGE_FIELDS, NON_NEGATIVE, RAW_TX
+from txrisk.schema import FRAMES, IQR_COLUMNS, MESSAGE_FIELDS, NON_NEGATIVE, RAW_TX
 
 _TX = """
 tx AS (
@@ -167,6 +167,8 @@ def statements() -> dict[str, str]:
     fenced, kept = _fence_chain("tx", FENCED)
     joint, kept_joint = _fence_chain("tx", FENCED, joint=True)
     cleaned, kept_clean = _fence_chain("valid", CLEAN_FENCES)
+    # approximate quartiles are exact on tables this small
+    cleaned_approx, kept_approx = _fence_chain("valid", IQR_COLUMNS)
     scaled = ", ".join(
         f"round(CASE WHEN max({c}) OVER () = min({c}) OVER () THEN 0.5 ELSE ({c}::DOUBLE - min({c}::DOUBLE) OVER ())"
         f" / (max({c}::DOUBLE) OVER () - min({c}::DOUBLE) OVER ()) END, 6) AS {c}_scaled"
@@ -181,6 +183,19 @@ def statements() -> dict[str, str]:
     )
     decoded = f"WITH {_ROWS} SELECT transaction_id::VARCHAR AS key, {message} FROM ({epoch_rolled})"
     valid = " AND ".join(f"{c} >= 0" for c in NON_NEGATIVE)
+    fitted = f"""{tx} SELECT {{}}, round(tx_amount * slope + base, 6) AS prediction
+        FROM tx, (SELECT regr_slope(tx_fraud, tx_amount) AS slope, regr_intercept(tx_fraud, tx_amount) AS base FROM tx)"""
+    logged = f"""{sc}, {model_counts}, {_RATIOS}, {_AUC}, {_SWEEP}
+        SELECT 'run-{{}}' AS run_id, model, metric, round(value, 6) AS value FROM (
+          SELECT model, 'avg_F1_Score' AS metric, f1 AS value FROM prf
+          UNION ALL SELECT model, 'avg_ROC_AUC', roc_auc FROM auc
+          UNION ALL SELECT model, printf('avg_Precision_Threshold_%.2f', threshold), precision FROM sweep
+          UNION ALL SELECT model, printf('avg_Recall_Threshold_%.2f', threshold), recall FROM sweep)"""
+    rejects = f"""{tx} SELECT transaction_id::VARCHAR AS key,
+        CASE WHEN transaction_id % 7 = 0 THEN '{",".join(MESSAGE_FIELDS)}' ELSE 'tx_amount' END AS rejected
+        FROM tx WHERE transaction_id % 7 = 0 OR transaction_id % 11 = 0 OR transaction_id % 13 = 0"""
+    windows = """SELECT (floor(epoch(tx_datetime))::BIGINT // 3600) * 3600 AS window_start,
+        count(*) AS predictions, count(*) FILTER (WHERE prediction = 1) AS positives FROM scored GROUP BY 1"""
     return {
         # sources and sinks
         "scan_transactions": f"{tx} SELECT {_TEXTED} FROM tx",
@@ -233,6 +248,9 @@ def statements() -> dict[str, str]:
         "clean_transactions": f"""{raw}, {cleaned} SELECT {_COLS} FROM (SELECT * REPLACE (
             strftime(try_strptime(tx_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS tx_datetime)
             FROM {kept_clean})""",
+        "clean_transactions_approx": f"""{raw}, {cleaned_approx} SELECT {_COLS} FROM (SELECT * REPLACE (
+            strftime(try_strptime(tx_datetime, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS tx_datetime)
+            FROM {kept_approx})""",
         # rolling features
         "rolling_customer_count": f"WITH {_ROWS} SELECT "
         + _pick(*_IDS, *[f"avg_transaction_count_{n}" for n in FRAMES])
@@ -285,8 +303,9 @@ def statements() -> dict[str, str]:
             )}, {", ".join(f"(i = {i})::INTEGER::DOUBLE AS scenario_{i}" for i in range(3))}
             FROM tx JOIN cats ON tx_fraud_scenario = category""",
         # training
-        "linear_fit_amount": f"""{tx} SELECT transaction_id, tx_fraud, round(tx_amount * slope + base, 6) AS prediction
-            FROM tx, (SELECT regr_slope(tx_fraud, tx_amount) AS slope, regr_intercept(tx_fraud, tx_amount) AS base FROM tx)""",
+        "linear_fit_amount": fitted.format("transaction_id, tx_fraud"),
+        "batch_score": fitted.format("transaction_id, tx_fraud"),
+        "stream_score": fitted.format("transaction_id::VARCHAR AS key"),
         # evaluation
         "confusion_matrix": f"{sc} SELECT {_CELLS} FROM scored",
         "precision_recall_f1": f"""{sc}, {counts}, {_RATIOS} SELECT tp, fp, fn, tn, round(precision, 6) AS precision,
@@ -314,12 +333,8 @@ def statements() -> dict[str, str]:
             round(far, 6) AS false_alarm_rate, recall >= 0.98 AND far <= 0.05 AS meets_goals
             FROM (SELECT *, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0.0) AS recall,
                          coalesce(fp::DOUBLE / nullif(fp + tn, 0), 0.0) AS far FROM counts)""",
-        "metric_rows": f"""{sc}, {model_counts}, {_RATIOS}, {_AUC}, {_SWEEP}
-            SELECT 'run-1' AS run_id, model, metric, round(value, 6) AS value FROM (
-              SELECT model, 'avg_F1_Score' AS metric, f1 AS value FROM prf
-              UNION ALL SELECT model, 'avg_ROC_AUC', roc_auc FROM auc
-              UNION ALL SELECT model, printf('avg_Precision_Threshold_%.2f', threshold), precision FROM sweep
-              UNION ALL SELECT model, printf('avg_Recall_Threshold_%.2f', threshold), recall FROM sweep)""",
+        "metric_rows": logged.format(1),
+        "metric_log": logged.format(2),
         "metric_averages": f"""{sc}, counts AS (SELECT model, transaction_id % 3 AS rep, {_CELLS} FROM stacked
               GROUP BY model, rep), {_RATIOS}
             SELECT model, metric, round(avg(value), 6) AS value FROM (
@@ -329,12 +344,15 @@ def statements() -> dict[str, str]:
         # messages and streams
         "encode_messages": decoded,
         "stream_decode": decoded,
-        "decode_rejects": f"""{tx} SELECT transaction_id::VARCHAR AS key,
-            CASE WHEN transaction_id % 7 = 0 THEN '{",".join(MESSAGE_FIELDS)}' ELSE 'tx_amount' END AS rejected
-            FROM tx WHERE transaction_id % 7 = 0 OR transaction_id % 11 = 0 OR transaction_id % 13 = 0""",
+        "decode_rejects": rejects,
+        "stream_rejects": rejects,
+        "stream_rolling_customers": f"WITH {_ROWS} SELECT "
+        + _pick("transaction_id", "customer_id", *[f"avg_transaction_{s}_{n}" for s in ("count", "mean") for n in FRAMES])
+        + " FROM rolled",
+        "stream_prediction_counts": f"""{sc}, per AS ({windows})
+            SELECT * FROM per WHERE window_start + 3600 <= (SELECT floor(max(epoch(tx_datetime)))::BIGINT - 600 FROM scored)""",
         "stream_rolling_features": f"WITH {_ROWS} SELECT {_ROLLED} FROM rolled",
-        "prediction_counts": f"""{sc} SELECT (floor(epoch(tx_datetime))::BIGINT // 3600) * 3600 AS window_start,
-            count(*) AS predictions, count(*) FILTER (WHERE prediction = 1) AS positives FROM scored GROUP BY 1""",
+        "prediction_counts": f"{sc} {windows}",
         "match_replies": f"""{tx} SELECT transaction_id::VARCHAR AS key, 'request' AS value, sent AS ts,
             CASE WHEN d <= 60 THEN 'reply after ' || d::VARCHAR END AS reply,
             CASE WHEN d <= 60 THEN sent + d END AS reply_ts

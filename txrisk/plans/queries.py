@@ -28,6 +28,7 @@ from txrisk.streaming import (
     predictions,
     read_messages,
     rolling_features_batches,
+    rolling_features_stream,
     to_messages,
     write_messages,
 )
@@ -360,6 +361,15 @@ def metric_rows(spark, sf_dir):
     return tidy(compared.unionByName(evaluate.sweep_rows(sweep, "run-1")))
 
 
+@query
+def metric_log(spark, sf_dir):
+    """The last of two logged runs."""
+    rows, path = settle(metric_rows(spark, sf_dir), "metrics"), new_path(spark, "metric-log")
+    for run in ("run-1", "run-2"):
+        evaluate.log_metrics(rows.withColumn("run_id", F.lit(run)), path)
+    return evaluate.latest_run(spark.read.parquet(path))
+
+
 @query
 def metric_averages(spark, sf_dir):
     """Three repeats, a third of the transactions each."""
@@ -404,9 +414,22 @@ def logistic_fit(spark, sf_dir):
     return tidy(evaluate.scores(train.score(model, table)).select("transaction_id", LABEL, "score", "prediction"))
 
 
+def _amount_model(spark, table):
+    """A model of one column, saved and loaded again; its predictions have a closed form in SQL."""
+    path = new_path(spark, "model")
+    train.save_model(train.linear_pipeline(columns=["tx_amount"]).fit(table), path)
+    return train.load_model(path)
+
+
 @query
 def batch_score(spark, sf_dir):
     """Save a model, load it and score the table with it."""
+    table = transactions(spark, sf_dir)
+    return tidy(train.score(_amount_model(spark, table), table).select("transaction_id", LABEL, "prediction"))
+
+
+@query
+def batch_score_logistic(spark, sf_dir):
     table, model = _logistic(spark, sf_dir)
     path = new_path(spark, "model")
     train.save_model(model, path)
@@ -470,30 +493,77 @@ def stream_decode(spark, sf_dir):
     return tidy(_run(spark, good, "decoded"))
 
 
+def _scored_stream(spark, messages, model, name):
+    inbox = new_path(spark, "messages")
+    messages.write.parquet(inbox)
+    return _run(spark, predictions(read_messages(spark, "parquet", {"path": inbox}), model), name)
+
+
 @query
 def stream_score(spark, sf_dir):
+    table = settle(sources.keyed_features(spark, sf_dir), "features")
+    model = _amount_model(spark, transactions(spark, sf_dir))
+    scored_ = _scored_stream(spark, to_messages(table, key="transaction_id"), model, "predictions")
+    return tidy(scored_.select("key", "prediction"))
+
+
+@query
+def stream_score_logistic(spark, sf_dir):
     table, model = _logistic(spark, sf_dir)
-    inbox = new_path(spark, "messages")
-    to_messages(table, key="transaction_id").write.parquet(inbox)
-    source = read_messages(spark, "parquet", {"path": inbox})
-    return tidy(_run(spark, predictions(source, model), "predictions").select("key", "prediction"))
+    scored_ = _scored_stream(spark, to_messages(table, key="transaction_id"), model, "predictions")
+    return tidy(scored_.select("key", "prediction"))
 
 
 @query
-def stream_rolling_features(spark, sf_dir):
-    """Rolling features of a stream that arrives in two parts, the second after a restart."""
+def stream_rejects(spark, sf_dir):
+    """Messages that a scoring stream answers with the fields at fault."""
+    model = _amount_model(spark, transactions(spark, sf_dir))
+    scored_ = _scored_stream(spark, sources.faulty_messages(spark, sf_dir), model, "predictions")
+    return scored_.filter((F.col("rejected") != "") & F.col("prediction").isNull()).select("key", "rejected")
+
+
+@query
+def stream_prediction_counts(spark, sf_dir):
+    """Counts of the windows that the watermark has closed, in append mode."""
+    inbox = new_path(spark, "scored")
+    table = scored(spark, sf_dir).select(F.timestamp_seconds(F.unix_timestamp("tx_datetime")).alias("ts"), "prediction")
+    table.write.parquet(inbox)
+    counts = prediction_counts(spark.readStream.schema(table.schema).parquet(inbox), window="1 hour")
+    return _run(spark, counts, "counts").withColumn("window_start", F.unix_timestamp("window_start"))
+
+
+def _halves(spark, sf_dir):
+    """The transactions in two parts of time."""
     table = transactions(spark, sf_dir)
     middle = table.agg(((F.min("tx_time_seconds") + F.max("tx_time_seconds")) / 2).cast("long")).scalar()
-    inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "rolled", "rolled-checkpoint"))
     early = F.col("tx_time_seconds") <= middle
-    for part in (table.filter(early), table.filter(~early)):
+    return table.filter(early), table.filter(~early)
+
+
+@query
+def stream_rolling_features(spark, sf_dir):
+    """Rolling features of a stream that arrives in two parts, the second after a restart."""
+    inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "rolled", "rolled-checkpoint"))
+    for part in _halves(spark, sf_dir):
         part.write.mode("append").parquet(inbox)
-        source = spark.readStream.schema(table.schema).parquet(inbox)
+        source = spark.readStream.schema(part.schema).parquet(inbox)
         rolling_features_batches(source, out, checkpoint).awaitTermination()
     rolled = spark.read.parquet(out)
     return tidy(rolled.select(*_IDS, *MESSAGE_FIELDS[4:]))
 
 
+@query
+def stream_rolling_customers(spark, sf_dir):
+    """The same for customers, with keyed state."""
+    inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "rolled", "rolled-checkpoint"))
+    for part in _halves(spark, sf_dir):
+        part.write.mode("append").parquet(inbox)
+        rolled = rolling_features_stream(spark.readStream.schema(part.schema).parquet(inbox))
+        write_messages(rolled, "parquet", {"path": out}, checkpoint, available_now=True).awaitTermination()
+    names = [f"avg_transaction_{s}_{n}" for s in ("count", "mean") for n in FRAMES]
+    return tidy(spark.read.schema(rolled.schema).parquet(out).select("transaction_id", "customer_id", *names))
+
+
 @query
 def prediction_counts_(spark, sf_dir):
     table = scored(spark, sf_dir).withColumn("ts", F.timestamp_seconds(F.unix_timestamp("tx_datetime")))

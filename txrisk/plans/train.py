@@ -11,7 +11,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 
-from txrisk.operators import mlprep
+from txrisk.operators import evaluate, mlprep
 from txrisk.schema import LABEL, MESSAGE_FIELDS
 
 #: grid of the linear model (fixed values)
@@ -59,16 +59,12 @@ def linear_grid(
     )
 
 
-def _spaced(n: int) -> list[float]:
-    return [i / (n - 1) for i in range(n)] if n > 1 else [0.0]
-
-
 def logistic_grid(estimator: LogisticRegression, n_reg: int = 1, n_elastic: int = 1) -> list:
     """Evenly spaced values in 0..1 for either penalty."""
     return (
         ParamGridBuilder()
-        .addGrid(estimator.regParam, _spaced(n_reg))
-        .addGrid(estimator.elasticNetParam, _spaced(n_elastic))
+        .addGrid(estimator.regParam, evaluate.thresholds(n_reg))
+        .addGrid(estimator.elasticNetParam, evaluate.thresholds(n_elastic))
         .build()
     )
 
@@ -120,7 +116,7 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def best_params(df: DataFrame, model, names: Sequence[str] = ("regParam", "elasticNetParam", "fitIntercept")) -> DataFrame:
-    """Parameters of the last stage of a fitted model, as rows ``(param, value)``."""
+    """Parameters of the last stage of a fitted model, as rows ``(param, value)``; names begin with ``optimal_`` (fixed)."""
     last = model.stages[-1] if isinstance(model, PipelineModel) else model
     rows = [(f"optimal_{n}", str(last.getOrDefault(n))) for n in names if last.hasParam(n)]
     return df.sparkSession.createDataFrame(rows, "param string, value string")

@@ -60,3 +60,11 @@ def settle(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders, wherever Spark can reach them; those that are not there are no fault."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(hadoop).delete(path, True)

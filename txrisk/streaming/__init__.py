@@ -3,9 +3,10 @@
 from txrisk.streaming.messages import decode, encode, mark, read_messages, replay, to_messages, write_messages
 from txrisk.streaming.replies import match_replies
 from txrisk.streaming.rolling import rolling_features_batches, rolling_features_stream
-from txrisk.streaming.scoring import prediction_counts, predictions, progress_rows, score_stream
+from txrisk.streaming.scoring import ProgressLog, prediction_counts, predictions, progress_rows, score_stream
 
 __all__ = [
+    "ProgressLog",
     "decode",
     "encode",
     "mark",

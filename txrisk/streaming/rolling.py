@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,6 +26,10 @@ from txrisk.operators.features import (
 )
 from txrisk.operators.hotkeys import HOT_ROWS
 from txrisk.schema import FRAMES
+from txrisk.session import remove
+
+#: micro-batches after which their tables of last rows become one
+MERGE_EVERY = 64
 
 STATE = T.StructType(
     [
@@ -38,13 +42,22 @@ STATE = T.StructType(
 
 
 def frame_values(before: Sequence[float], amounts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and mean amount of the frame of ``n`` rows back, for each new amount."""
-    values = np.concatenate([np.asarray(before, dtype=float), amounts])
-    sums = np.concatenate([[0.0], np.cumsum(values)])
-    ends = np.arange(len(before) + 1, len(values) + 1)
-    starts = np.maximum(ends - n - 1, 0)
-    counts = ends - starts
-    return counts, (sums[ends] - sums[starts]) / counts
+    """Rows and mean amount of the frame of ``n`` rows back, for each new amount.
+
+    A frame is added up by itself, so amounts outside it leave its mean alone.  NaN stands for a
+    missing amount: it counts as a row and not in the mean, which is NaN if all are missing.
+    """
+    first, m = len(before), len(amounts)
+    values = np.concatenate([np.full(n, np.nan), np.asarray(before, dtype=float), amounts])
+    priced = ~np.isnan(values)
+    filled = np.where(priced, values, 0.0)
+    sums, held = np.zeros(m), np.zeros(m)
+    for i in range(first, first + n + 1):
+        sums += filled[i : i + m]
+        held += priced[i : i + m]
+    counts = np.minimum(np.arange(first + 1, first + m + 1), n + 1)
+    with np.errstate(invalid="ignore"):
+        return counts, sums / held
 
 
 def rolling_features_stream(
@@ -61,7 +74,8 @@ def rolling_features_stream(
     put in order of time and id.  Input must then come in order from one micro-batch
     to the next, unless ``hold`` (such as ``"10 minutes"``) is given: rows then wait until
     the watermark has passed them, so rows that come up to that much late still find
-    their place, and the result equals the batch result.
+    their place, and the result equals the batch result.  An amount that is NULL or not a number
+    counts as a row and not in the means; a key may have any type.
 
     A key's share of a micro-batch is worked through in one task; the source's limit
     on the size of a micro-batch bounds it.
@@ -69,7 +83,7 @@ def rolling_features_stream(
     names = {n: (count.format(n), mean.format(n) if mean else None) for n in frames}
     fields = [
         T.StructField(ID, T.LongType()),
-        T.StructField(key, T.LongType()),
+        T.StructField(key, source.schema[key].dataType),
         T.StructField("at", T.LongType()),
         T.StructField(AMOUNT, T.DoubleType()),
     ]
@@ -106,7 +120,7 @@ def rolling_features_stream(
 
     timeout = GroupStateTimeout.NoTimeout
     rows = source.select(
-        F.col(key).cast("long").alias(key),
+        F.col(key),
         F.col(ID).cast("long").alias(ID),
         epoch_micros(TIME).alias("at"),
         F.col(AMOUNT),
@@ -118,6 +132,41 @@ def rolling_features_stream(
     return rows.groupBy(key).applyInPandasWithState(per_key, output, STATE, "append", timeout)
 
 
+def _stored(spark: SparkSession, folder: str, key: str, number: int, longest: int) -> DataFrame:
+    """Last rows of all micro-batches before ``number``: what was merged last, and what came since.
+
+    Every ``MERGE_EVERY`` micro-batches the tables are merged into one; those that no repetition of a
+    micro-batch can ask for any more are removed.
+    """
+    at, since = number - number % MERGE_EVERY, number % MERGE_EVERY
+
+    def tables(merged: int, end: int) -> DataFrame:
+        return spark.read.parquet(*([f"{folder}/upto-{merged}"] if merged else []), *[f"{folder}/{i}" for i in range(merged, end)])
+
+    if at and not since:
+        earlier = at - MERGE_EVERY
+        last_rows(tables(earlier, at), key, longest).write.mode("overwrite").parquet(f"{folder}/upto-{at}")
+        gone = range(max(0, earlier - MERGE_EVERY), earlier)
+        remove(spark, f"{folder}/upto-{earlier - MERGE_EVERY}", *[f"{folder}/{i}" for i in gone])
+    return tables(at, number)
+
+
+def _before(batch: DataFrame, stored: DataFrame, key: str, longest: int) -> DataFrame:
+    """Last rows, before the micro-batch, of the keys it holds."""
+    keys = batch.select(F.col(key).alias("_key")).distinct()
+    return last_rows(stored.join(keys, stored[key].eqNullSafe(keys["_key"]), "left_semi"), key, longest)
+
+
+def _with_late(batch: DataFrame, earlier: Mapping[str, DataFrame]) -> DataFrame:
+    """Add ``_late``: the row comes before one of its customer or terminal that was worked out already."""
+    late = F.lit(False)
+    for key, rows in earlier.items():
+        newest = rows.groupBy(F.col(key).alias(f"_{key}")).agg(F.max(F.struct(TIME, ID)).alias(f"_newest_{key}"))
+        batch = batch.join(newest, batch[key].eqNullSafe(newest[f"_{key}"]), "left")
+        late = late | F.coalesce(F.struct(TIME, ID) < F.col(f"_newest_{key}"), F.lit(False))
+    return batch.withColumn("_late", late).drop(*[f"{p}{k}" for k in earlier for p in ("_", "_newest_")])
+
+
 def rolling_features_batches(
     source: DataFrame,
     path: str,
@@ -125,32 +174,45 @@ def rolling_features_batches(
     frames: Sequence[int] = FRAMES,
     hot_rows: int | None = HOT_ROWS,
     available_now: bool = True,
+    late: str | None = None,
 ) -> StreamingQuery:
     """All rolling features of a stream, one window plan per micro-batch, written to ``path``.
 
     The form for large micro-batches: everything runs as batch windows, so hot keys
-    are cut as they are there, and no Python sees a row.  Between micro-batches the
-    last rows of each customer and terminal are kept as tables next to the checkpoint.
-    A micro-batch overwrites only its own folders and reads only the tables of the one
-    before it, so doing it again after a failure gives the same result.  Input must
-    come in order of time from one micro-batch to the next.
+    are cut as they are there, and no Python sees a row.  A micro-batch stores the last rows of its own
+    customers and terminals in a table next to the checkpoint, and takes from those of
+    the micro-batches before it the rows of its keys.  It overwrites only its own folders, so
+    doing it again after a failure gives the same result.
+
+    Input should come in order of time from one micro-batch to the next.  A row that comes before one of its
+    customer or terminal in an earlier micro-batch is late: its frame, and those after it, are
+    done.  It goes, without features, to ``late`` (``<checkpoint>/late`` if not given) and counts in no frame.
     """
     longest = max(frames)
+    keys = (CUSTOMER, TERMINAL)
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        earlier = {}
-        if number:
-            earlier = {k: spark.read.parquet(f"{checkpoint}/last-rows/{k}/{number - 1}") for k in (CUSTOMER, TERMINAL)}
-        rolled = rolling_features(batch, frames, hot_rows=hot_rows, earlier=earlier)
-        rolled.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        for k in (CUSTOMER, TERMINAL):
-            rows = batch.select(k, TIME, ID, AMOUNT)
-            if earlier:
-                rows = rows.unionByName(earlier[k].select(*rows.columns))
-            last_rows(rows, k, longest).write.mode("overwrite").parquet(f"{checkpoint}/last-rows/{k}/{number}")
-        batch.unpersist()
+        held = [batch.persist()]
+        try:
+            earlier = {}
+            if number:
+                for k in keys:
+                    stored = _stored(spark, f"{checkpoint}/last-rows/{k}", k, number, longest)
+                    earlier[k] = _before(batch, stored, k, longest).persist()
+                held += earlier.values()
+                marked = _with_late(batch, earlier).persist()
+                held.append(marked)
+                missed = marked.filter("_late").drop("_late")
+                missed.write.mode("overwrite").parquet(f"{late or checkpoint + '/late'}/batch={number}")
+                batch = marked.filter("not _late").drop("_late")
+            rolled = rolling_features(batch, frames, hot_rows=hot_rows, earlier=earlier)
+            rolled.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            for k in keys:
+                last_rows(batch, k, longest).write.mode("overwrite").parquet(f"{checkpoint}/last-rows/{k}/{number}")
+        finally:
+            for df in held:
+                df.unpersist()
 
     writer = source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     if available_now:
