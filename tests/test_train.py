@@ -4,7 +4,7 @@ from txrisk import evaluate, jobs, sources, train
 from txrisk.sources import transactions
 
 
-def test_grids():
+def test_grids(spark):
     assert len(train.linear_grid(train.linear())) == 50
     assert len(train.logistic_grid(train.logistic())) == 1
     assert len(train.logistic_grid(train.logistic(), 3, 2)) == 6
