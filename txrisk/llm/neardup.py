@@ -39,9 +39,6 @@ from txrisk.session import settle
 PAIRS_PER_TASK = 256
 #: a set is summed up in ``2**BITS`` bits: whether an odd number of its items begin with each
 BITS = 10
-#: sets from which is told which items are common, and how many of those items are noted
-SAMPLED_SETS = 2048
-COMMON_ITEMS = 200_000
 
 
 class Params(NamedTuple):
@@ -55,9 +52,7 @@ SKETCHES = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))]
 )
 SETS = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("bits", pa.list_(pa.int64())), ("items", pa.binary())])
-PREFIXES = pa.schema(
-    [("id", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("item", pa.int64()), ("place", pa.int64())]
-)
+ITEMS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("item", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -138,43 +133,32 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return together.select("a", "b", "items").mapInArrow(partial(_confirm, percent=percent), ddl(LINKS))
 
 
-def _prefixes(batches: Iterable, percent: int, common_: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The items of each set that a set alike enough must share one of: the first in an order of all items."""
-
-    def rows() -> Iterator[tuple]:
-        for id_, n, component, items in rows_of(batches):
-            values = np.frombuffer(items, np.int64)
-            seen = np.zeros(n, np.int64)
-            if len(common_):
-                at = np.minimum(np.searchsorted(common_, values), len(common_) - 1)
-                seen = np.where(common_[at] == values, times[at], 0)
-            order = np.lexsort((values, seen))
-            for place in range(n - -(-percent * n // 100) + 1):
-                yield id_, n, component, int(values[order[place]]), place
-
-    yield from batches_of(rows(), PREFIXES, flush=8192)
-
-
 def _items(batches: Iterable) -> Iterator[pa.RecordBatch]:
+    """A row for each item of each set."""
     for batch in batches:
-        for items in batch.column(0).to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(items, np.int64))], ["item"])
+        for row in range(batch.num_rows):
+            items = np.frombuffer(batch.column("items")[row].as_py(), np.int64)
+            own = [pa.array(np.full(len(items), batch.column(name)[row].as_py(), np.int64)) for name in ("id", "n", "component")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(items)], ITEMS.names)
 
 
 def candidates(open_: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(lo, hi)`` of sets in different components that may be alike enough.  None is left out.
 
-    Items have one order, the rarer first.  The first item that two sets share leaves, in both, only those
+    Items have one order: first those that one component alone holds, which no pair can share, then the
+    rarer before the commoner, counted over all open sets.  The first item that two sets share leaves, in both, only those
     behind it to be shared, so it must stand early in both, and in the smaller set earlier still.  Pairs are
-    formed on such items alone; members of one component never meet.  How rare an item is comes from a
-    sample of the sets: that shapes the order, and so the work, but no result, as any order will do.
+    formed on such items alone; members of one component never meet.
     """
-    sample = open_.orderBy(F.xxhash64("id")).select("items").limit(SAMPLED_SETS)
-    counts = sample.mapInArrow(_items, "item long").groupBy("item").count().where("count >= 3")
-    often = sorted(tuple(r) for r in counts.orderBy(F.desc("count"), "item").limit(COMMON_ITEMS).collect())
-    common_, times = np.array([i for i, _ in often], np.int64), np.array([c for _, c in often], np.int64)
-    step = partial(_prefixes, percent=percent, common_=common_, times=times)
-    entries = open_.select("id", "n", "component", "items").mapInArrow(step, ddl(PREFIXES))
+    items = settle(open_.select("id", "n", "component", "items").mapInArrow(_items, ddl(ITEMS)), "items")
+    held = items.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("times"))
+    shared = items.join(held.where("lo <> hi").select("item", "times"), "item")
+    # the items of a set that are not here come first, so the others count from the end of the set
+    ordered = shared.groupBy("id", "n", "component").agg(F.sort_array(F.collect_list(F.struct("times", "item"))).alias("items"))
+    entries = ordered.select("id", "n", "component", F.size("items").alias("left"), F.posexplode("items").alias("at", "found"))
+    place = F.col("n") - F.col("left") + F.col("at")
+    entries = entries.select("id", "n", "component", F.col("found.item").alias("item"), place.alias("place"))
+    entries = entries.where(100 * (F.col("n") - F.col("place")) >= percent * F.col("n"))
     early = (100 + percent) * (F.col("n") - F.col("place")) >= 2 * percent * F.col("n")
     entries = settle(entries.withColumn("early", early), "prefixes")
     apart = entries.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("early").alias("any"))
