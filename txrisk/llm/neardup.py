@@ -163,16 +163,30 @@ def candidates(open_: DataFrame, percent: int) -> DataFrame:
     entries = settle(entries.withColumn("early", early), "prefixes")
     apart = entries.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("early").alias("any"))
     entries = settle(entries.join(apart.where("lo <> hi and any").select("item"), "item", "left_semi"), "prefixes")
-    met = (
-        entries.where("early").select("item", F.col("component").alias("cx")).distinct()
-        .join(entries.select("item", F.col("component").alias("cy")).distinct(), "item")
-        .where("cx <> cy")
-    )
-    x = entries.where("early").select("item", F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), F.col("place").alias("px"))
-    y = entries.select("item", F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), F.col("place").alias("py"))
+    return meetings(entries, percent)
+
+
+def meetings(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(lo, hi)`` of sets in different components that meet on an item and may be alike enough.
+
+    Components meet before their members do.  What the other component has at best (its least and largest
+    size, and the most that is left behind the item) already leaves out the members that can be
+    alike enough to none of it, so a large component gives rows to a small one only where they are of use.
+    """
+    y = entries.select("item", F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), (F.col("n") - F.col("place")).alias("ly"))
+    x = entries.where("early").select("item", F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), (F.col("n") - F.col("place")).alias("lx"))
+
+    def may(left, size):
+        return (100 + percent) * left >= percent * size
+
+    tops = y.groupBy("item", "cy").agg(F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"))
+    own = x.groupBy("item", "cx").agg(F.min("nx").alias("own_least"), F.max("lx").alias("own_top"))
+    met = own.join(tops, "item").where((F.col("cx") != F.col("cy")) & (F.col("own_least") <= F.col("most")))
+    met = met.where(may(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least"))).drop("own_least", "own_top")
+    near = met.join(x, ["item", "cx"]).where((F.col("nx") <= F.col("most")) & may(F.least("lx", "top"), F.col("nx") + F.greatest("nx", "least")))
+    near = near.select("item", "cy", "ix", "nx", "lx")
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
-    left = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
-    found = met.join(x, ["item", "cx"]).join(y, ["item", "cy"]).where(smaller & ((100 + percent) * left >= percent * (F.col("nx") + F.col("ny"))))
+    found = near.join(y, ["item", "cy"]).where(smaller & may(F.least("lx", "ly"), F.col("nx") + F.col("ny")))
     return found.select(F.least("ix", "iy").alias("lo"), F.greatest("ix", "iy").alias("hi")).distinct()
 
 
