@@ -7,7 +7,8 @@ likeness to another is s shares a key with it with the chance
 ``(1 - (1 - s**rows)**bands)**2``: 0.9994 at 0.8 and above 0.9999 at 0.86 with the values here.
 
 Texts with equal sets are one class and enter the tables once.  In a bucket, members are
-first compared with one of them (the same order in all buckets).  Where a bucket still holds
+first compared with one of them (the same order in all buckets), and those not joined to it with another, ``STARS`` times
+in all.  Where a bucket still holds
 several components, its members go on to a join that leaves out only pairs that cannot be alike enough
 (see :func:`candidates`), and every pair it finds in different components is compared.  So no pair that shares a bucket is
 left out unless both ends are already joined, and a group of thousands of copies, alike enough or
@@ -37,6 +38,8 @@ from txrisk.session import settle
 
 #: so many comparisons with one text are made by one task
 PAIRS_PER_TASK = 256
+#: so many times the open buckets are compared with one of their members, another one each time
+STARS = 3
 #: a set is summed up in ``2**BITS`` bits: whether an odd number of its items begin with each
 BITS = 10
 
@@ -190,6 +193,13 @@ def meetings(entries: DataFrame, percent: int) -> DataFrame:
     return found.select(F.least("ix", "iy").alias("lo"), F.greatest("ix", "iy").alias("hi")).distinct()
 
 
+def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(key, id, n, component)`` of the buckets whose members are not all joined yet."""
+    labelled = members.select("key", "id", "n").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    keys = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return labelled.join(keys, "key", "left_semi").select("key", "id", "n", "component")
+
+
 def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """Sketches of all rows, and ``(h1, h2, component_id)`` of each distinct set."""
     small_batches(docs.sparkSession)
@@ -216,12 +226,22 @@ def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataF
     links = settle(confirm(stars, sets, p.percent), "links")
     labels = components(links)
 
-    # buckets whose members are not all joined yet
-    labelled = members.drop("first").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_ = labelled.join(mixed_keys, "key", "left_semi").select("id", "n", "component").distinct()
+    for turn in range(1, STARS):
+        members = still_open(members, labels)
+        if members.isEmpty():
+            break
+        members = settle(members, "open")
+        firsts = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("turn"), "id", "n", "component")).alias("first"))
+        other = members.join(firsts, "key").where(F.col("component") != F.col("first.component")).where(alike("n", "first.n"))
+        more = settle(other.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+        found = settle(confirm(more, sets, p.percent), "links")
+        stars, links = stars.unionByName(more), links.unionByName(found)
+        if not found.isEmpty():
+            labels = components(links)
+
+    open_ = still_open(members, labels).select("id", "n", "component").distinct()
     rest = candidates(settle(open_.join(sets.select("id", "items"), "id"), "open"), p.percent)
-    tried = stars.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    tried = stars.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
     rest = settle(rest.join(tried, ["lo", "hi"], "left_anti").select(F.col("lo").alias("a"), F.col("hi").alias("b")), "pairs")
     if not rest.isEmpty():
         more = settle(confirm(rest, sets, p.percent), "links")
