@@ -228,6 +228,30 @@ def test_personal_data(docs, empty):
     assert pii.find(empty).count() == pii.mask(empty).count() == 0
 
 
+def test_numbers_of_a_list_share_their_context(spark):
+    many = "Social Security\n" + "\n".join(f"123-45-{i:04}" for i in range(60))
+    texts = ["ssn 123-45-6789 and 987-65-4321", "123-45-6789 (social security number)", many, "ssn 123-45-6789 " + "x " * 30 + "987-65-4321"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = ["ssn:4:15,ssn:20:31", "ssn:0:11", ",".join(f"ssn:{16 + 12 * i}:{27 + 12 * i}" for i in range(60)), "ssn:4:15"]
+    assert [r.spans for r in pii.find(df).orderBy("doc_id").collect()] == want
+    assert "-45-" not in pii.mask(df).where("doc_id < 3").toPandas().text.str.cat()
+
+
+def test_account_numbers_whatever_follows(spark):
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "NO9386011117947"
+    after = ["", " BIC COBADEFFXXX", " Bic", " 12", ".", " A B C 1 2 3", " DE89", " " + gb]
+    texts = [f"é {n}{x}" for n in (de, gb, no) for x in after] + [f"REF RF13 ABCD 1234 5678 IBAN {de}", de + "1", gb + "a", "x" + gb]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [r.spans for r in pii.find(df).orderBy("doc_id").collect()]
+    for text, told in zip(texts[: 3 * len(after)], found):
+        spans_ = {(2, 2 + len(n)) for n in (de, gb, no) if text[2:].startswith(n)}
+        if text.endswith(" " + gb):
+            spans_.add((len(text) - len(gb), len(text)))
+        assert [x for x in told.split(",") if x.startswith("iban")] == [f"iban:{a}:{b}" for a, b in sorted(spans_)], text
+    told = [[x for x in f.split(",") if x.startswith("iban")] for f in found[3 * len(after) :]]
+    assert told == [["iban:29:56"], [], [], []]
+
+
 def test_toxicity_learns_from_document_labels(spark, sf_dir, docs, empty):
     rnd = random.Random(2)
     plain = [f"word{i}" for i in range(300)]
