@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm import bpe, exact, licenses, neardup, packing, parsing, pii, repair, toxicity, warc
+from txrisk.llm import bpe, exact, jaccard, licenses, neardup, packing, parsing, pii, repair, spelling, toxicity, warc, whitening
 from txrisk.llm.common import documents
 from txrisk.session import new_path
 
@@ -98,3 +98,18 @@ def op10_warc_transactions(spark, sf_dir):
         warc.field(F.col("metadata"), "refersToPage").cast("long").alias("refers_to"),
         F.col("response.uri").alias("uri"),
     )
+
+
+@query
+def op11_jaccard_tiles(spark, sf_dir):
+    return jaccard.join(documents(spark, sf_dir), words=5, percent=80)
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", components=8, scale=1024, shift=100_000)
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(spelling.vocabulary(spelling.words(documents(spark, sf_dir), drop_every=97), least_length=5, least_times=3), ratio=2)
