@@ -25,7 +25,8 @@ text of any length is one row's array of 64-bit hashes in a task.  Columns besid
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import partial, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +47,15 @@ MEETS_PER_TASK = 4096
 #: an item of more components than this comes last in the order
 COMMON = 16
 #: items of a set's window beyond the first ones: so many, or this share of the set
-SPARE, SPARE_SHARE = 64, 0.1
+SPARE, SPARE_SHARE = 32, 0.05
+#: bits of the short signature that goes with a set into its tiles, as so many words
+SHORT_BITS, SHORT = 256, ("f0", "f1", "f2", "f3")
 #: bits of the largest signature
 MOST_BITS = 1 << 15
 
 SKETCHES = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("window", pa.list_(pa.int64())),
-     ("bits", pa.list_(pa.int64()))]
+     ("bits", pa.list_(pa.int64())), *[(f, pa.int64()) for f in SHORT]]
 )
 SETS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("items", pa.binary())])
 ITEMS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("item", pa.int64())])
@@ -71,9 +74,9 @@ def band_edges(percent: int) -> np.ndarray:
 
 
 def signature_bits(n: int, edges: np.ndarray) -> int:
-    """Classes of items for the sets of the band of ``n``, from 64 to ``MOST_BITS``; neighbouring bands differ by a factor of 2 at most."""
+    """Classes of items for the sets of the band of ``n``, from ``SHORT_BITS`` to ``MOST_BITS``; neighbouring bands differ by a factor of 2 at most."""
     least = int(edges[np.searchsorted(edges, n, "right") - 1])
-    return min(MOST_BITS, max(64, 1 << (2 * least - 1).bit_length()))
+    return min(MOST_BITS, max(SHORT_BITS, 1 << (2 * least - 1).bit_length()))
 
 
 def signature(items: np.ndarray, bits: int) -> np.ndarray:
@@ -117,9 +120,9 @@ def _sketch(batches: Iterable, words: int, percent: int) -> Iterator[pa.RecordBa
             n = len(items)
             if n:
                 window = items[: first_items(n, percent) + max(SPARE, int(SPARE_SHARE * n))].view(np.int64)
-                yield doc_id, n, *set_digest(items), window, signature(items, signature_bits(n, edges))
+                yield doc_id, n, *set_digest(items), window, signature(items, signature_bits(n, edges)), *signature(items, SHORT_BITS).tolist()
             else:
-                yield doc_id, 0, 0, 0, None, None
+                yield doc_id, 0, 0, 0, None, None, *[None] * len(SHORT)
 
     yield from batches_of(rows(), SKETCHES, flush=256)
 
@@ -264,16 +267,17 @@ def common_last(shared: DataFrame, open_ids: DataFrame, labels: DataFrame, sets,
     return settle(open_entries(settle(entries.select("*", early.alias("early")), "entries")), "entries")
 
 
-def meetings(entries: DataFrame, percent: int) -> DataFrame:
+def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of sets in different components that share a tile and may be alike enough.
 
     The smaller set of a pair finds the other by an early item, in its own band or the next.  Components meet first, by
-    what they have at best in the tile; then the members that can be alike enough to some member of the other.  The
-    members of a large component are cut into slices, so a tile that many sets share is spread over many tasks.
+    what they have at best in the tile; then the members that can be alike enough to some member of the other, by sizes, by what
+    is left and by their short signatures, so a pair that its bits rule out is not even formed.  The members of a large component are cut into slices, so a tile that many sets share is spread over many tasks.
     """
-    y = entries.select("item", F.col("band").alias("tile"), F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), F.col("left").alias("ly"))
+    entries = entries.join(classes.select("id", *SHORT), "id")
+    y = entries.select("item", F.col("band").alias("tile"), F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), F.col("left").alias("ly"), *[F.col(f).alias(f"{f}y") for f in SHORT])
     tiles = F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile")
-    x = entries.where("early").select("item", tiles, F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), F.col("left").alias("lx"))
+    x = entries.where("early").select("item", tiles, F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), F.col("left").alias("lx"), *SHORT)
     tops = y.groupBy("item", "tile", "cy").agg(
         F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"), F.ceil(F.count(F.lit(1)) / MEETS_PER_TASK).alias("slices")
     )
@@ -282,11 +286,14 @@ def meetings(entries: DataFrame, percent: int) -> DataFrame:
     met = met.where(may_overlap(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least"), percent)).drop("own_least", "own_top")
     wanted = (F.col("nx") <= F.col("most")) & may_overlap(F.least("lx", "top"), F.col("nx") + F.greatest("nx", "least"), percent)
     near = met.join(x, ["item", "tile", "cx"]).where(wanted)
-    near = near.select("item", "tile", "cy", "ix", "nx", "lx", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
+    near = near.select("item", "tile", "cy", "ix", "nx", "lx", *SHORT, F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
     sliced = y.join(tops.select("item", "tile", "cy", "slices"), ["item", "tile", "cy"])
-    sliced = sliced.select("item", "tile", "cy", "iy", "ny", "ly", F.pmod(F.xxhash64("iy"), F.col("slices")).alias("slice"))
+    sliced = sliced.select("item", "tile", "cy", "iy", "ny", "ly", *[f"{f}y" for f in SHORT], F.pmod(F.xxhash64("iy"), F.col("slices")).alias("slice"))
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
-    alike = (100 * F.col("nx") >= percent * F.col("ny")) & may_overlap(F.least("lx", "ly"), F.col("nx") + F.col("ny"), percent)
+    sizes = F.col("nx") + F.col("ny")
+    alike = (100 * F.col("nx") >= percent * F.col("ny")) & may_overlap(F.least("lx", "ly"), sizes, percent)
+    differ = reduce(add, [F.bit_count(F.col(f).bitwiseXOR(F.col(f"{f}y"))) for f in SHORT])
+    alike = alike & ((100 + percent) * (sizes - differ) >= 2 * percent * sizes)
     found = near.join(sliced, ["item", "tile", "cy", "slice"]).where(smaller & alike)
     return found.select(F.least("ix", "iy").alias("a"), F.greatest("ix", "iy").alias("b")).distinct()
 
@@ -304,7 +311,8 @@ def classes_and_components(docs: DataFrame, words: int, percent: int) -> tuple[D
     sketches = spark.read.schema(ddl(SKETCHES)).parquet(wide)
     rows = settle(sketches.select("doc_id", "n", "h1", "h2"), "rows")
     grouped = sketches.where("n > 0").groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("window").alias("window"), F.first("bits").alias("bits")
+        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("window").alias("window"), F.first("bits").alias("bits"),
+        *[F.first(f).alias(f) for f in SHORT],
     )
     # a written table keeps the numbers its rows were given
     classes = settle(grouped.select("*", F.monotonically_increasing_id().alias("id"), band_column(F.col("n"), percent).alias("band")), "classes")
@@ -349,7 +357,7 @@ def classes_and_components(docs: DataFrame, words: int, percent: int) -> tuple[D
         if not test(star_pairs(entries, turn, percent)):
             break
     rest = open_entries(with_components(entries, labels)).select("id").distinct()
-    test(meetings(common_last(shared, settle(rest, "open"), labels, sets, percent), percent))
+    test(meetings(common_last(shared, settle(rest, "open"), labels, sets, percent), classes, percent))
     if labels is None:
         labels = classes.select("id", F.col("id").alias("component")).limit(0)
     return rows, classes.select("id", "h1", "h2", "least_id"), labels
