@@ -103,24 +103,33 @@ def test_counts_on_a_stream(spark, sf_dir, tmp_path):
 
 
 def test_replies_on_streams(spark, tmp_path):
+    """Two requests of one key, a stale reply, replies out of order and late, over restarts: as in batch."""
     schema_ = "key string, value string, ts timestamp"
-    sides = {}
-    data = {
-        "requests": [("a", "r", 0), ("b", "r", 0), ("c", "r", 0), ("z", "r", 4000)],
-        "replies": [("a", "first", 5), ("a", "second", 9), ("b", "late", 200), ("x", "other", 3), ("z", "end", 4001)],
-    }
-    for name, rows in data.items():
-        df = spark.createDataFrame(rows, "key string, value string, t long").selectExpr("key", "value", "timestamp_seconds(1700000000 + t) AS ts")
-        df.coalesce(1).write.parquet(str(tmp_path / name))
-        sides[name] = df
-    batch = stream.match_replies(sides["requests"], sides["replies"])
-    found = {r.key: r.reply for r in batch.collect()}
-    assert found == {"a": "first", "b": None, "c": None, "z": "end"}
-    live = [spark.readStream.schema(schema_).parquet(str(tmp_path / n)) for n in data]
-    q = stream.match_replies(*live).writeStream.format("memory").queryName("matched").outputMode("append").start()
-    q.processAllAvailable()
-    q.stop()
-    assert {r.key: r.reply for r in spark.table("matched").collect()} == found
+    runs = [
+        {
+            "requests": [("a", "r1", 0), ("a", "r2", 20), ("b", "r", 10), ("c", "r", 5), ("a", "r1", 0), (None, "r", 3)],
+            "replies": [("a", "second", 9), ("a", "first", 5), ("b", "stale", 2), ("x", "other", 3), (None, "none", 4)],
+        },
+        {"requests": [("d", "r", 50), ("a", "r3", 40)], "replies": [("a", "later", 25), ("b", "late", 71), ("d", "b", 60), ("d", "a", 60)]},
+        {"requests": [("e", "r", 900)], "replies": [("a", "much later", 99), ("e", "early", 899)]},
+        {"requests": [("end", "r", 9000)], "replies": [("end", "r", 9000)]},
+    ]
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for rows in runs:
+        for name, side in rows.items():
+            df = spark.createDataFrame(side, "key string, value string, t long").selectExpr("key", "value", "timestamp_seconds(1700000000 + t) AS ts")
+            df.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        live = [spark.readStream.schema(schema_).parquet(str(tmp_path / n)) for n in ("requests", "replies")]
+        matched = stream.match_replies(*live)
+        stream.write_messages(matched, "parquet", {"path": out}, checkpoint, available_now=True).awaitTermination()
+    batch = stream.match_replies(*[spark.read.schema(schema_).parquet(str(tmp_path / n)) for n in ("requests", "replies")])
+    batch = batch.filter("key IS NULL OR key <> 'end'")
+    found = {(r.key, r.value): r.reply for r in batch.collect()}
+    assert found == {
+        ("a", "r1"): "first", ("a", "r2"): "later", ("a", "r3"): "much later", ("b", "r"): None,
+        ("c", "r"): None, ("d", "r"): "a", ("e", "r"): None, (None, "r"): None,
+    }
+    assert values(spark.read.parquet(out).select(*batch.columns)) == values(batch)
 
 
 def test_a_stale_reply_does_not_hide_the_right_one(spark):
@@ -182,6 +191,30 @@ def test_window_batches_equal_batch(spark, sf_dir, tmp_path):
     pd.testing.assert_frame_equal(a, b)
 
 
+def test_state_per_key_equals_batch_windows(spark, sf_dir, tmp_path):
+    """Four runs on one checkpoint; all columns are kept, and a run touches the state of its own keys only."""
+    inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    tx = transactions(spark, sf_dir).withColumn("channel", F.lit("web"))
+    first = F.col("tx_time_days") < 20
+    few = tx.filter(~first).orderBy("tx_datetime").limit(5)
+    early = tx.filter(first).orderBy("tx_datetime").limit(1)
+    touched = []
+    for part in (tx.filter(first & (F.col("tx_time_days") < 10)), tx.filter(first & (F.col("tx_time_days") >= 10)), few, early):
+        part.coalesce(2).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(tx.schema).parquet(inbox)
+        query = stream.rolling_features_state(source, out, checkpoint)
+        query.awaitTermination()
+        touched.append(sum(stream.state_reads(query)))
+    got = spark.read.parquet(out)
+    rolled = features.rolling_features(tx.filter(first).unionByName(few))
+    assert values(got.filter("not late").select(*rolled.columns)) == values(rolled)
+    again = got.filter("late")
+    assert [r.transaction_id for r in again.collect()] == [early.first().transaction_id]
+    assert again.filter("avg_transaction_count_1 IS NOT NULL OR avg_transaction_terminal_id_count_1 IS NOT NULL").isEmpty()
+    # five rows have five customers and five terminals at most, whatever was there before
+    assert touched[3] <= touched[2] <= 30 < touched[0]
+
+
 def test_late_rows_are_returned(spark, sf_dir, tmp_path):
     """A row older than what its keys had before goes to the late table; the others are as in batch."""
     inbox, out, checkpoint, late = (str(tmp_path / n) for n in ("in", "out", "checkpoint", "late"))

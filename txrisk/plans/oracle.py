@@ -352,7 +352,18 @@ def statements() -> dict[str, str]:
         "stream_prediction_counts": f"""{sc}, per AS ({windows})
             SELECT * FROM per WHERE window_start + 3600 <= (SELECT floor(max(epoch(tx_datetime)))::BIGINT - 600 FROM scored)""",
         "stream_rolling_features": f"WITH {_ROWS} SELECT {_ROLLED} FROM rolled",
+        "stream_rolling_state": f"WITH {_ROWS} SELECT {_ROLLED}, strftime(tx_datetime, '%Y-%m-%d %H:%M:%S') AS tx_datetime,"
+        " round(tx_amount, 6) AS tx_amount, tx_fraud, false AS late FROM rolled",
         "prediction_counts": f"{sc} {windows}",
+        "stream_match_replies": f"""{tx}, asked AS (
+              SELECT transaction_id, floor(epoch(tx_datetime))::BIGINT AS sent,
+                'k' || (floor(epoch(tx_datetime))::BIGINT % 97)::VARCHAR AS key FROM tx),
+            told AS (
+              SELECT key, sent + d AS told_at, 'reply after ' || d::VARCHAR || ' ' || transaction_id::VARCHAR AS reply
+              FROM asked CROSS JOIN (VALUES (7, 120), (2, 5), (5, 20)) AS delays(m, d) WHERE transaction_id % m = 0)
+            SELECT a.key, 'request ' || transaction_id::VARCHAR AS value, sent AS ts, reply, told_at AS reply_ts
+            FROM asked a LEFT JOIN told t ON t.key = a.key AND told_at BETWEEN sent AND sent + 60
+            QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY told_at, reply) = 1""",
         "match_replies": f"""{tx} SELECT transaction_id::VARCHAR AS key, 'request' AS value, sent AS ts,
             CASE WHEN d <= 60 THEN 'reply after ' || d::VARCHAR END AS reply,
             CASE WHEN d <= 60 THEN sent + d END AS reply_ts

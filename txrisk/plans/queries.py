@@ -28,10 +28,12 @@ from txrisk.streaming import (
     predictions,
     read_messages,
     rolling_features_batches,
+    rolling_features_state,
     rolling_features_stream,
     to_messages,
     write_messages,
 )
+from txrisk.streaming.keyed import PROVIDER, ROCKSDB, setting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -564,6 +566,18 @@ def stream_rolling_customers(spark, sf_dir):
     return tidy(spark.read.schema(rolled.schema).parquet(out).select("transaction_id", "customer_id", *names))
 
 
+@query
+def stream_rolling_state(spark, sf_dir):
+    """The same from state per customer and terminal, with all columns of a transaction."""
+    inbox, out, checkpoint = (new_path(spark, n) for n in ("inbox", "rolled", "rolled-checkpoint"))
+    for part in _halves(spark, sf_dir):
+        part.write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(part.schema).parquet(inbox)
+        rolling_features_state(source, out, checkpoint).awaitTermination()
+    rolled = spark.read.parquet(out)
+    return tidy(rolled.select(*_IDS, "tx_datetime", "tx_amount", LABEL, *MESSAGE_FIELDS[4:], "late"))
+
+
 @query
 def prediction_counts_(spark, sf_dir):
     table = scored(spark, sf_dir).withColumn("ts", F.timestamp_seconds(F.unix_timestamp("tx_datetime")))
@@ -571,8 +585,7 @@ def prediction_counts_(spark, sf_dir):
     return counts.withColumn("window_start", F.unix_timestamp("window_start"))
 
 
-@query
-def match_replies_(spark, sf_dir):
+def _asked_and_told(spark, sf_dir):
     """Requests, of which some get a reply, some two and some one that is too late."""
     table = transactions(spark, sf_dir)
     every = lambda n: F.col("transaction_id") % n == 0
@@ -585,7 +598,53 @@ def match_replies_(spark, sf_dir):
         F.concat(F.lit("reply after "), F.col("delay").cast("string")).alias("value"),
         F.timestamp_seconds(F.unix_timestamp("sent") + F.col("delay")).alias("ts"),
     )
-    matched = match_replies(requests, replies, within="1 minute")
+    return requests, replies
+
+
+def _shared_keys(spark, sf_dir):
+    """The same requests and replies, with one of 97 keys by the second of the request: many share a key."""
+    requests, replies = _asked_and_told(spark, sf_dir)
+    asked = requests.select("key", F.col("ts").alias("asked"))
+    shared = F.concat(F.lit("k"), (F.unix_timestamp("asked") % 97).cast("string")).alias("key")
+    named = F.concat("value", F.lit(" "), "key").alias("value")
+    told = replies.join(asked, "key").select(shared, named, "ts")
+    return requests.select(F.concat(F.lit("k"), (F.unix_timestamp("ts") % 97).cast("string")).alias("key"), named, "ts"), told
+
+
+def _match_run(spark, paths, schema_, out, checkpoint):
+    matched = match_replies(*[spark.readStream.schema(schema_).parquet(p) for p in paths], within="1 minute")
+    with setting(spark, PROVIDER, ROCKSDB):
+        query_ = write_messages(matched, "parquet", {"path": out}, checkpoint, available_now=True)
+    query_.awaitTermination()
+
+
+def _matched(matched):
     return matched.select(
         "key", "value", F.unix_timestamp("ts").alias("ts"), "reply", F.unix_timestamp("reply_ts").alias("reply_ts")
     )
+
+
+@query
+def match_replies_(spark, sf_dir):
+    return _matched(match_replies(*_asked_and_told(spark, sf_dir), within="1 minute"))
+
+
+@query
+def stream_match_replies(spark, sf_dir):
+    """The same on streams that arrive in two parts of time, with keys that many requests share."""
+    sides = [settle(side, "side") for side in _shared_keys(spark, sf_dir)]
+    middle, newest = sides[0].agg(F.percentile_approx("ts", 0.5), F.max("ts")).first()
+    paths = [new_path(spark, "side") for _ in sides]
+    out, checkpoint = new_path(spark, "matched"), new_path(spark, "matched-checkpoint")
+    schema_ = "key string, value string, ts timestamp"
+    # a last row of either side, much later, lets the watermark pass all others
+    end = F.lit(newest) + F.expr("INTERVAL 1 DAY")
+    closing = spark.range(1).select(F.lit("end").alias("key"), F.lit("end").alias("value"), end.alias("ts"))
+    for part in (F.col("ts") <= F.lit(middle), F.col("ts") > F.lit(middle)):
+        for side, path in zip(sides, paths, strict=True):
+            side.filter(part).write.mode("append").parquet(path)
+        _match_run(spark, paths, schema_, out, checkpoint)
+    for path in paths:
+        closing.write.mode("append").parquet(path)
+    _match_run(spark, paths, schema_, out, checkpoint)
+    return _matched(spark.read.schema("key string, value string, ts timestamp, reply string, reply_ts timestamp").parquet(out).filter("key <> 'end'"))

@@ -1,5 +1,6 @@
 """Structured Streaming: messages, scoring, replies, counts and keyed rolling features."""
 
+from txrisk.streaming.keyed import rolling_features_state, state_reads
 from txrisk.streaming.messages import decode, encode, mark, read_messages, replay, to_messages, write_messages
 from txrisk.streaming.replies import match_replies
 from txrisk.streaming.rolling import rolling_features_batches, rolling_features_stream
@@ -17,8 +18,10 @@ __all__ = [
     "read_messages",
     "replay",
     "rolling_features_batches",
+    "rolling_features_state",
     "rolling_features_stream",
     "score_stream",
+    "state_reads",
     "to_messages",
     "write_messages",
 ]
