@@ -85,7 +85,38 @@ def test_exact_quantiles_of_many_rows(spark, sf_dir, monkeypatch, column):
 def test_halving_finds_every_rank(spark):
     for values_, kind in (([3, -9, 3, 4, 10**15], "long"), ([0.5, 0.25, 1e300, -2.0, 0.5], "double")):
         df = spark.createDataFrame([(v,) for v in values_], f"v {kind}")
-        assert [quality._halve(df, r) for r in range(1, 6)] == sorted(values_)
+        searches = [quality._Search("v", r, min(values_), max(values_), 5) for r in range(1, 6)]
+        while open_ := [s for s in searches if s.low != s.high]:
+            quality._halve(df, open_)
+        assert [s.low for s in searches] == sorted(values_)
+
+
+def test_quantiles_of_many_columns_take_the_same_passes(spark, sf_dir, monkeypatch):
+    """Passes are counted: one column and one share need as many as six columns and five shares."""
+    monkeypatch.setattr(quality, "EXACT_ROWS", 20)
+    calls = []
+    plain = quality._one
+    monkeypatch.setattr(quality, "_one", lambda df, columns: calls.append(len(columns)) or plain(df, columns))
+    df = transactions(spark, sf_dir).withColumns({f"a{i}": F.col("tx_amount") * (i + 1) for i in range(6)})
+    quality.quantiles(df, ["a0"], [0.3], exact=True)
+    single = len(calls)
+    calls.clear()
+    found = quality.quantiles(df, [f"a{i}" for i in range(6)], [0.1, 0.3, 0.5, 0.7, 0.9], exact=True)
+    assert single >= 4 and len(calls) <= single + 2
+    base = {r.q: r["value"] for r in found.filter("column = 'a0'").collect()}
+    assert all(r["value"] == base[r.q] * (int(r.column[1:]) + 1) for r in found.collect())
+
+
+def test_quantiles_of_infinite_values(spark, monkeypatch):
+    inf, nan = float("inf"), float("nan")
+    values_ = [-inf, -inf, -1e308, 0.0, 1.0, 1e308, inf, nan]
+    df = spark.createDataFrame([(v, None) for v in values_] + [(None, None)], "v double, none int")
+    qs = [0.125 * i for i in range(1, 9)]
+    for limit in (1_000_000, 1):
+        monkeypatch.setattr(quality, "EXACT_ROWS", limit)
+        found = {(r.column, r.q): r["value"] for r in quality.quantiles(df, ["v", "none"], qs, exact=True).collect()}
+        assert [found["v", q] for q in qs[:7]] == values_[:7] and found["v", 1.0] != found["v", 1.0]
+        assert {found["none", q] for q in qs} == {None}
 
 
 def test_approximate_quantiles_and_empty_columns(spark):

@@ -118,71 +118,155 @@ def pseudonymise(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
 # -- quantiles and interquartile fences ---------------------------------------
 
 
-def _exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], at_most: int | None = None) -> list:
-    """Per share ``q``, the smallest value with at least that share of the non-NULL values up to it.
+class _Search:
+    """One rank of one column, and the span of values it is known to be in."""
 
-    ``at_most`` is a number of rows that ``df`` is known not to exceed.
-    """
-    values = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull())
-    n = values.count() if at_most is None or at_most > EXACT_ROWS else at_most
-    if n <= EXACT_ROWS:
-        return _pick(values, [F.ceil(F.lit(Decimal(str(q))) * F.col("n_all")) for q in qs])
-    return [_narrow(values, n, max(1, ceil(Fraction(str(q)) * n))) for q in qs]
+    def __init__(self, column: str, rank: int, low, high, held: int):
+        self.value = F.col(column)
+        self.column, self.rank, self.low, self.high, self.held = column, rank, low, high, held
+
+    @property
+    def settled(self) -> bool:
+        return self.low == self.high or self.held <= EXACT_ROWS
+
+    def inside(self) -> Column:
+        return self.value.between(F.lit(self.low), F.lit(self.high))
 
 
-def _pick(values: DataFrame, ranks: Sequence[Column]) -> list:
-    """Values of the given ranks among at most ``EXACT_ROWS`` rows."""
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumns({"upto": F.sum("n").over(Window.orderBy("v")), "n_all": F.sum("n").over(Window.partitionBy())})
-    return list(counts.agg(*[F.min(F.when(F.col("upto") >= r, F.col("v"))) for r in ranks]).first())
+def _one(df: DataFrame, columns: Sequence[Column]) -> list:
+    """One pass over ``df``."""
+    return list(df.agg(*[c.alias(f"_{i}") for i, c in enumerate(columns)]).first())
 
 
-def _narrow(values: DataFrame, n: int, rank: int):
-    """The value of one rank among very many rows.
+def _exact_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float], at_most: int | None = None) -> dict[str, list]:
+    """Per column and share ``q``, the smallest value with at least that share of the non-NULL values up to it.
 
-    An approximate quantile brackets the rank, exact counts check the bracket, and
-    the search goes on inside it (some thousandths of the rows, then of those).
-    Only scalars leave the cluster.
+    All columns and shares are searched for together.  A round brackets every rank that is still open by approximate
+    quantiles (one pass), counts all brackets (one pass), and goes on inside them; a rank that its bracket misses, or
+    does not narrow down, has its span of values halved (one pass for all of them).  Once no span has more than ``EXACT_ROWS`` rows, one pass
+    reads off all values.  So the passes do not depend on how many columns and shares there are.  Values that are infinite or not
+    a number are counted apart, as they have no middle.  ``at_most`` is a number of rows that ``df`` is known not to exceed.
     """
+    columns = list(dict.fromkeys(columns))
+    whole = [c for c in columns if dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint")]
+    broken = [c for c in columns if dict(df.dtypes)[c] in ("float", "double")]
+    df = df.select(*[F.col(c).cast("long" if c in whole else "double" if c in broken else dict(df.dtypes)[c]).alias(c) for c in columns])
+    if at_most is not None and at_most <= EXACT_ROWS:
+        return _read_off(df, {c: [(q, None) for q in qs] for c in columns})
+    minus, plus, none = (F.lit(float(x)) for x in ("-inf", "inf", "nan"))
+    stats = []
+    for c in columns:
+        v = F.col(c)
+        odd = [F.count_if(v == x) for x in (minus, plus, none)] if c in broken else [F.lit(0)] * 3
+        finite = F.when((v > minus) & (v < plus), v) if c in broken else v
+        stats += [F.count(v), *odd, F.min(finite), F.max(finite)]
+    told = _one(df, stats)
+    found: dict[tuple[str, float], object] = {}
+    searches: dict[tuple[str, float], _Search] = {}
+    for i, c in enumerate(columns):
+        n, n_minus, n_plus, n_none, low, high = told[6 * i : 6 * i + 6]
+        for q in qs:
+            rank = max(1, ceil(Fraction(str(q)) * n))
+            if not n or rank <= n_minus:
+                found[c, q] = float("-inf") if n else None
+            elif rank > n - n_none:
+                found[c, q] = float("nan")
+            elif rank > n - n_none - n_plus:
+                found[c, q] = float("inf")
+            else:
+                searches[c, q] = _Search(c, rank - n_minus, low, high, n - n_minus - n_plus - n_none)
+    while open_ := [s for s in searches.values() if not s.settled]:
+        _narrow(df, open_)
+    for at, s in searches.items():
+        if s.low == s.high:
+            found[at] = s.low
+    rest: dict[str, list] = {}
+    for (c, q), s in searches.items():
+        if s.low != s.high:
+            rest.setdefault(c, []).append((q, s))
+    if rest:
+        picked = _read_off(df, rest)
+        found |= {(c, q): v for c, asked in rest.items() for (q, _), v in zip(asked, picked[c], strict=True)}
+    return {c: [found[c, q] for q in qs] for c in columns}
+
+
+def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
+    """Narrow the span of every search, all of them in the same passes."""
     slack = 2e-4
-    while n > EXACT_ROWS:
-        ends = [max(0.0, rank / n - slack), min(1.0, rank / n + slack)]
-        low, high = values.agg(F.percentile_approx("v", ends, 10_000)).first()[0]
-        inside = F.col("v").between(low, high)
-        below, held = values.agg(F.count_if(F.col("v") < low), F.count_if(inside)).first()
-        if not below < rank <= below + held or (held == n and low != high):
-            return _halve(values, rank)
-        if low == high:
-            return low
-        values, n, rank = values.filter(inside), held, rank - below
-    return _pick(values, [F.lit(rank)])[0]
-
-
-def _halve(values: DataFrame, rank: int):
-    """The value of one rank by halving the span of values, for data a bracket does not cut."""
-    low, high = values.agg(F.min("v"), F.max("v")).first()
-    while low != high:
-        middle = low + ((high - low) // 2 if isinstance(low, int) else (high - low) / 2)
-        if middle == high:
-            middle = low
-        low_side = F.col("v") <= middle
-        upto, under, over = values.agg(
-            F.count_if(low_side), F.max(F.when(low_side, F.col("v"))), F.min(F.when(~low_side, F.col("v")))
-        ).first()
-        if upto >= rank:
-            high = under
+    ends = _one(df, [F.percentile_approx(F.when(s.inside(), s.value), [max(0.0, s.rank / s.held - slack), min(1.0, s.rank / s.held + slack)], 10_000) for s in searches])
+    counts = []
+    for s, (low, high) in zip(searches, ends, strict=True):
+        counts += [F.count_if(s.inside() & (s.value < F.lit(low))), F.count_if(s.value.between(F.lit(low), F.lit(high)))]
+    told = _one(df, counts)
+    missed = []
+    for i, (s, (low, high)) in enumerate(zip(searches, ends, strict=True)):
+        below, held = told[2 * i : 2 * i + 2]
+        if below < s.rank <= below + held and held < s.held:
+            s.low, s.high, s.rank, s.held = low, high, s.rank - below, held
+        elif below < s.rank <= below + held and low == high:
+            s.low, s.high = low, high
+        else:
+            missed.append(s)
+    if missed:
+        _halve(df, missed)
+
+
+def _halve(df: DataFrame, searches: Sequence[_Search]) -> None:
+    """Halve the span of values of every search in one pass, for data that a bracket does not cut."""
+    asked = []
+    for s in searches:
+        middle = s.low + (s.high - s.low) // 2 if isinstance(s.low, int) else s.low / 2 + s.high / 2
+        middle = s.low if middle >= s.high else middle
+        low_side = s.inside() & (s.value <= F.lit(middle))
+        high_side = s.inside() & (s.value > F.lit(middle))
+        asked += [F.count_if(low_side), F.max(F.when(low_side, s.value)), F.min(F.when(high_side, s.value))]
+    told = _one(df, asked)
+    for i, s in enumerate(searches):
+        upto, under, over = told[3 * i : 3 * i + 3]
+        if upto >= s.rank:
+            s.high, s.held = under, upto
         else:
-            low, rank = over, rank - upto
-        values = values.filter(F.col("v").between(low, high))
-    return low
+            s.low, s.rank, s.held = over, s.rank - upto, s.held - upto
+
+
+def _read_off(df: DataFrame, asked: dict[str, list]) -> dict[str, list]:
+    """Values of the given ranks in one pass: per column, shares of all its rows, or searches among at most ``EXACT_ROWS`` rows each.
+
+    Equal values of a search are counted before the shuffle, and each search has a window of its own.
+    """
+    places = [(c, q, s) for c, own in asked.items() for q, s in own]
+    # shares of a whole column need its values only once
+    groups = list(dict.fromkeys((c, None if s is None else i) for i, (c, _, s) in enumerate(places)))
+    rows = []
+    for g, (c, i) in enumerate(groups):
+        s = None if i is None else places[i][2]
+        value = F.col(c).isNotNull() if s is None else s.inside()
+        kinds = [F.when(value, F.col(c)) if k == c else F.lit(None).cast(dict(df.dtypes)[k]) for k in asked]
+        rows.append(F.when(value, F.struct(F.lit(g).alias("g"), *[x.alias(f"v{j}") for j, x in enumerate(kinds)])))
+    counted = df.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
+    names = [f"v{j}" for j in range(len(asked))]
+    counted = counted.groupBy("g", *names).agg(F.count(F.lit(1)).alias("n"))
+    one = Window.partitionBy("g")
+    upto = F.sum("n").over(one.orderBy(*names))
+    counted = counted.withColumns({"upto": upto, "n_all": F.sum("n").over(one)})
+    wanted = []
+    for i, (c, q, s) in enumerate(places):
+        g = groups.index((c, None if s is None else i))
+        rank = F.greatest(F.lit(1), F.ceil(F.lit(Decimal(str(q))) * F.col("n_all"))) if s is None else F.lit(s.rank)
+        name = names[list(asked).index(c)]
+        wanted.append(F.min(F.when((F.col("g") == g) & (F.col("upto") >= rank), F.col(name))))
+    told = _one(counted, wanted)
+    out: dict[str, list] = {c: [] for c in asked}
+    for (c, _, _), v in zip(places, told, strict=True):
+        out[c].append(v)
+    return out
 
 
 def _quantile_values(
     df: DataFrame, columns: Sequence[str], qs: Sequence[float], exact: bool, accuracy: int, at_most: int | None = None
 ) -> dict[str, list]:
     if exact:
-        at_most = at_most or df.count()
-        return {c: _exact_quantiles(df, c, qs, at_most) for c in columns}
+        return _exact_quantiles(df, columns, qs, at_most)
     # every column in one pass, merged from fixed-size digests
     found = df.agg(*[F.percentile_approx(c, list(qs), accuracy).alias(c) for c in columns]).first()
     return {c: found[c] or [None] * len(qs) for c in columns}
@@ -194,7 +278,7 @@ def quantiles(
     """Quantiles as rows ``(column, q, value)``.
 
     Approximate ones (rank error up to ``1 / accuracy``) take one pass for all
-    columns.  Exact ones take several passes per column.
+    columns.  Exact ones take a few passes, whatever the number of columns and shares.
     """
     found = _quantile_values(df, columns, qs, exact, accuracy)
     rows = [(c, float(q), None if v is None else float(v)) for c in columns for q, v in zip(qs, found[c], strict=True)]
