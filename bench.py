@@ -39,7 +39,10 @@ HEADLINE = [
     "stream_decode",
     "stream_score",
     "stream_rolling_features",
+    "stream_rolling_state",
     "batch_score",
+    "batch_score_logistic",
+    "stream_score_logistic",
     "baseline_training",
     "cv_metrics",
 ]

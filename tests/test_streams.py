@@ -278,3 +278,25 @@ def test_every_message_is_answered(spark, tmp_path, model):
     assert (row.scored, row.rejects) == (1, 2)
     log.flush()
     spark.streams.removeListener(log)
+
+
+def test_ledger_of_a_hot_partition(spark):
+    """Ranges that cross blocks are one; order, copies and layout do not matter."""
+    offsets = [*range(0, 25), *range(27, 30), 31, 31, 31, *range(40, 81)]
+    rows = [("t", 0, o) for o in offsets] + [("t", 1, 5), ("u", 0, 7), ("u", 0, 7)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long").repartition(5)
+    want = [("t", 0, 0, 24, 25, 0, 0), ("t", 0, 27, 29, 3, 0, 2), ("t", 0, 31, 31, 1, 2, 1), ("t", 0, 40, 80, 41, 0, 8), ("t", 1, 5, 5, 1, 0, 0), ("u", 0, 7, 7, 1, 1, 0)]
+    for block in (1, 10, 1_000_000):
+        assert sorted(map(tuple, stream.ledger(df, block).collect())) == want
+    assert stream.ledger(df.limit(0)).count() == 0
+
+
+def test_replay_takes_every_row(spark, sf_dir):
+    table = transactions(spark, sf_dir).limit(20)
+    table = table.withColumns({c: F.lit(1.0) for c in schema.MESSAGE_FIELDS if c not in table.columns})
+    rows = stream.numbered_messages(table, 3)
+    assert sorted(r["index"] for r in rows.collect()) == list(range(20))
+    numbers = spark.range(400).select(F.col("id").alias("value"))
+    sent = stream.replay_stream(numbers, rows, 3)
+    assert sent.count() == 400 and sent.select("key").distinct().count() == 20
+    assert values(sent) == values(stream.replay_stream(numbers.repartition(3), rows.repartition(2), 3))

@@ -1,7 +1,7 @@
 import pytest
 
-from txrisk import evaluate, jobs, sources, train
-from txrisk.sources import transactions
+from txrisk import evaluate, jobs, sampling, sources, train
+from txrisk.sources import scored, transactions
 
 
 def test_grids(spark):
@@ -53,3 +53,30 @@ def test_validated_without_a_previous_model(spark, sf_dir):
     again = jobs.train_validated(table.repartition(5), fraction=0.8, folds=2, previous=trained.model)
     assert {r.model for r in again.metrics.collect()} == {"new", "old"}
     assert again.sweep.filter("threshold = 0").selectExpr("min(recall)").first()[0] == 1.0
+
+
+def test_folds_do_not_depend_on_the_layout(spark, sf_dir):
+    """Copies share a fold, and cross-validation gives the same model on one and on eight partitions."""
+    tx = transactions(spark, sf_dir)
+    plain = {r.transaction_id: r.fold for r in sampling.folds(tx, 3, 47, "transaction_id").collect()}
+    copies = sampling.folds(sampling.replicate(tx.repartition(7), 2), 3, 47, "transaction_id")
+    assert set(plain.values()) == {0, 1, 2} and all(plain[r.transaction_id] == r.fold for r in copies.collect())
+    table = jobs.build_features(tx)
+    found = []
+    for parts in (1, 8):
+        metrics = jobs.train_validated(table.repartition(parts), fraction=1.0, folds=2).metrics
+        found.append(sorted((r.metric, round(r.value, 6)) for r in metrics.collect()))
+    assert found[0] == found[1]
+
+
+def test_bootstrap_of_equal_models(spark, sf_dir):
+    """A model does not differ from itself in any draw, and intervals hold the plain value."""
+    df = scored(spark, sf_dir)
+    found = evaluate.bootstrap(df, {"a": ("score", "prediction"), "b": ("score", "prediction")}, "transaction_id", reps=40)
+    rows = {(r.model, r.metric): r for r in found.collect()}
+    assert len(rows) == 9 and all(r.mean == r.low == r.high == 0 for (m, _), r in rows.items() if m == "a - b")
+    plain = evaluate.prf(evaluate.confusion(df)).first()
+    for metric in ("precision", "recall", "f1"):
+        assert rows["a", metric].low <= plain[metric] <= rows["a", metric].high
+    again = evaluate.bootstrap(df.repartition(5), {"a": ("score", "prediction")}, "transaction_id", reps=40).filter("model = 'a'")
+    assert {r.metric: r.low for r in again.collect()} == {m: rows["a", m].low for m in ("precision", "recall", "f1")}

@@ -8,6 +8,9 @@ result per group.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from math import exp, factorial
+from operator import add
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 from txrisk.functions import ratio
 from txrisk.operators.ordered import running_totals
 from txrisk.schema import LABEL
+from txrisk.session import settle
 
 #: goals a model must meet (fixed values)
 MIN_RECALL = 0.98
@@ -273,6 +277,50 @@ def sweep_rows(sweep: DataFrame, run_id: str, model: str = "model") -> DataFrame
     return sweep.select(F.lit(run_id).alias("run_id"), model, F.inline(F.array(*values)))
 
 
+#: chances of at most 0, 1, ... copies of a row in a repeat drawn with replacement (Poisson with mean 1), of 2**60
+_AT_MOST = [round(sum(exp(-1) / factorial(i) for i in range(k + 1)) * 2**60) for k in range(12)]
+
+
+def bootstrap(
+    df: DataFrame, models: Mapping[str, tuple[str, str]], key: str, reps: int = 100, seed: int | str = 47, label: str = LABEL, level: float = 0.95
+) -> DataFrame:
+    """Precision, recall and F1 over repeats drawn with replacement: ``(model, metric, mean, low, high)``.
+
+    How often a row is in a repeat follows from the hash of its key and the repeat's number, so all repeats and models are one
+    pass, on any layout, and the models are judged on the same draws: rows ``a - b`` hold the interval of the
+    paired difference of two models.  What leaves a task is one row per repeat, model, label and prediction.
+    """
+    draws = F.transform(F.sequence(F.lit(0), F.lit(reps - 1)), lambda r: F.struct(r.alias("rep"), _times(key, seed, r).alias("w")))
+    weighted = df.withColumn("_draws", draws)
+    sides = [F.struct(F.lit(name).alias("model"), F.col(prediction).cast("int").alias("prediction")) for name, (_, prediction) in models.items()]
+    long = weighted.select(F.col(label).alias("label"), F.inline(F.array(*sides)), "_draws").select("label", "model", "prediction", F.inline("_draws"))
+
+    def cell(a: int, b: int) -> Column:
+        return F.sum(F.when((F.col("label") == a) & (F.col("prediction") == b), F.col("w")).otherwise(0))
+
+    counts = long.groupBy("rep", "model").agg(cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), cell(0, 0).alias("tn"))
+    names = ("precision", "recall", "f1")
+    values = prf(counts).select("rep", "model", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names])))
+    values = settle(values, "repeats")
+    first, second = (values.select("rep", "metric", F.col("model").alias(f"{s}_model"), F.col("value").alias(s)) for s in ("a", "b"))
+    order = F.array_position(F.array(*[F.lit(m) for m in models]), F.col("a_model")) < F.array_position(F.array(*[F.lit(m) for m in models]), F.col("b_model"))
+    pairs = first.join(second, ["rep", "metric"]).filter(order)
+    paired = pairs.select("rep", F.concat("a_model", F.lit(" - "), "b_model").alias("model"), "metric", (F.col("a") - F.col("b")).alias("value"))
+    tail = (1 - level) / 2
+    return values.unionByName(paired).groupBy("model", "metric").agg(
+        F.avg("value").alias("mean"),
+        F.expr(f"percentile_disc({tail}) WITHIN GROUP (ORDER BY value)").alias("low"),
+        F.expr(f"percentile_disc({1 - tail}) WITHIN GROUP (ORDER BY value)").alias("high"),
+    )
+
+
+def _times(key: str, seed: int | str, rep: Column) -> Column:
+    """How often a row is drawn in a repeat."""
+    head = F.substring(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)), rep.cast("string"))), 1, 15)
+    chance = F.conv(head, 16, 10).cast("long")
+    return reduce(add, [(chance >= k).cast("int") for k in _AT_MOST])
+
+
 def average_runs(rows: DataFrame) -> DataFrame:
     """Mean of every metric over the repeats in a long metric table."""
     return rows.groupBy("model", "metric").agg(F.avg("value").alias("value"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions import hash_bucket, hash_order
+from txrisk.operators.ordered import running_totals
 from txrisk.schema import LABEL
 
 #: hash fractions are told to 60 bits, so a share of any table has its rows
@@ -46,6 +47,18 @@ def split(df: DataFrame, weights: Sequence[float], seed: int, key: str | None =
     return [df.filter((bucket >= low) & (bucket < high)) for low, high in zip([0, *ends], ends)]
 
 
+def folds(df: DataFrame, n: int, seed: int | str, key: str, output: str = "fold") -> DataFrame:
+    """Add a fold ``0 .. n-1`` by the hash of ``key``: the same on any layout, and copies of a row share one."""
+    return df.withColumn(output, (hash_bucket(key, seed, BUCKETS) % n).cast("int"))
+
+
+def numbered(df: DataFrame, seed: int | str, key: str, output: str = "index") -> DataFrame:
+    """Add ``0 .. rows-1`` in a seeded random order of the unique ``key``; no task sees all rows."""
+    order = F.concat(hash_order(key, seed), F.lit("|"), F.col(key).cast("string"))
+    counted = running_totals(df.withColumn("_one", F.lit(1).cast("long")), [], order, ["_one"])
+    return counted.withColumn(output, F.col("_one_upto") - 1).drop("_one", "_one_upto")
+
+
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
     """One row ``(n0, n1)``: rows of either class, in one pass."""
     return df.agg(

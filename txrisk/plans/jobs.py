@@ -103,11 +103,12 @@ def train_validated(
     keyed = feature_tx.withColumn("_row", F.xxhash64(*FEATURES.names))
     chosen = sampling.sample(keyed, fraction, seed, key="_row")
     training, held_out = sampling.split(chosen, weights, f"{seed}-split", key="_row")
-    balanced = sampling.oversample(training.drop("_row"))
+    # copies of a row share its fold, so no row is judged by a model that has seen a copy of it
+    balanced = sampling.oversample(settle(sampling.folds(training, folds, f"{seed}-fold", "_row"), "training"))
     prep = train.prep_pipeline().fit(balanced)
-    prepared = prep.transform(balanced).select(LABEL, "features").persist()
+    prepared = prep.transform(balanced).select(LABEL, "features", "fold").persist()
     estimator = train.logistic()
-    tuned = train.tune_cv(prepared, estimator, train.logistic_grid(estimator), train.f1_evaluator(), folds, seed=seed)
+    tuned = train.tune_cv(prepared, estimator, train.logistic_grid(estimator), train.f1_evaluator(), folds, seed=seed, fold_column="fold")
     prepared.unpersist()
     model = PipelineModel(stages=[*prep.stages, tuned.bestModel])
 

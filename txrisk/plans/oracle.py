@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from txrisk.operators.evaluate import _AT_MOST
 from txrisk.plans.queries import CLEAN_FENCES, FENCED, SALT, SEED
 from txrisk.schema import FRAMES, IQR_COLUMNS, MESSAGE_FIELDS, NON_NEGATIVE, RAW_TX
 
@@ -355,6 +356,36 @@ def statements() -> dict[str, str]:
         "stream_rolling_state": f"WITH {_ROWS} SELECT {_ROLLED}, strftime(tx_datetime, '%Y-%m-%d %H:%M:%S') AS tx_datetime,"
         " round(tx_amount, 6) AS tx_amount, tx_fraud, false AS late FROM rolled",
         "prediction_counts": f"{sc} {windows}",
+        "cv_folds": f"""{tx} SELECT ({_bucket('transaction_id')} % 3)::INTEGER AS fold, tx_fraud, count(*) AS rows
+            FROM tx GROUP BY ALL""",
+        "bootstrap_metrics": f"""{sc}, draws AS (
+              SELECT model, tx_fraud, prediction, rep, {" + ".join(f"(h >= {k})::INTEGER" for k in _AT_MOST)} AS w
+              FROM (SELECT *, ('0x' || substr(md5(transaction_id::VARCHAR || '|{SEED}|' || rep::VARCHAR), 1, 15))::BIGINT AS h
+                    FROM stacked CROSS JOIN unnest(range(0, 25)) AS reps(rep))),
+            sums AS (SELECT rep, model, {", ".join(f"sum(CASE WHEN tx_fraud = {a} AND prediction = {b} THEN w ELSE 0 END)::DOUBLE AS {c}"
+                     for c, a, b in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0)))} FROM draws GROUP BY rep, model),
+            shares AS (SELECT rep, model, coalesce(tp / nullif(tp + fp, 0), 0.0) AS p, coalesce(tp / nullif(tp + fn, 0), 0.0) AS r FROM sums),
+            vals AS (
+              SELECT rep, model, 'precision' AS metric, p AS value FROM shares UNION ALL SELECT rep, model, 'recall', r FROM shares
+              UNION ALL SELECT rep, model, 'f1', coalesce(2 * p * r / nullif(p + r, 0), 0.0) FROM shares),
+            both_ AS (SELECT * FROM vals UNION ALL SELECT rep, 'new - old', metric, a.value - b.value
+              FROM vals a JOIN vals b USING (rep, metric) WHERE a.model = 'new' AND b.model = 'old')
+            SELECT model, metric, round(avg(value), 6) AS mean, round(quantile_disc(value, 0.025), 6) AS low,
+              round(quantile_disc(value, 0.975), 6) AS high FROM both_ GROUP BY model, metric""",
+        "stream_replay": f"""{tx}, numbered AS (
+              SELECT *, row_number() OVER (ORDER BY {_hash('transaction_id')} || '|' || transaction_id::VARCHAR) - 1 AS i FROM tx)
+            SELECT number, transaction_id::VARCHAR AS key, tx_time_seconds, round(tx_amount, 6) AS tx_amount
+            FROM unnest(range(0, 2000)) AS numbers(number) JOIN numbered
+              ON i = {_bucket('number')} % (SELECT count(*) FROM tx)""",
+        "delivery_ledger": """WITH sent AS (
+              SELECT 'topic ' || (event_id % 2)::VARCHAR AS topic, (floor(event_id / 2) % 3)::INTEGER AS part,
+                floor(event_id / 6)::BIGINT AS pos, sum(CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END) AS times
+              FROM events WHERE event_id % 11 <> 0 AND floor(event_id / 500) % 3 <> 1 GROUP BY ALL),
+            marked AS (SELECT *, pos - row_number() OVER (PARTITION BY topic, part ORDER BY pos) AS island FROM sent),
+            ranges AS (SELECT topic, part, min(pos) AS first, max(pos) AS last, sum(times - 1)::BIGINT AS repeats
+              FROM marked GROUP BY topic, part, island)
+            SELECT topic, part AS partition, first, last, last - first + 1 AS messages, repeats,
+              coalesce(first - lag(last) OVER (PARTITION BY topic, part ORDER BY first) - 1, 0) AS missing_before FROM ranges""",
         "stream_match_replies": f"""{tx}, asked AS (
               SELECT transaction_id, floor(epoch(tx_datetime))::BIGINT AS sent,
                 'k' || (floor(epoch(tx_datetime))::BIGINT % 97)::VARCHAR AS key FROM tx),

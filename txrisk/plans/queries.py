@@ -22,11 +22,14 @@ from txrisk.session import new_path, settle
 from txrisk.sources import raw_transactions, scored, transactions
 from txrisk.streaming import (
     decode,
+    ledger,
     mark,
     match_replies,
+    numbered_messages,
     prediction_counts,
     predictions,
     read_messages,
+    replay_stream,
     rolling_features_batches,
     rolling_features_state,
     rolling_features_stream,
@@ -462,7 +465,19 @@ def cv_metrics(spark, sf_dir):
     """Training with validation, judged against an earlier model."""
     table = settle(jobs.build_features(transactions(spark, sf_dir)), "features")
     earlier = train.logistic_pipeline(max_iter=1).fit(table)
-    return tidy(jobs.train_validated(table, fraction=0.5, previous=earlier).metrics)
+    return tidy(jobs.train_validated(table, fraction=1.0, previous=earlier).metrics)
+
+
+@query
+def cv_folds(spark, sf_dir):
+    """How many rows of either class each fold holds out."""
+    return sampling.folds(transactions(spark, sf_dir), 3, SEED, "transaction_id").groupBy("fold", LABEL).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def bootstrap_metrics(spark, sf_dir):
+    """Two models compared over repeats drawn with replacement, all in one pass."""
+    return tidy(evaluate.bootstrap(scored(spark, sf_dir), MODELS, "transaction_id", reps=25, seed=SEED))
 
 
 # -- messages and streams -----------------------------------------------------
@@ -495,6 +510,35 @@ def stream_decode(spark, sf_dir):
     return tidy(_run(spark, good, "decoded"))
 
 
+@query
+def stream_replay(spark, sf_dir):
+    """Messages 0 to 1999 of an endless producer, in two runs on one checkpoint."""
+    table = settle(sources.keyed_features(spark, sf_dir), "features")
+    rows = numbered_messages(table, SEED, key="transaction_id")
+    inbox, out, checkpoint = (new_path(spark, n) for n in ("numbers", "replayed", "replayed-checkpoint"))
+    for first in (0, 1000):
+        spark.range(first, first + 1000).select(F.col("id").alias("value")).write.mode("append").parquet(inbox)
+        numbers = spark.readStream.schema("value long").parquet(inbox)
+        write_messages(replay_stream(numbers, rows, SEED), "parquet", {"path": out}, checkpoint, available_now=True).awaitTermination()
+    sent = spark.read.schema("number long, key string, value string").parquet(out)
+    good, _ = decode(sent)
+    return tidy(good.select("number", "key", "tx_time_seconds", "tx_amount"))
+
+
+@query
+def delivery_ledger(spark, sf_dir):
+    """What a topic delivered, with planted gaps and repeats."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    at = F.col("event_id")
+    sent = table.select(
+        F.concat(F.lit("topic "), (at % 2).cast("string")).alias("topic"),
+        (F.floor(at / 2) % 3).cast("int").alias("partition"),
+        F.floor(at / 6).cast("long").alias("offset"),
+        F.when(at % 10 == 0, 2).otherwise(1).alias("copies"),
+    ).where((at % 11 != 0) & (F.floor(at / 500) % 3 != 1))
+    return ledger(sent.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))), block=64)
+
+
 def _scored_stream(spark, messages, model, name):
     inbox = new_path(spark, "messages")
     messages.write.parquet(inbox)

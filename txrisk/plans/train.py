@@ -97,8 +97,14 @@ def tune_split(
     return tuning.fit(data)
 
 
-def tune_cv(data: DataFrame, estimator, grid: list, evaluator: Evaluator, folds: int = 3, parallelism: int = 1, seed: int = 47):
-    """The best model of a grid by cross-validation."""
+def tune_cv(
+    data: DataFrame, estimator, grid: list, evaluator: Evaluator, folds: int = 3, parallelism: int = 1, seed: int = 47, fold_column: str = ""
+):
+    """The best model of a grid by cross-validation.
+
+    With ``fold_column`` (numbers from 0 to ``folds - 1``, as :func:`txrisk.operators.sampling.folds` gives) the folds do not depend on
+    the layout; without, Spark draws them per partition.
+    """
     tuning = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
@@ -106,6 +112,7 @@ def tune_cv(data: DataFrame, estimator, grid: list, evaluator: Evaluator, folds:
         numFolds=folds,
         parallelism=parallelism,
         seed=seed,
+        foldCol=fold_column,
     )
     return tuning.fit(data)
 

@@ -1,7 +1,18 @@
 """Structured Streaming: messages, scoring, replies, counts and keyed rolling features."""
 
 from txrisk.streaming.keyed import rolling_features_state, state_reads
-from txrisk.streaming.messages import decode, encode, mark, read_messages, replay, to_messages, write_messages
+from txrisk.streaming.messages import (
+    decode,
+    encode,
+    ledger,
+    mark,
+    numbered_messages,
+    read_messages,
+    replay,
+    replay_stream,
+    to_messages,
+    write_messages,
+)
 from txrisk.streaming.replies import match_replies
 from txrisk.streaming.rolling import rolling_features_batches, rolling_features_stream
 from txrisk.streaming.scoring import ProgressLog, prediction_counts, predictions, progress_rows, score_stream
@@ -10,13 +21,16 @@ __all__ = [
     "ProgressLog",
     "decode",
     "encode",
+    "ledger",
     "mark",
     "match_replies",
+    "numbered_messages",
     "prediction_counts",
     "predictions",
     "progress_rows",
     "read_messages",
     "replay",
+    "replay_stream",
     "rolling_features_batches",
     "rolling_features_state",
     "rolling_features_stream",

@@ -6,13 +6,15 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from txrisk.functions.columns import hash_bucket
 from txrisk.operators import sampling
 from txrisk.schema import MESSAGE, MESSAGE_FIELDS
+from txrisk.session import settle
 
 KEY_VALUE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
@@ -87,6 +89,47 @@ def replay(df: DataFrame, k: int, seed: int, key: str = "transaction_id") -> Dat
     return to_messages(sampling.random_rows(df, k, seed, key), key)
 
 
+def numbered_messages(df: DataFrame, seed: int | str, key: str = "transaction_id", fields: Sequence[str] = MESSAGE_FIELDS) -> DataFrame:
+    """``(index, key, value)``: the rows of a table as messages, numbered in a seeded random order and stored."""
+    rows = sampling.numbered(df, seed, key).select("index", F.col(key).cast("string").alias("key"), encode(fields).alias("value"))
+    return settle(rows, "numbered")
+
+
+def replay_stream(numbers: DataFrame, rows: DataFrame, seed: int | str) -> DataFrame:
+    """``(number, key, value)``: an endless producer.  Each number of a stream becomes the message of a random row.
+
+    ``numbers`` has a column ``value``, such as Spark's ``rate`` source gives; ``rows`` are :func:`numbered_messages`.  Which row a number takes follows
+    from its hash, so a restart sends the same message again, if any, and no message scans the table: a
+    micro-batch is one join of its numbers with the table.
+    """
+    n = rows.count()
+    index = hash_bucket("value", seed, sampling.BUCKETS) % F.lit(n)
+    asked = numbers.select(F.col("value").alias("number"), index.alias("index"))
+    return asked.join(rows, "index").select("number", "key", "value")
+
+
+def ledger(delivered: DataFrame, block: int = 1_000_000) -> DataFrame:
+    """What was delivered, per topic and partition: ``(topic, partition, first, last, messages, repeats, missing_before)``.
+
+    A row is a range of offsets without a gap; ``messages`` counts its offsets, ``repeats`` what came more than once, and
+    ``missing_before`` the offsets between the range before and this one.  Copies are counted before the shuffle, ranges are
+    found per block of offsets first, so a partition with very many messages is spread over tasks, and then joined where they meet.
+    """
+    of = ["topic", "partition"]
+    offsets = delivered.groupBy(*of, "offset").agg(F.count(F.lit(1)).alias("times"))
+    blocked = offsets.withColumn("block", F.floor(F.col("offset") / block))
+    island = F.col("offset") - F.row_number().over(Window.partitionBy(*of, "block").orderBy("offset"))
+    found = blocked.withColumn("island", island).groupBy(*of, "block", "island").agg(
+        F.min("offset").alias("first"), F.max("offset").alias("last"), F.sum(F.col("times") - 1).alias("repeats")
+    )
+    ordered = Window.partitionBy(*of).orderBy("first")
+    starts = F.coalesce((F.lag("last").over(ordered) + 1 < F.col("first")).cast("int"), F.lit(1))
+    found = found.withColumn("starts", starts).withColumn("range", F.sum("starts").over(ordered))
+    ranges = found.groupBy(*of, "range").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("repeats").alias("repeats"))
+    missing = F.coalesce(F.col("first") - F.lag("last").over(ordered) - 1, F.lit(0))
+    return ranges.select(*of, "first", "last", (F.col("last") - F.col("first") + 1).alias("messages"), "repeats", missing.alias("missing_before"))
+
+
 def mark(messages: DataFrame, schema: T.StructType = MESSAGE) -> DataFrame:
     """Decode ``value`` into columns and list in ``rejected`` the fields that are missing or wrong.
 
