@@ -285,7 +285,7 @@ def test_captures(spark):
     path = new_path(spark, "warc")
     warc.write(pages, path)
     captures = warc.assemble(warc.read(spark, path)).collect()
-    assert len(captures) == len(rows) and all(c.request and c.metadata for c in captures)
+    assert len(captures) == len(rows) and all(c.requests and c.metadata for c in captures)
     got = sorted((c.response.type, c.response.payload_bytes, c.response.payload_digest) for c in captures)
     keep = {}
     for i, _, html in rows:
@@ -306,10 +306,29 @@ def test_captures(spark):
 
 
 def test_records_tied_in_either_direction(spark):
-    ties = [("r1", "response", ["q1"]), ("q1", "request", []), ("m1", "metadata", ["q1"]), ("r2", "response", ["q2"]), ("q2", "request", ["r2"]), ("m3", "metadata", [])]
+    ties = [
+        ("r1", "response", ["q1"]), ("q1", "request", []), ("m1", "metadata", ["q1"]), ("m2", "metadata", ["r1"]), ("m3", "metadata", ["m1"]),
+        ("m4", "metadata", ["m3"]), ("m5", "metadata", ["m4"]), ("r2", "response", ["q2"]), ("q2", "request", ["r2"]), ("q3", "request", ["r2"]),
+        ("m6", "metadata", []), ("m7", "metadata", ["m8"]), ("m8", "metadata", []), ("m9", "metadata", ["gone"]), ("r3", "revisit", []),
+    ]
     records = spark.createDataFrame([(*t, "") for t in ties], "record_id string, type string, concurrent_to array<string>, fields string")
-    got = {(c.response and c.response.record_id, c.request and c.request.record_id, c.metadata and c.metadata.record_id) for c in warc.assemble(records).collect()}
-    assert got == {("r1", "q1", "m1"), ("r2", "q2", None), (None, None, "m3")}
+    ids_of = lambda rows: tuple(r.record_id for r in rows)
+    got = {(c.response and c.response.record_id, ids_of(c.requests), ids_of(c.metadata)) for c in warc.assemble(records).collect()}
+    assert got == {
+        ("r1", ("q1",), ("m1", "m2", "m3", "m4", "m5")), ("r2", ("q2", "q3"), ()), ("r3", (), ()),
+        (None, (), ("m6",)), (None, (), ("m7", "m8")), (None, (), ("m9",)),
+    }
+
+
+def test_bad_records_do_not_end_reading():
+    one = warc._record("resource", "<a>", [("Content-Type", "text/plain")], "hello") + "\r\n\r\n"
+    bad = "WARC/1.1\r\nWARC-Record-ID: <b>\r\nContent-Length: x\r\n\r\nWARC/ in a line\r\n\r\n"
+    cut = warc._record("resource", "<c>", [], "hello").encode()[:-2]
+    found = [(r[0], r[6], r[-2], r[-1]) for r in warc.parse((one + bad + one).encode() + cut)]
+    whole = ("<a>", 5, b"hello", None)
+    assert found[0] == whole and found[1] == ("<b>", None, None, "length is no number")
+    assert found[-2:] == [whole, ("<c>", 3, b"hel", "cut short")]
+    assert [r[-1] for r in warc.parse(b"WARC/1.1\r\nWARC-Type: x")] == ["no end of header"]
 
 
 def test_pipeline_against_its_parts(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txrisk.llm import bpe, exact, jaccard, licenses, neardup, packing, parsing, pii, repair, spelling, toxicity, warc, whitening
 from txrisk.llm.common import documents
-from txrisk.session import new_path
+from txrisk.session import new_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,15 +89,20 @@ def op9_personal_data(spark, sf_dir):
 def op10_warc_transactions(spark, sf_dir):
     path = new_path(spark, "warc")
     warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, least_bytes=0)
-    captures = warc.assemble(warc.read(spark, path, with_payload=False))
-    return captures.select(
-        warc.field(F.col("metadata"), "pageId").cast("long").alias("page_id"),
+    captures = warc.assemble(warc.read(spark, path, with_payload=False)).select(
+        "capture_id",
+        warc.field(F.col("metadata")[0], "pageId").cast("long").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        warc.field(F.col("metadata"), "refersToPage").cast("long").alias("refers_to"),
+        F.col("response.refers_to").alias("refers_to"),
         F.col("response.uri").alias("uri"),
     )
+    captures = settle(captures, "captures")
+    # what a revisit refers to is a record; its page is that of the capture
+    referred = captures.where("record_type = 'response'").select(F.col("capture_id").alias("_id"), F.col("page_id").alias("_page"))
+    joined = captures.join(referred, captures["refers_to"] == referred["_id"], "left")
+    return joined.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("_page").alias("refers_to"), "uri")
 
 
 @query
