@@ -83,6 +83,25 @@ def test_shards_give_the_ids_back(spark, docs, empty, ids):
     assert repair.read(spark, path).count() == 0
 
 
+def test_ranges_of_a_store(spark, docs, ids):
+    """Ranges within and over shards, asked many times of one shard, and beyond the end."""
+    path = new_path(spark, "shards")
+    repair.write(docs, PATH, path, shard_ids=3000)
+    whole = np.array([x for own in ids for x in [*own, 2]])
+    rnd = random.Random(2)
+    asked = [(i, rnd.randrange(len(whole)), rnd.choice([1, 50, 7000])) for i in range(60)] + [(7, 3, 5), (100, 0, len(whole)), (101, len(whole), 9), (102, 5, 0)]
+    found = repair.read_ranges(spark, path, spark.createDataFrame(asked, "request long, start long, length long")).collect()
+    assert sorted((r.request, r.start, r.length) for r in found) == sorted(a for a in asked if a[2])
+    for r in found:
+        assert (np.frombuffer(r.ids, "<u4") == whole[r.start : r.start + r.length]).all() and len(r.ids) == 4 * min(r.length, len(whole) - r.start)
+
+
+def test_rounds_go_on_while_they_save():
+    passage = np.random.default_rng(1).integers(0, 40_000, 2000)
+    grammar = repair.compress(np.tile(passage, 130))
+    assert len(grammar.sequence) <= 200 and (repair.expand(grammar) == np.tile(passage, 130)).all()
+
+
 def test_ranges_are_expanded_alone(ids):
     whole = np.array([x for own in ids for x in own])
     grammar = repair.compress(whole)

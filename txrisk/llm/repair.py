@@ -35,11 +35,16 @@ from pyspark.sql import functions as F
 
 from txrisk.llm.common import batches_of, ddl, rows_of, small_batches, texts
 from txrisk.llm.tokens import encoder
+from txrisk.session import settle
 
 #: a shard is closed once it holds so many ids
 SHARD_IDS = 1 << 18
-#: rounds of replacement; each may build on the rules of those before
-ROUNDS = 4
+#: rounds of replacement at most; each may build on the rules of those before, and a shard of copies halves with each
+ROUNDS = 64
+#: words and parts that a task remembers the ids of
+MEMO = 800_000
+#: tasks that wrote a store, up to which their starts are broadcast (16 bytes each)
+PARTS = 200_000
 #: a pair is replaced if it is found this often, which is when rule and length pay for themselves
 LEAST = 6
 #: a round that saves a smaller share is the last
@@ -52,6 +57,10 @@ STORED = pa.schema(
 )
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
+PIECES = pa.schema([("request", pa.int64()), ("piece", pa.int64()), ("ids", pa.binary())])
+#: ranges of one shard that go into a row; a shard that more are asked of is read by several tasks
+PER_ROW = 1024
+
 #: slots of the tables in which pairs are counted and looked up
 SLOTS = 1 << 18
 
@@ -140,17 +149,21 @@ def expand(grammar: Grammar, sequence: np.ndarray | None = None) -> np.ndarray:
         seq = out
 
 
-def expand_range(grammar: Grammar, start: int, length: int) -> np.ndarray:
-    """Ids ``start`` to ``start + length`` without expanding the others."""
-    seq = grammar.sequence
-    sizes = np.ones(len(seq), np.int64)
-    rule = seq >= grammar.base
-    sizes[rule] = grammar.lengths[seq[rule] - grammar.base]
-    ends = np.cumsum(sizes)
+def running_lengths(grammar: Grammar) -> np.ndarray:
+    """The ids that the symbols of a sequence expand to, up to and with each of them."""
+    sizes = np.ones(len(grammar.sequence), np.int64)
+    rule = grammar.sequence >= grammar.base
+    sizes[rule] = grammar.lengths[grammar.sequence[rule] - grammar.base]
+    return np.cumsum(sizes)
+
+
+def expand_range(grammar: Grammar, start: int, length: int, ends: np.ndarray | None = None) -> np.ndarray:
+    """Ids ``start`` to ``start + length`` without expanding the others; ``ends`` are the running lengths, if they are known."""
+    ends = running_lengths(grammar) if ends is None else ends
     first = int(np.searchsorted(ends, start, "right"))
     last = int(np.searchsorted(ends, start + length, "left"))
     skip = start - (int(ends[first - 1]) if first else 0)
-    return expand(grammar, seq[first : last + 1])[skip : skip + length]
+    return expand(grammar, grammar.sequence[first : last + 1])[skip : skip + length]
 
 
 def _stored(part: int, shard: int, start: int, docs: list[tuple[int, int]], ids: bytes, rounds: int) -> tuple:
@@ -170,7 +183,7 @@ def grammar_of(base: int, rules: bytes, lengths: bytes, width: int, sequence: by
 
 
 def _write_shards(batches: Iterable, path: str, end_id: int, shard_ids: int, rounds: int) -> Iterator[pa.RecordBatch]:
-    encode = encoder(path).encode
+    encode = encoder(path, MEMO).encode
     end = int(end_id).to_bytes(4, "little")
     part = TaskContext.get().partitionId()
 
@@ -212,17 +225,68 @@ def _read_shards(batches: Iterable) -> Iterator[pa.RecordBatch]:
     yield from batches_of(docs(), READ, flush=256)
 
 
+def starts(shards: DataFrame) -> DataFrame:
+    """``(part, before)``: how many ids are before each part.  One row per task that wrote the store, so the ordered sum is small."""
+    sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = settle(sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "parts")
+    return F.broadcast(parts) if parts.count() <= PARTS else parts
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of a store: ids as bytes, ``start`` over the whole store."""
     small_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
     shards = spark.read.parquet(path)
-    # one row per part, so the ordered sum over them is small however large the store is
-    sums = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     return (
-        shards.join(parts, "part")
+        shards.join(starts(shards), "part")
         .select("doc_ids", "doc_lengths", F.col("before") + F.col("start_in_part"), "base", "rules", "lengths", "width", "sequence")
         .mapInArrow(_read_shards, ddl(READ))
     )
+
+
+def _read_ranges(batches: Iterable) -> Iterator[pa.RecordBatch]:
+    """Each row is a shard with the ranges asked of it; only these are expanded."""
+
+    def ranges() -> Iterator[tuple]:
+        for asked, base, rules, sizes, width, sequence in rows_of(batches):
+            grammar = grammar_of(base, rules, sizes, width, sequence)
+            ends = running_lengths(grammar)
+            for one in asked:
+                ids = expand_range(grammar, one["skip"], one["take"], ends)
+                yield one["request"], one["piece"], ids.astype("<u4").tobytes()
+
+    yield from batches_of(ranges(), PIECES, flush=64)
+
+
+def read_ranges(spark: SparkSession, path: str, requests: DataFrame) -> DataFrame:
+    """``(request, start, length, ids)``: ids ``start`` to ``start + length`` of the whole store for each row of ``requests``.
+
+    ``requests`` are ``(request, start, length)``; a request number may be repeated.  A range over several shards is put together from
+    the pieces of each; what is beyond the end of the store is left out.  A shard that no range touches is not read beyond its numbers, and of the
+    others only the symbols that overlap a range are expanded.
+    """
+    small_batches(spark)
+    shards = spark.read.parquet(path)
+    first = F.col("before") + F.col("start_in_part")
+    places = settle(shards.join(starts(shards), "part").select("part", "shard", first.alias("first"), "n_ids"), "places")
+    span = F.col("n_ids")
+    size = places.agg(F.max(span)).first()[0] or 1
+    # ranges and shards meet in cells as long as the longest shard, of which a shard touches two at most
+    cells = lambda a, n: F.explode(F.sequence(F.floor(a / size), F.floor((a + F.greatest(n, F.lit(1)) - 1) / size)))
+    wanted = requests.select(F.monotonically_increasing_id().alias("own"), "request", F.col("start").cast("long"), F.col("length").cast("long"))
+    wanted = settle(wanted.where("start >= 0 and length > 0"), "requests")
+    asked = wanted.select("own", "start", "length", cells(F.col("start"), F.col("length")).alias("cell"))
+    met = places.select("*", cells(F.col("first"), span).alias("cell")).join(asked, "cell")
+    low = F.greatest("first", "start")
+    high = F.least(F.col("first") + span, F.col("start") + F.col("length"))
+    met = met.where(low < high).select("part", "shard", "own", low.alias("low"), (low - F.col("first")).alias("skip"), (high - low).alias("take")).distinct()
+    piece = F.struct(F.col("own").alias("request"), F.col("low").alias("piece"), "skip", "take")
+    often = met.groupBy("part", "shard").agg(F.ceil(F.count(F.lit(1)) / PER_ROW).alias("slices"))
+    met = met.join(often, ["part", "shard"])
+    grouped = met.groupBy("part", "shard", F.pmod(F.xxhash64("own"), F.col("slices")).alias("slice")).agg(F.collect_list(piece).alias("asked"))
+    touched = grouped.join(shards, ["part", "shard"]).select("asked", "base", "rules", "lengths", "width", "sequence")
+    pieces = touched.mapInArrow(_read_ranges, ddl(PIECES))
+    whole = pieces.groupBy("request").agg(F.sort_array(F.collect_list(F.struct("piece", "ids"))).alias("pieces"))
+    joined = wanted.join(whole, wanted["own"] == whole["request"], "left").select(wanted["request"], "start", "length", "pieces")
+    ids = F.aggregate(F.coalesce(F.col("pieces.ids"), F.array().cast("array<binary>")), F.lit(b""), lambda s, x: F.concat(s, x))
+    return joined.select("request", "start", "length", ids.alias("ids"))

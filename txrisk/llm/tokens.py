@@ -46,11 +46,11 @@ def _packed(ids: list[int]) -> bytes:
 class Words(dict):
     """Maps a plain lower-case word to its ids, by the library's model alone."""
 
-    def __init__(self, model):
-        self.model = model
+    def __init__(self, model, memo: int):
+        self.model, self.memo = model, memo
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO:
+        if len(self) >= self.memo:
             self.clear()
         ids = _packed([t.id for t in self.model.tokenize(byte_letters(word))])
         if len(word) < LONGEST:
@@ -61,17 +61,18 @@ class Words(dict):
 class Encoder(dict):
     """Maps a space-free part of a text to its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Words(self.tokenizer.model)
+        self.words = Words(self.tokenizer.model, memo)
+        self.memo = memo
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= MEMO:
+        if len(self) >= self.memo:
             self.clear()
         if _PLAIN.fullmatch(part):
             ids = b"".join(map(self.words.__getitem__, _WORDS.findall(part.lower())))
@@ -86,11 +87,12 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, _SPACES.sub(" ", text.replace("\n", " ")).split(" ")))
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this worker for the tokenizer file ``path``."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memo: int = MEMO) -> Encoder:
+    """The encoder of this worker for the tokenizer file ``path``; one with another memo gives way to it."""
+    if (path, memo) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, memo] = Encoder(path, memo)
+    return _ENCODERS[path, memo]
