@@ -209,10 +209,9 @@ def open_entries(entries: DataFrame) -> DataFrame:
     """Entries whose tile, or one of their two tiles, still holds several components."""
     tiled = entries.select("item", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile"), "component")
     several = tiled.groupBy("item", "tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("item", "tile")
-    own = entries.join(several.select("item", F.col("tile").alias("band")), ["item", "band"], "left_semi")
-    rest = entries.join(several.select("item", F.col("tile").alias("band")), ["item", "band"], "left_anti")
-    above = rest.join(several.select("item", (F.col("tile") - 1).alias("band")), ["item", "band"], "left_semi")
-    return own.unionByName(above)
+    # an open tile holds two bands, so one join finds the entries of all open tiles
+    bands = several.select("item", F.explode(F.array(F.col("tile"), F.col("tile") - 1)).alias("band")).distinct()
+    return entries.join(bands, ["item", "band"], "left_semi")
 
 
 def star_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
