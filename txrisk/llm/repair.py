@@ -18,7 +18,8 @@ A stored table has one row per shard:
 Null texts are empty, and an empty text is a document with the end id alone.  Documents
 with equal ids (or none: nulls come first) keep one order by text.  An empty table gives an
 empty store.  Columns besides ``doc_id`` and ``text`` are not read.  Shards close after the
-document that fills them, so a task holds one shard and one text.
+document that fills them, so a task holds one shard
+and the texts that are encoded together (4 million characters and one text).
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ SHARD_IDS = 1 << 18
 ROUNDS = 64
 #: words and parts that a task remembers the ids of
 MEMO = 800_000
+#: texts of so many characters are encoded together
+SLICE_CHARS = 4_000_000
 #: tasks that wrote a store, up to which their starts are broadcast (16 bytes each)
 PARTS = 200_000
 #: a pair is replaced if it is found this often, which is when rule and length pay for themselves
@@ -182,17 +185,37 @@ def grammar_of(base: int, rules: bytes, lengths: bytes, width: int, sequence: by
     return Grammar(base, pairs[:, 0], pairs[:, 1], sizes, np.frombuffer(sequence, f"<u{width}").astype(np.int64))
 
 
+def _slices(rows: Iterable[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    """Rows whose texts have ``SLICE_CHARS`` together, and at most one more."""
+    held: list[tuple[int, str]] = []
+    chars = 0
+    for row in rows:
+        held.append(row)
+        chars += len(row[1] or "")
+        if chars >= SLICE_CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
+
+
 def _write_shards(batches: Iterable, path: str, end_id: int, shard_ids: int, rounds: int) -> Iterator[pa.RecordBatch]:
-    encode = encoder(path, MEMO).encode
+    encode_all = encoder(path, MEMO).encode_all
     end = int(end_id).to_bytes(4, "little")
     part = TaskContext.get().partitionId()
 
+    def encoded() -> Iterator[tuple[int, bytes]]:
+        for rows in _slices(rows_of(batches)):
+            ids, lengths = encode_all([text or "" for _, text in rows])
+            stops = np.cumsum(lengths)
+            for (doc_id, _), n, stop in zip(rows, lengths, stops, strict=True):
+                yield doc_id, ids[stop - n : stop].tobytes() + end
+
     def shards() -> Iterator[tuple]:
         number = start = held = 0
         docs: list[tuple[int, int]] = []
         ids: list[bytes] = []
-        for doc_id, text in rows_of(batches):
-            own = encode(text or "") + end
+        for doc_id, own in encoded():
             docs.append((doc_id, len(own) // 4))
             ids.append(own)
             held += len(own) // 4

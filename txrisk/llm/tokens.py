@@ -12,8 +12,13 @@ from __future__ import annotations
 
 import os
 import re
+from functools import reduce
 from struct import pack
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: entries of a memo; a full memo starts anew, which changes speed only
 MEMO = 300_000
 #: longer parts are not kept
@@ -87,6 +92,28 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, _SPACES.sub(" ", text.replace("\n", " ")).split(" ")))
 
 
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``texts`` one after the other, and how many each has.
+
+        Arrow finds the distinct parts, so each is looked up once however often it occurs.
+        """
+        spaced = pa.array([reduce(lambda t, c: t.replace(c, " "), "\n\t\r\f\v", t) for t in texts], pa.large_string())
+        split = pc.split_pattern(spaced, " ")
+        coded = split.values.dictionary_encode()
+        distinct = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        # parts hold no space, so one string of all of them is taken apart faster than an array
+        joined = pc.binary_join(distinct, pa.scalar(" ", pa.large_string()))[0].as_py()
+        own = list(map(self.__getitem__, joined.split(" "))) if len(coded) else []
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        first = np.cumsum(sizes) - sizes
+        part = coded.indices.to_numpy()
+        n = sizes[part]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        place = np.repeat(first[part] - ends[:-1], n)
+        place += np.arange(len(place))
+        return np.frombuffer(b"".join(own), "<u4")[place], np.diff(ends[split.offsets.to_numpy()])
+
+
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
