@@ -29,6 +29,27 @@ def licenses(text):
     return len(words), len(found), min(found)[0], max(found)[0], ",".join(sorted({x for _, x in found}))
 
 
+def notices(text, known, width, least_share):
+    """``(label, begin, share)`` of each template found: the best alignment of each window of diagonals, overlapping ones left out."""
+    words = WORD.findall(UPPER.sub(lambda m: m[0].lower(), text or ""))
+    out = []
+    for label, template in known:
+        t = template.split()
+        pairs = len(t) - 1
+        votes = [(p, o) for p in range(len(words) - 1) for o in range(pairs) if words[p : p + 2] == t[o : o + 2]]
+        best = {}
+        for d in {p - o for p, o in votes}:
+            longest = {}
+            for p, o in sorted(v for v in votes if d <= v[0] - v[1] <= d + width):
+                longest[p, o] = 1 + max((n for (q, r), n in longest.items() if q < p and r < o), default=0)
+            if max(longest.values()) >= least_share * pairs:
+                best[d] = max(longest.values())
+        for d, n in best.items():
+            if all((n, d) >= (m, e) for e, m in best.items() if abs(d - e) <= width):
+                out.append((label, d, n / pairs))
+    return sorted(out)
+
+
 def luhn(digits):
     doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
     return sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0

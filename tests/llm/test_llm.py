@@ -204,6 +204,31 @@ def test_licenses(docs, empty, spark):
     ]
 
 
+def test_notices_are_aligned(spark):
+    rnd = random.Random(9)
+    mit, isc, cc = (dict((n[0], n[1]) for n in licenses.NOTICES)[x] for x in ("mit", "isc", "cc-by"))
+    texts = ["free of charge " * 6, "free of charge " * 10, f"{mit} {mit}", f"{isc}. {mit}\n{isc}", " ".join(reversed(mit.split())), None, mit * 50]
+    texts += [mit[60:] + " " + mit[:60], "permission is hereby granted " * 40, f"a {cc} b " * 12]
+    for _ in range(150):  # words added, left out, exchanged, said again
+        words = rnd.choice([mit, isc, cc, f"{cc} x {cc}", f"{mit} {isc}", f"x y {mit} z"]).split()
+        for _ in range(rnd.randrange(9)):
+            at = rnd.randrange(len(words))
+            words[at : at + rnd.randrange(3)] = rnd.choice([[], ["and"], ["to", "any"], ["is", "hereby"], words[at : at + 4] * 2, ["of"] * 4])
+            words = words or ["of"]
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = by_id(licenses.scan(df))
+    seen = 0
+    for i, text in enumerate(texts):
+        want = brute.notices(text, licenses.NOTICES, licenses.WIDTH, licenses.LEAST_SHARE)
+        assert sorted(tuple(n) for n in found[i].notices) == want, text
+        seen += len(want)
+        told = {n[0] for n in want} | set(filter(None, brute.licenses(text)[4].split(",")))
+        assert found[i].labels == ",".join(sorted(told))
+        assert found[i].score == (1.0 if found[i].n_base else max((n[2] for n in want), default=0.0))
+    assert (found[0].labels, found[0].score, found[1].labels) == ("", 0.0, "") and len(found[2].notices) == 2 and seen > 100
+
+
 def test_exact_copies(docs, empty):
     groups = {}
     for i, t in enumerate(TEXTS):
