@@ -1,6 +1,7 @@
 """Plain versions of what the operators compute."""
 
 import hashlib
+import math
 import re
 
 UPPER = re.compile("[A-Z]+")
@@ -50,6 +51,18 @@ def notices(text, known, width, least_share):
     return sorted(out)
 
 
+def noisy_or(text, weights, constant, slots):
+    """The score of a text and ``(start, end, score)`` of its sentences, by the formula."""
+    clean, out = 1.0, []
+    for m in re.finditer(r"[^.!?\n]+", text or ""):
+        words = set(re.findall(r"[^\W\d_]+", m[0].lower()))
+        if words:
+            p = 1 / (1 + math.exp(-constant - sum(weights.get(s, 0.0) for w in words for s in slots(w))))
+            clean *= 1 - p
+            out.append((m.start(), m.end(), p))
+    return 1 - clean, out
+
+
 def luhn(digits):
     doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
     return sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0

@@ -316,13 +316,56 @@ def test_toxicity_learns_from_document_labels(spark, sf_dir, docs, empty):
         assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and r.predicted == (i % 5 == 0)
         if r.predicted:
             assert any(w in texts[i][r.worst_start : r.worst_end] for w in ("awful", "rotten", "vile"))
-            assert (r.worst_start, r.worst_end) in [x[:2] for x in toxicity.offending(texts[i], model)]
+            assert (r.worst_start, r.worst_end) in [(x.start, x.end) for x in r.offending]
     assert toxicity.drop_toxic(made_docs, model).count() == 720
     assert all(0 <= r.score <= 1 for r in toxicity.score(docs, model).collect())
     assert toxicity.score(empty, model).count() == 0 and toxicity.drop_toxic(empty, model).columns == empty.columns
     assert toxicity.fit(empty, labels).weights == {}
 
 
+def test_all_sentences_that_offend(spark):
+    weights = {toxicity.slot(w): x for w, x in (("vile", 4.5), ("rotten", 3.0), ("kind", -2.0), ("awf-", 1.0), ("awfu-", 3.0))}
+    model = toxicity.Model(weights, -4.0)
+    texts = ["vile. fine! rotten kind\nvile rotten? awful awfully", "é🙂 vile.. VILE", None, "", "kind. " * 500, "fine. " * 60, "x vile " * 3000, "vile. " * 400]
+    df = spark.createDataFrame([(i, t, "e") for i, t in enumerate(texts)] + [(None, texts[0], "e"), (0, texts[0], "e")], "doc_id long, text string, `a.b` string")
+    rows = toxicity.score(df, model).collect()
+    assert len(rows) == len(texts) + 2
+    for r in rows:
+        score, each = brute.noisy_or(texts[r.doc_id or 0], weights, -4.0, toxicity.slots)
+        assert abs(r.score - score) < 1e-12 and r.predicted == (score >= 0.3) and r.n_sentences == len(each)
+        assert [tuple(x)[:2] for x in r.offending] == [x[:2] for x in each if x[2] >= 0.3]
+        assert all(abs(x.score - y[2]) < 1e-12 for x, y in zip(r.offending, [x for x in each if x[2] >= 0.3]))
+    assert len(by_id(toxicity.score(df, model))[7].offending) == 400
+    clean = toxicity.drop_toxic(df, model)
+    assert clean.columns == df.columns and {r.doc_id for r in clean.collect()} == {r.doc_id for r in rows if not r.predicted}
+    kept = neardup.drop_near_duplicates(df.where("doc_id > 0"))
+    assert kept.columns == df.columns and kept.count() == len(texts) - 1
+
+
+def test_slopes_against_differences():
+    rng = np.random.default_rng(4)
+    docs, n_sentences, n_words = 12, 40, 9
+    doc_of_sentence = np.sort(rng.integers(0, docs, n_sentences))
+    words, sentence = rng.integers(0, n_words, 160), rng.integers(0, n_sentences, 160)
+    y, share, w = rng.integers(0, 2, docs).astype(float), rng.random(docs), rng.normal(size=n_words + 1)
+    y[[d for d in range(docs) if d not in doc_of_sentence]] = 0  # without a sentence a document is clean
+
+    def likelihood(w):
+        total = -0.01 / 2 * sum(x * x for x in w[:-1])
+        for d in range(docs):
+            clean = 1.0
+            for s in np.flatnonzero(doc_of_sentence == d):
+                clean *= 1 - 1 / (1 + np.exp(-w[-1] - sum(w[k] for k, at in zip(words, sentence) if at == s)))
+            total += share[d] * np.log(1 - clean if y[d] else clean)
+        return total
+
+    got = toxicity.slopes(w, words, sentence, doc_of_sentence, y, share, 0.01)
+    for k in range(n_words + 1):
+        step = np.zeros(n_words + 1)
+        step[k] = 1e-5
+        assert abs((likelihood(w + step) - likelihood(w - step)) / 2e-5 - got[k]) < 1e-6
+
+
 def test_captures(spark):
     rows = [(1, "http://a", "x"), (2, None, "x"), (3, "http://c\r\n", None), (4, "u", ""), (5, "u", "y" * 200_000), (6, "u", "WARC/1.1\r\n\r\n\r\nz é"), (2, None, "x"), (None, "u", "x")]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, sha1 int")

@@ -263,5 +263,5 @@ def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
     """The rows of ``docs`` of which one per component stays, with all columns."""
     kept = near_duplicates(docs, p).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    named = docs.join(kept, "doc_id", "left_semi").select(*[docs[f"`{c}`"] for c in docs.columns]).dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null"))

@@ -66,7 +66,7 @@ def op4_toxicity_mil(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).select(
-        "doc_id", "held_out", "score", "predicted", "n_sentences", "worst_start", "worst_end", "worst_score"
+        "doc_id", "held_out", "score", "predicted", "n_sentences", "worst_start", "worst_end", "worst_score", "offending"
     )
 
 

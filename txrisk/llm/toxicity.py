@@ -2,14 +2,14 @@
 
 A sentence's score is a logistic function of its words; a document is toxic if any sentence is, so
 its score is the noisy-or of them, ``1 - product(1 - score)``.  The weights are fitted to
-the likelihood of the document labels, and then tell which sentences offend.
+the likelihood of the document labels, and then tell which sentences offend: all whose own score reaches the threshold.
 
 The model is fitted on at most ``per_class`` labelled documents of each class (those whose hashed ids are
 smallest), each standing for as many as there are in all; everything else reads the whole table.  Only words of the text
 are inputs.  Null and empty texts have no sentence and the score 0.  A label that is null is not used;
 of several labels of a document the largest counts.  Rows are scored one by one, so
-ties, repeated rows, other columns and empty tables change nothing; without labels of
-both classes every score is 0.
+ties, repeated rows, other columns (whatever their names) and empty tables change nothing; without labels of
+both classes every score is 0.  A text of any length is read sentence by sentence, and only sentences that offend are held.
 """
 
 from __future__ import annotations
@@ -42,7 +42,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 INSTANCES = pa.schema([("doc_id", pa.int64()), ("words", pa.binary()), ("sizes", pa.binary())])
 SCORED = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("n_sentences", pa.int64()),
-     ("worst_start", pa.int64()), ("worst_end", pa.int64()), ("worst_score", pa.float64())]
+     ("worst_start", pa.int64()), ("worst_end", pa.int64()), ("worst_score", pa.float64()),
+     ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))]
 )
 
 
@@ -132,6 +133,19 @@ def telling(bags: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.flatnonzero((total >= LEAST_DOCS) & (g >= 2 * math.log(max(2, int((total > 0).sum()))) + 4))
 
 
+def slopes(w: np.ndarray, words: np.ndarray, sentence: np.ndarray, doc_of_sentence: np.ndarray, y: np.ndarray, share: np.ndarray, decay: float) -> np.ndarray:
+    """The gradient of the weighted log-likelihood, less the decay; ``words[i]`` stands in sentence ``sentence[i]``, the last of ``w`` is the constant."""
+    z = w[-1] + np.bincount(sentence, w[words], len(doc_of_sentence))
+    p = 1 / (1 + np.exp(-z))
+    none = np.bincount(doc_of_sentence, -np.logaddexp(0, z), len(y))  # log of no toxic sentence
+    some = -np.expm1(none)
+    pull = share * np.where(y > 0, np.exp(none) / np.maximum(some, 1e-12), -1.0)
+    g = pull[doc_of_sentence] * p
+    grad = np.append(np.bincount(words, g[sentence], len(w) - 1), g.sum())
+    grad[:-1] -= decay * w[:-1]
+    return grad
+
+
 def descend(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, share: np.ndarray, steps: int = 200, decay: float = 1e-6) -> Model:
     """Maximise the weighted likelihood of the labels under noisy-or, by Adam."""
     often = telling([w for w, _ in bags], y)
@@ -151,14 +165,7 @@ def descend(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, share: np.
     w[-1] = -4.0
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        z = w[-1] + np.bincount(sentence, w[words], n)
-        p = 1 / (1 + np.exp(-z))
-        none = np.bincount(doc_of_sentence, -np.logaddexp(0, z), len(bags))  # log of no toxic sentence
-        some = -np.expm1(none)
-        pull = share * np.where(y > 0, np.exp(none) / np.maximum(some, 1e-12), -1.0)
-        g = pull[doc_of_sentence] * p
-        grad = np.append(np.bincount(words, g[sentence], len(often)), g.sum())
-        grad[:-1] -= decay * w[:-1]
+        grad = slopes(w, words, sentence, doc_of_sentence, y, share, decay)
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad**2
         w += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -178,20 +185,24 @@ class _Weights(dict):
         return weight
 
 
-def _score(batches: Iterable, model: Model) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterable, model: Model, threshold: float) -> Iterator[pa.RecordBatch]:
     weight = _Weights(model).__getitem__
 
     def rows() -> Iterator[tuple]:
         for doc_id, text in rows_of(batches):
             none, n, worst = 0.0, 0, (-math.inf, None, None)
+            offend: list[tuple[int, int, float]] = []
             for start, end, words in sentences(text):
                 z = model.constant + math.fsum(map(weight, words))
                 n += 1
                 none -= max(z, 0.0) + math.log1p(math.exp(-abs(z)))
                 if z > worst[0]:
                     worst = (z, start, end)
+                own = _logistic(z)
+                if own >= threshold:
+                    offend.append((start, end, own))
             told = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 4 == 2
-            yield doc_id, told, -math.expm1(none), n, worst[1], worst[2], _logistic(worst[0])
+            yield doc_id, told, -math.expm1(none), n, worst[1], worst[2], _logistic(worst[0]), *([x[k] for x in offend] for k in range(3))
 
     yield from batches_of(rows(), SCORED)
 
@@ -201,19 +212,19 @@ def _logistic(z: float) -> float:
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, held_out, score, predicted``, the number of sentences, and where (in code points) the one that offends most is."""
+    """``doc_id, held_out, score, predicted``, the number of sentences, the one that offends most, and all that offend.
+
+    ``offending`` has ``(start, end, score)``, in code points, of each sentence whose own score reaches ``threshold``.  A document can be toxic without
+    one, by many sentences that are each a little so.
+    """
     small_batches(docs.sparkSession)
-    scored = texts(docs).mapInArrow(partial(_score, model=model), ddl(SCORED))
+    scored = texts(docs).mapInArrow(partial(_score, model=model, threshold=threshold), ddl(SCORED))
+    offend = F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"), F.col("scores").alias("score"))
+    offend = offend.cast("array<struct<start:bigint,end:bigint,score:double>>")
+    scored = scored.withColumn("offending", offend).drop("starts", "ends", "scores")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def offending(text: str, model: Model, threshold: float = THRESHOLD) -> list[tuple[int, int, float]]:
-    """The sentences of ``text`` whose own score reaches ``threshold``."""
-    weight = _Weights(model).__getitem__
-    scored = ((s, e, _logistic(model.constant + math.fsum(map(weight, words)))) for s, e, words in sentences(text))
-    return [x for x in scored if x[2] >= threshold]
-
-
 def _keep(batches: Iterable, model: Model, threshold: float, at: int) -> Iterator[pa.RecordBatch]:
     """The rows of the batches whose text scores less."""
     weight = _Weights(model).__getitem__
@@ -232,4 +243,6 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     """The rows of ``docs`` that score less than ``threshold``, with all columns."""
     small_batches(docs.sparkSession)
     step = partial(_keep, model=model, threshold=threshold, at=docs.columns.index("text"))
-    return docs.mapInArrow(step, docs.schema)
+    # Spark takes a dot in a name for a field, so columns go by number through the Python step
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(step, plain.schema).toDF(*docs.columns)
