@@ -77,6 +77,31 @@ def test_no_hot_key_leaves_a_plain_window(spark, sf_dir):
     assert "Join" not in plan and "Union" not in plan
 
 
+def test_day_frames_take_few_exchanges(spark, sf_dir):
+    """Per key: seconds, spans, and the join with the rows; both uses of the spans share one."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = features.rolling_features(transactions(spark, sf_dir), frames_by="days")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("- Exchange hashpartitioning") == 8
+    assert plan.count("FileScan") == 3
+    assert plan.count("ReusedExchange") == 2
+
+
+def test_rows_without_time_or_key_in_day_frames(spark):
+    """Rows without a time share a frame, also beside rows of the same key that have one; a null key is a key."""
+    tx = spark.createDataFrame([(1, 5, None, 1.0), (2, 5, None, 2.0), (3, 5, 40, 4.0), (4, 5, 12, 8.0), (5, None, 12, 16.0), (6, None, 3, 32.0)], "transaction_id long, customer_id long, day int, tx_amount double")
+    tx = tx.selectExpr("transaction_id", "customer_id", "customer_id AS terminal_id", "tx_amount", "CAST(timestamp_seconds(86400L * day) AS timestamp_ntz) AS tx_datetime")
+    got = {r.transaction_id: r for r in features.rolling_features(tx, frames_by="days").collect()}
+    assert [got[i].avg_transaction_mean_30 for i in range(1, 7)] == [1.5, 1.5, 6.0, 8.0, 24.0, 32.0]
+    assert [got[i].avg_transaction_mean_7 for i in range(1, 7)] == [1.5, 1.5, 4.0, 8.0, 16.0, 32.0]
+    assert [got[i].avg_transaction_terminal_id_count_30 for i in range(1, 7)] == [2.0, 2.0, 2.0, 1.0, 2.0, 1.0]
+
+
 def test_earlier_rows_count_in_frames(spark, sf_dir):
     tx = transactions(spark, sf_dir)
     cut = F.col("tx_time_days") < 12

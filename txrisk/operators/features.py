@@ -120,58 +120,59 @@ def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames:
 
     A sliding range frame would visit every second of 30 days for every second.
     Instead a frame is put together from three sums: this day so far, the days
-    between, and the rest of the day the frame starts in (a running sum from its end).  A
-    window partition holds the seconds of a few days.  Nothing is taken away again, so
-    amounts outside a frame, however large, leave its mean alone.
+    between, and the rest of the day the frame starts in (a running sum from its end).
+    Nothing is taken away again, so amounts outside a frame, however large, leave its mean alone.
+
+    Time is cut into spans as long as the longest frame.  A second goes to its own span and, as lead-in, to
+    the next one, once each; everything else happens where it lies, so besides adding up the rows
+    of a second there is one exchange.  A window partition is one day of a key, a task holds two spans of it.
     """
     # what is added up: per statistic a value for each row
     parts = {"n": F.count(ID)} if "count" in stats else {}
     if "mean" in stats:
         parts |= {"priced": F.count(AMOUNT), "sum": F.coalesce(F.sum(AMOUNT), F.lit(0.0))}
+    span = max(frames)
     seconds = base.groupBy(key, "_sec").agg(*[v.alias(p) for p, v in parts.items()])
     seconds = seconds.withColumn("_day", F.floor(F.col("_sec") / DAY).cast("long"))
-
-    # totals of whole days, and their sums over the days that lie whole in a frame before today
-    totals = seconds.groupBy(key, "_day").agg(*[F.sum(p).alias(p) for p in parts])
-    by_day = Window.partitionBy(key).orderBy("_day")
-
-    def whole_days(part: str, n: int) -> Column:
-        if n == 1:
-            return F.lit(0)
-        return F.coalesce(F.when(F.col("_day").isNotNull(), F.sum(part).over(by_day.rangeBetween(1 - n, -1))), F.lit(0))
-
-    covered = totals.select(
-        F.col(key).alias("_key"),
-        F.col("_day").alias("_on"),
-        *[whole_days(p, n).alias(f"{p}_{n}") for n in frames for p in parts],
-    )
-
-    # each second also goes to the day whose frames start in its own day
-    spread = seconds.withColumn("_age", F.explode(F.array(F.lit(0), *[F.lit(n) for n in frames])))
-    spread = spread.withColumn("_day", F.col("_day") + F.col("_age"))
-    same_day = spread[key].eqNullSafe(covered["_key"]) & spread["_day"].eqNullSafe(covered["_on"])
-    spread = spread.join(covered, same_day, "inner").drop("_key", "_on")
-
-    in_day = Window.partitionBy(key, "_day")
+    own = F.floor(F.col("_day") / span).cast("long")
+    # rows without a time lie in no span and lead into none
+    spans = F.when(own.isNull(), F.array(own)).otherwise(F.array(own, own + 1))
+    placed = seconds.select("*", F.explode(spans).alias("_span")).repartition(key, "_span")
+
+    # sums over the days that lie whole in a frame, one row per day; no column or row is left out here, so that both uses of ``placed`` share its exchange
+    by_day = Window.partitionBy(key, "_span").orderBy("_day")
+    totals = placed.groupBy(key, "_span", "_day").agg(F.min("_sec").alias("_sec"), *[F.sum(p).alias(p) for p in parts])
+    dated = F.col("_day").isNotNull()
+    between = {f"{p}_{n}": F.when(dated, F.sum(p).over(by_day.rangeBetween(1 - n, -1))) for n in frames if n > 1 for p in parts}
+    covered = totals.select(key, "_span", "_day", "_sec", *[c.alias(name) for name, c in between.items()])
+    covered = covered.where(F.col("_span").eqNullSafe(own)).withColumn("_age", F.lit(-1))
+
+    # each second also counts in the day whose frames start in its own day
+    aged = placed.withColumn("_age", F.explode(F.array(F.lit(0), *[F.lit(n) for n in frames])))
+    aged = aged.withColumn("_day", F.col("_day") + F.col("_age")).where(F.col("_span").eqNullSafe(own))
+    aged = aged.where((F.col("_age") == 0) | F.col("_sec").isNotNull())
+    rows = aged.unionByName(covered, allowMissingColumns=True)
+
+    in_day = Window.partitionBy(key, "_span", "_day")
     moment = F.col("_sec") + F.col("_age") * DAY
+    # the row of whole days comes first
     so_far = in_day.orderBy(moment).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     from_here = in_day.orderBy(moment.desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
     def running(age: int, part: str, frame: WindowSpec) -> Column:
-        # rows without a time share one frame, which is the first sum
-        counted = (F.col("_age") == age) & (F.col("_sec").isNotNull() if age else F.lit(True))
-        return F.coalesce(F.sum(F.when(counted, F.col(part))).over(frame), F.lit(0))
+        return F.coalesce(F.sum(F.when(F.col("_age") == age, F.col(part))).over(frame), F.lit(0))
 
-    sums = {
-        f"_{p}_{n}": running(0, p, so_far) + F.col(f"{p}_{n}") + running(n, p, from_here) for n in frames for p in parts
-    }
+    def whole_days(part: str, n: int) -> Column:
+        return F.coalesce(F.max(f"{part}_{n}").over(so_far), F.lit(0)) if n > 1 else F.lit(0)
+
+    sums = {f"_{p}_{n}": running(0, p, so_far) + whole_days(p, n) + running(n, p, from_here) for n in frames for p in parts}
     named = {}
     for n in frames:
         if "count" in stats:
             named[stats["count"].format(n)] = F.col(f"_n_{n}").cast("float")
         if "mean" in stats:
             named[stats["mean"].format(n)] = F.try_divide(F.col(f"_sum_{n}"), F.col(f"_priced_{n}"))
-    done = spread.withColumns(sums).filter(F.col("_age") == 0).withColumns(named)
+    done = rows.withColumns(sums).filter(F.col("_age") == 0).withColumns(named)
     return done.select(key, "_sec", *named)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from txrisk.operators.evaluate import _AT_MOST
-from txrisk.plans.queries import CLEAN_FENCES, FENCED, SALT, SEED
+from txrisk.plans.queries import CLEAN_FENCES, FENCED, QUASI, SALT, SEED, K
 from txrisk.schema import FRAMES, IQR_COLUMNS, MESSAGE_FIELDS, NON_NEGATIVE, RAW_TX
 
 _TX = """
@@ -116,6 +116,32 @@ def _frames(by: str) -> str:
     return _TX + ",\nrolled AS (SELECT *, " + ",\n  ".join(cols) + " FROM tx)"
 
 
+def _anonymous(rounds: int = 24) -> str:
+    """Recursive median cuts, so many rounds one after the other; a group that cannot be cut stays as it is."""
+    cols = list(enumerate(QUASI))
+    ends = ", ".join(f"(max({c}) - min({c}))::DOUBLE AS s{i}" for i, c in cols)
+    parts = [f"ends AS (SELECT {ends} FROM tx)", f"r0 AS MATERIALIZED (SELECT transaction_id, tx_amount, {', '.join(QUASI)}, '' AS g FROM tx)"]
+    good = {i: f"(le{i} >= {K} AND n - le{i} >= {K})" for i, _ in cols}
+    also = {i: f"(lt{i} >= {K} AND n - lt{i} >= {K})" for i, _ in cols}
+    for r in range(rounds):
+        medians = ", ".join(f"list_sort(list({c}))[(count(*) + 1) // 2] AS m{i}, (max({c}) - min({c}))::DOUBLE AS w{i}" for i, c in cols)
+        sides = ", ".join(f"count(*) FILTER ({c} <= m{i}) AS le{i}, count(*) FILTER ({c} < m{i}) AS lt{i}" for i, c in cols)
+        widths = ", ".join(f"CASE WHEN {good[i]} OR {also[i]} THEN w{i} / s{i} END AS x{i}" for i, _ in cols)
+        widest = "greatest(" + ", ".join(f"x{i}" for i, _ in cols) + ")"
+        low = " ".join(f"WHEN x{i} = {widest} THEN CASE WHEN {good[i]} THEN {c} <= m{i} ELSE {c} < m{i} END" for i, c in cols)
+        parts += [
+            f"m{r} AS MATERIALIZED (SELECT g, count(*) AS n, {medians} FROM r{r} GROUP BY g)",
+            f"t{r} AS MATERIALIZED (SELECT *, {widths} FROM (SELECT g, any_value(COLUMNS('^(n|[mw][0-9])$')), {sides} FROM r{r} JOIN m{r} USING (g) GROUP BY g), ends)",
+            f"""r{r + 1} AS MATERIALIZED (SELECT transaction_id, tx_amount, {', '.join(QUASI)},
+              g || coalesce(CASE CASE {low} END WHEN true THEN 'l' WHEN false THEN 'h' END, '') AS g FROM r{r} JOIN t{r} USING (g))""",
+        ]
+    ranges = ", ".join(f"min({c}) OVER w AS {c}_low, max({c}) OVER w AS {c}_high" for c in QUASI)
+    return (
+        f"WITH {_TX.strip()}, " + ",\n".join(parts)
+        + f" SELECT transaction_id, round(tx_amount, 6) AS tx_amount, {ranges}, count(*) OVER w AS group_size FROM r{rounds} WINDOW w AS (PARTITION BY g)"
+    )
+
+
 _ROWS = _frames("rows")
 _DAYS = _frames("days")
 _DOUBLES = {"tx_amount", "score", "score_old"} | {f"avg_transaction_mean_{n}" for n in FRAMES}
@@ -235,6 +261,15 @@ def statements() -> dict[str, str]:
         "pseudonymised": f"""{raw} SELECT {_COLS} FROM (SELECT * REPLACE (
             sha256('{SALT}:' || customer_id::VARCHAR) AS customer_id,
             sha256('{SALT}:' || terminal_id::VARCHAR) AS terminal_id) FROM raw)""",
+        "k_anonymous": _anonymous(),
+        "latency_summary": f"""{tx}, d AS (SELECT floor(epoch(tx_datetime) / 86400)::BIGINT * 86400 AS window_start,
+              CASE WHEN transaction_id % 50 = 0 THEN -5 ELSE (transaction_id * 7919 % 9973) * (transaction_id * 7919 % 9973) + 1 END AS us FROM tx),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY us) AS rn, count(*) OVER (PARTITION BY window_start) AS n,
+              CASE WHEN us <= 0 THEN 0 ELSE 2 * pow(1.01::DOUBLE / 0.99, ceil(ln(us) / ln(1.01::DOUBLE / 0.99))) / (1.01::DOUBLE / 0.99 + 1) END / 1000 AS near FROM d)
+            SELECT window_start, count(*) AS messages, round(sum(us)::DOUBLE / 1000, 6) AS total_ms, round(min(us)::DOUBLE / 1000, 6) AS least_ms,
+              round(max(us)::DOUBLE / 1000, 6) AS most_ms,
+              {", ".join(f"round(max(near) FILTER (rn = greatest(1, ceil(n * {q}::DOUBLE))), 6) AS p{p}_ms" for q, p in ((0.5, 50), (0.95, 95), (0.99, 99)))}
+            FROM ranked GROUP BY window_start""",
         "latest_per_customer": f"""{tx} SELECT {_TEXTED} FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
             ORDER BY tx_datetime DESC, transaction_id DESC) AS rn FROM tx) WHERE rn = 1""",
         "quality_report": f"""{raw}, {cleaned}, n AS (SELECT (SELECT count(*) FROM raw) AS raw_n,

@@ -15,13 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk import sources
-from txrisk.operators import evaluate, features, mlprep, quality, sampling
+from txrisk.functions import epoch_seconds
+from txrisk.operators import anonymity, evaluate, features, mlprep, quality, sampling
 from txrisk.plans import jobs, train
 from txrisk.schema import FRAMES, LABEL, MESSAGE_FIELDS
 from txrisk.session import new_path, settle
 from txrisk.sources import raw_transactions, scored, transactions
 from txrisk.streaming import (
+    answer_timed,
     decode,
+    latency_summary as summary_of_latency,
     ledger,
     mark,
     match_replies,
@@ -42,6 +45,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SEED = 47
 SALT = "txrisk"
+#: quasi-identifiers and the least group
+QUASI, K = ["customer_id", "terminal_id", "tx_time_days"], 25
 #: fences that remove something in the test tables
 FENCED = ["tx_amount", "terminal_id", "customer_id"]
 CLEAN_FENCES = ["customer_id", "terminal_id", "tx_time_seconds", "transaction_id", "tx_time_days", "tx_amount"]
@@ -170,6 +175,13 @@ def pseudonymised(spark, sf_dir):
     return tidy(quality.pseudonymise(raw_transactions(spark, sf_dir), ["customer_id", "terminal_id"], SALT))
 
 
+@query
+def k_anonymous(spark, sf_dir):
+    """Ranges of three quasi-identifiers that at least ``K`` transactions share."""
+    table = transactions(spark, sf_dir).select("transaction_id", "tx_amount", *QUASI)
+    return tidy(anonymity.k_anonymous(table, QUASI, K, accuracy=1_000_000))
+
+
 @query
 def latest_per_customer(spark, sf_dir):
     return tidy(quality.latest_by(transactions(spark, sf_dir), ["customer_id"], ["tx_datetime", "transaction_id"]))
@@ -539,6 +551,21 @@ def delivery_ledger(spark, sf_dir):
     return ledger(sent.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))), block=64)
 
 
+@query
+def latency_summary(spark, sf_dir):
+    """Time to answer per day, from the sketches of several micro-batches; delays are planted by rule, some negative."""
+    inbox, out, log, checkpoint = (new_path(spark, n) for n in ("asked", "answered", "latency", "latency-checkpoint"))
+    table = transactions(spark, sf_dir).select("transaction_id", epoch_seconds("tx_datetime").alias("sent"))
+    delay = F.pow(F.col("transaction_id") * 7919 % 9973, 2).cast("long") + 1
+    delay = F.when(F.col("transaction_id") % 50 == 0, F.lit(-5).cast("long")).otherwise(delay)
+    asked = table.select("transaction_id", F.timestamp_seconds("sent").alias("ts"), F.timestamp_micros(F.col("sent") * 1_000_000 + delay).alias("answered"))
+    asked.repartition(3, "transaction_id").write.parquet(inbox)
+    stream = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    answer_timed(stream, out, log, checkpoint, answered="answered", window="1 day").awaitTermination()
+    days = summary_of_latency(spark.read.parquet(log))
+    return tidy(days.withColumn("window_start", F.unix_timestamp("window_start")))
+
+
 def _scored_stream(spark, messages, model, name):
     inbox = new_path(spark, "messages")
     messages.write.parquet(inbox)

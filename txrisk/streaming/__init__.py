@@ -1,6 +1,7 @@
 """Structured Streaming: messages, scoring, replies, counts and keyed rolling features."""
 
 from txrisk.streaming.keyed import rolling_features_state, state_reads
+from txrisk.streaming.latency import answer_timed, latency_sketch, latency_summary, merge_sketches
 from txrisk.streaming.messages import (
     decode,
     encode,
@@ -19,11 +20,15 @@ from txrisk.streaming.scoring import ProgressLog, prediction_counts, predictions
 
 __all__ = [
     "ProgressLog",
+    "answer_timed",
     "decode",
     "encode",
+    "latency_sketch",
+    "latency_summary",
     "ledger",
     "mark",
     "match_replies",
+    "merge_sketches",
     "numbered_messages",
     "prediction_counts",
     "predictions",
