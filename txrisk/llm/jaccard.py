@@ -271,19 +271,36 @@ def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     The smaller set of a pair finds the other by an early item, in its own band or the next.  Components meet first, by
     what they have at best in the tile; then the members that can be alike enough to some member of the other, by sizes, by what
-    is left and by their short signatures, so a pair that its bits rule out is not even formed.  The members of a large component are cut into slices, so a tile that many sets share is spread over many tasks.
+    is left and by their short signatures, so a pair that its bits rule out is not even formed.  Components too are held against each other by
+    the bits that all or none of their members have.  The members of a large component are cut into slices, so a tile that many sets share is spread over many tasks.
     """
     entries = entries.join(classes.select("id", *SHORT), "id")
     y = entries.select("item", F.col("band").alias("tile"), F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), F.col("left").alias("ly"), *[F.col(f).alias(f"{f}y") for f in SHORT])
     tiles = F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile")
     x = entries.where("early").select("item", tiles, F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), F.col("left").alias("lx"), *SHORT)
+    # bits that all members of a component have, and those that none has: where one has and the other has not, every two members differ
     tops = y.groupBy("item", "tile", "cy").agg(
-        F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"), F.ceil(F.count(F.lit(1)) / MEETS_PER_TASK).alias("slices")
-    )
-    own = x.groupBy("item", "tile", "cx").agg(F.min("nx").alias("own_least"), F.max("lx").alias("own_top"))
+        F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"), F.ceil(F.count(F.lit(1)) / MEETS_PER_TASK).alias("slices"),
+        *[F.bit_and(f"{f}y").alias(f"{f}all") for f in SHORT], *[F.bit_or(f"{f}y").alias(f"{f}any") for f in SHORT],
+    )
+    own = x.groupBy("item", "tile", "cx").agg(
+        F.min("nx").alias("own_least"), F.max("nx").alias("own_most"), F.max("lx").alias("own_top"),
+        *[F.bit_and(f).alias(f"{f}own_all") for f in SHORT], *[F.bit_or(f).alias(f"{f}own_any") for f in SHORT],
+    )
+
+    def near_enough(all_: str, any_: str, sizes: Column) -> Column:
+        """Whether so many bits may differ, of what every member has, or no member has, here and there."""
+        here = [F.col(f"{f}{all_}").bitwiseAND(F.bitwise_not(F.col(f"{f}any"))) for f in SHORT]
+        there = [F.col(f"{f}all").bitwiseAND(F.bitwise_not(F.col(f"{f}{any_}"))) for f in SHORT]
+        differ = reduce(add, [F.bit_count(h.bitwiseOR(t)) for h, t in zip(here, there, strict=True)])
+        return (100 - percent) * sizes >= (100 + percent) * differ
+
     met = own.join(tops, ["item", "tile"]).where((F.col("cx") != F.col("cy")) & (F.col("own_least") <= F.col("most")))
-    met = met.where(may_overlap(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least"), percent)).drop("own_least", "own_top")
+    met = met.where(may_overlap(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least"), percent))
+    met = met.where(near_enough("own_all", "own_any", F.col("own_most") + F.col("most")))
+    met = met.drop("own_least", "own_most", "own_top", *[f"{f}own_{x}" for f in SHORT for x in ("all", "any")])
     wanted = (F.col("nx") <= F.col("most")) & may_overlap(F.least("lx", "top"), F.col("nx") + F.greatest("nx", "least"), percent)
+    wanted = wanted & near_enough("", "", F.col("nx") + F.col("most"))
     near = met.join(x, ["item", "tile", "cx"]).where(wanted)
     near = near.select("item", "tile", "cy", "ix", "nx", "lx", *SHORT, F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
     sliced = y.join(tops.select("item", "tile", "cy", "slices"), ["item", "tile", "cy"])
