@@ -192,6 +192,16 @@ def test_near_duplicates_of_odd_rows(spark, empty):
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("4", "a b c d e f"), ("7", None), ("None", "a b c d e f"), ("None", "x")]
 
 
+def test_near_duplicates_of_texts_that_share_an_id(spark):
+    """Each text of an id brings its own likenesses, and a row without an id joins those it is like."""
+    one, other = ([f"{p}{i}" for i in range(60)] for p in "az")
+    near = lambda words, by: " ".join([*words[:-1], by])
+    texts = [(4, " ".join(one)), (4, " ".join(other)), (5, near(one, "x")), (6, near(other, "y")), (None, near(other, "v")), (8, "alone")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = sorted(map(str, ((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(df).collect())))
+    assert got == sorted(map(str, [(4, 4, True), (4, 4, True), (5, 4, False), (6, 4, False), (None, 4, True), (8, 8, True)]))
+
+
 def test_licenses(docs, empty, spark):
     for i, r in by_id(licenses.scan(docs)).items():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.licenses(TEXTS[i])

@@ -15,8 +15,10 @@ left out unless both ends are already joined, and a group of thousands of copies
 not quite, costs a few comparisons a copy, not the square.
 
 Null and empty texts, and texts without words, have an empty set and are linked with nothing.
-Rows with equal ids or texts are in one class.  A row without an id takes the component of its
-text (null if no equal text has an id) and is kept, as nothing could name it.  The filter keeps one row of
+Rows with equal sets are one class, whatever their ids; rows that share an id are linked only through their texts.
+A component is named by the smallest id in it.  A row without an id takes the component of its
+text (null if no text there has an id) and is kept, as nothing could name it.  A text of any length is one row's array of
+64-bit hashes in a task.  The filter keeps one row of
 each id that is kept.  An empty table gives an empty result; other columns are not read.
 """
 
@@ -54,7 +56,7 @@ class Params(NamedTuple):
 SKETCHES = pa.schema(
     [("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))]
 )
-SETS = pa.schema([("id", pa.int64()), ("size", pa.int64()), ("bits", pa.list_(pa.int64())), ("items", pa.binary())])
+SETS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("size", pa.int64()), ("bits", pa.list_(pa.int64())), ("items", pa.binary())])
 ITEMS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("component", pa.int64()), ("item", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -85,10 +87,10 @@ def _sketch(batches: Iterable, p: Params) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterable, p: Params) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
-        for doc_id, text in rows_of(batches):
+        for _, text in rows_of(batches):
             values = shingle_set(text, p.words)
             odd = np.bincount((values >> np.uint64(64 - BITS)).view(np.int64), minlength=1 << BITS) & 1
-            yield doc_id, len(values), np.packbits(odd.astype(bool)).view(np.int64), values.tobytes()
+            yield *set_digest(values), len(values), np.packbits(odd.astype(bool)).view(np.int64), values.tobytes()
 
     yield from batches_of(rows(), SETS, flush=256)
 
@@ -205,18 +207,19 @@ def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataF
     small_batches(docs.sparkSession)
     plain = texts(docs)
     sketches = settle(plain.mapInArrow(partial(_sketch, p=p), ddl(SKETCHES)), "sketches")
-    classes = settle(
-        sketches.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")),
-        "classes",
-    )
+    grouped = sketches.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    # sets, not documents, are linked, as rows may share an id; a written table keeps the numbers its rows were given
+    classes = settle(grouped.withColumn("id", F.monotonically_increasing_id()), "classes")
     # one order of all ids: the member of a bucket that comes first is compared with the others
-    entries = classes.where("id is not null").select(F.explode("keys").alias("key"), F.xxhash64("id").alias("turn"), "id", "n")
+    entries = classes.select(F.explode("keys").alias("key"), F.xxhash64("id").alias("turn"), "id", "n")
     buckets = entries.groupBy("key").agg(
         F.min(F.struct("turn", "id", "n")).alias("first"), F.count(F.lit(1)).alias("members")
     ).where("members > 1")
     members = settle(entries.drop("turn").join(buckets.drop("members"), "key"), "members")
-    plain_sets = plain.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = settle(plain_sets.dropDuplicates(["doc_id"]).mapInArrow(partial(_sets, p=p), ddl(SETS)), "sets")
+    named = classes.select("id", "h1", "h2", "least_id").join(members.select("id").distinct(), "id", "left_semi")
+    named = settle(named, "named")
+    rows = plain.join(named, plain["doc_id"].eqNullSafe(named["least_id"]), "left_semi").mapInArrow(partial(_sets, p=p), ddl(SETS))
+    sets = settle(rows.dropDuplicates(["h1", "h2"]).join(named.select("h1", "h2", "id"), ["h1", "h2"]).select("id", "size", "bits", "items"), "sets")
 
     def alike(x: str, y: str):
         return 100 * F.least(x, y) >= p.percent * F.greatest(x, y)
@@ -247,8 +250,9 @@ def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataF
         more = settle(confirm(rest, sets, p.percent), "links")
         if not more.isEmpty():
             labels = components(links.unionByName(more))
-    found = classes.select("h1", "h2", "id").join(labels, "id", "left")
-    return sketches, found.select("h1", "h2", F.coalesce("component", "id").alias("component_id"))
+    found = classes.select("h1", "h2", "id", "least_id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = found.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return sketches, found.join(least, "component").select("h1", "h2", "component_id")
 
 
 def near_duplicates(docs: DataFrame, p: Params | None = None) -> DataFrame:
