@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
@@ -118,3 +120,34 @@ def test_any_number_of_categories_is_numbered(spark):
 def test_sweep_of_an_empty_table_has_every_threshold(spark):
     swept = evaluate.threshold_sweep(spark.createDataFrame([], "score double, tx_fraud int")).collect()
     assert len(swept) == 10 and all((r.tp, r.fp, r.fn, r.precision, r.recall) == (0, 0, 0, 0.0, 0.0) for r in swept)
+
+
+def test_bootstrap_hashes_a_draw_once(spark, monkeypatch):
+    plans, kept = [], evaluate.settle
+
+    def settle(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(evaluate, "settle", settle)
+    # (key, label, new, old); keys repeat, and a key, a label and a prediction are missing
+    rows = [(i % 30, int(i % 3 == 0), float(i % 2), float(i % 5 == 0)) for i in range(60)] + [(None, 1, 1.0, 0.0), (7, None, 1.0, 1.0), (8, 1, None, 1.0)]
+    df = spark.createDataFrame(rows, "id int, tx_fraud int, new double, old double")
+    out = evaluate.bootstrap(df, {"new": ("x", "new"), "old": ("x", "old")}, "id", reps=5, seed=3).collect()
+    assert plans[0].count("md5(") == 1
+
+    def times(key, rep):
+        text = "|".join(str(x) for x in (key, 3, rep) if x is not None)
+        chance = int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+        return sum(chance >= k for k in evaluate._AT_MOST)
+
+    expected = {"new": [], "old": []}
+    for rep in range(5):
+        for at, name in ((2, "new"), (3, "old")):
+            said = [(r[1], r[at], times(r[0], rep)) for r in rows]
+            tp, fp = (sum(w for a, b, w in said if (a, b) == (x, 1)) for x in (1, 0))
+            expected[name].append(tp / (tp + fp))
+    means = {r["model"]: r["mean"] for r in out if r["metric"] == "precision"}
+    assert means["new"] == pytest.approx(sum(expected["new"]) / 5)
+    assert means["old"] == pytest.approx(sum(expected["old"]) / 5)
+    assert means["new - old"] == pytest.approx(sum(a - b for a, b in zip(expected["new"], expected["old"], strict=True)) / 5)
