@@ -1,5 +1,7 @@
 """Rolling features against plain windows, with and without hot keys."""
 
+import datetime as dt
+
 import pandas as pd
 import pytest
 from pyspark.sql import Window
@@ -125,3 +127,21 @@ def test_day_means_keep_their_digits(spark):
     tx = tx.selectExpr("*", "1L AS customer_id", "2L AS terminal_id", "make_timestamp_ntz(2024, 1, d, h, 0, 0) AS tx_datetime").drop("d", "h")
     got, want = rows(features.rolling_features(tx, frames_by="days")), rows(plain(tx, "days"))
     pd.testing.assert_frame_equal(got, want, check_dtype=False, rtol=0, atol=0)
+
+
+def test_days_of_a_hot_key_lie_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(features, "TASK_SECONDS", 20)
+    monkeypatch.setattr(features, "_frames_by_second", lambda *a, kept=features._frames_by_second: held.append(kept(*a)) or held[-1])
+    held = []
+    start = dt.datetime(2024, 1, 1)
+    times = [start + dt.timedelta(hours=5 * (i // 2)) for i in range(300)] + [None]
+    rows = [(i, t, 1, i % 3, float(i)) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "transaction_id long, tx_datetime timestamp_ntz, customer_id int, terminal_id int, tx_amount double")
+    got = {r["transaction_id"]: r for r in features.rolling_features(df, frames_by="days").collect()}
+    for n in (1, 7, 30):
+        for i, at, _, _, _ in rows:
+            frame = [r[4] for r in rows if (r[1] is None if at is None else r[1] is not None and at - dt.timedelta(days=n) <= r[1] <= at)]
+            assert got[i][f"avg_transaction_count_{n}"] == len(frame)
+            assert got[i][f"avg_transaction_mean_{n}"] == pytest.approx(sum(frame) / len(frame))
+    per_task = held[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 3 and max(r["count"] for r in per_task) < 100

@@ -31,6 +31,9 @@ CUSTOMER_MEAN = "avg_transaction_mean_{}"
 TERMINAL_COUNT = "avg_transaction_terminal_id_count_{}"
 
 DAY = 86_400
+#: seconds of a key that a task works out day frames of, and tasks at most (beyond, a task's sorts spill)
+TASK_SECONDS = 100_000
+MOST_TASKS = 100_000
 
 
 def row_frame(keys: str | Sequence[str], n: int) -> WindowSpec:
@@ -106,8 +109,11 @@ def _day_windows(df: DataFrame, wanted: dict[str, dict[str, str]], frames: Seque
     out = [*df.columns]
     rows = df.withColumn("_sec", epoch_seconds(TIME))
     base = rows
+    # seconds of each key, of which every task gets so many, however large the table
+    seconds = base.agg(*[F.approx_count_distinct(F.struct(key, "_sec")).alias(key) for key in wanted]).first()
     for key, stats in wanted.items():
-        sums = _frames_by_second(base.select(key, "_sec", ID, AMOUNT), key, stats, frames)
+        tasks = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), seconds[key] // TASK_SECONDS + 1), MOST_TASKS)
+        sums = _frames_by_second(base.select(key, "_sec", ID, AMOUNT), key, stats, frames, tasks)
         sums = sums.withColumnsRenamed({key: "_key", "_sec": "_at"})
         same = rows[key].eqNullSafe(sums["_key"]) & rows["_sec"].eqNullSafe(sums["_at"])
         rows = rows.join(sums, same, "left").drop("_key", "_at")
@@ -115,7 +121,7 @@ def _day_windows(df: DataFrame, wanted: dict[str, dict[str, str]], frames: Seque
     return rows.select(*out)
 
 
-def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames: Sequence[int]) -> DataFrame:
+def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames: Sequence[int], tasks: int) -> DataFrame:
     """Statistics of the frames that end in each second of each key.
 
     A sliding range frame would visit every second of 30 days for every second.
@@ -123,37 +129,31 @@ def _frames_by_second(base: DataFrame, key: str, stats: dict[str, str], frames:
     between, and the rest of the day the frame starts in (a running sum from its end).
     Nothing is taken away again, so amounts outside a frame, however large, leave its mean alone.
 
-    Time is cut into spans as long as the longest frame.  A second goes to its own span and, as lead-in, to
-    the next one, once each; everything else happens where it lies, so besides adding up the rows
-    of a second there is one exchange.  A window partition is one day of a key, a task holds two spans of it.
+    A second goes to its own day and to the days whose frames start in it; the days between are summed from one row per day and
+    join them there.  A window partition is one day of a key, which has 86,400 seconds at most, and tasks are ranges of keys and days of
+    about the same size, so a hot key is cut between its days.
     """
     # what is added up: per statistic a value for each row
     parts = {"n": F.count(ID)} if "count" in stats else {}
     if "mean" in stats:
         parts |= {"priced": F.count(AMOUNT), "sum": F.coalesce(F.sum(AMOUNT), F.lit(0.0))}
-    span = max(frames)
     seconds = base.groupBy(key, "_sec").agg(*[v.alias(p) for p, v in parts.items()])
     seconds = seconds.withColumn("_day", F.floor(F.col("_sec") / DAY).cast("long"))
-    own = F.floor(F.col("_day") / span).cast("long")
-    # rows without a time lie in no span and lead into none
-    spans = F.when(own.isNull(), F.array(own)).otherwise(F.array(own, own + 1))
-    placed = seconds.select("*", F.explode(spans).alias("_span")).repartition(key, "_span")
-
-    # sums over the days that lie whole in a frame, one row per day; no column or row is left out here, so that both uses of ``placed`` share its exchange
-    by_day = Window.partitionBy(key, "_span").orderBy("_day")
-    totals = placed.groupBy(key, "_span", "_day").agg(F.min("_sec").alias("_sec"), *[F.sum(p).alias(p) for p in parts])
+
+    # sums over the days that lie whole in a frame, one row per day; no column or row is left out here, so that both uses of ``seconds`` share its exchange
+    by_day = Window.partitionBy(key).orderBy("_day")
+    totals = seconds.repartition(key).groupBy(key, "_day").agg(F.min("_sec").alias("_sec"), *[F.sum(p).alias(p) for p in parts])
     dated = F.col("_day").isNotNull()
     between = {f"{p}_{n}": F.when(dated, F.sum(p).over(by_day.rangeBetween(1 - n, -1))) for n in frames if n > 1 for p in parts}
-    covered = totals.select(key, "_span", "_day", "_sec", *[c.alias(name) for name, c in between.items()])
-    covered = covered.where(F.col("_span").eqNullSafe(own)).withColumn("_age", F.lit(-1))
+    covered = totals.select(key, "_day", "_sec", *[c.alias(name) for name, c in between.items()]).withColumn("_age", F.lit(-1))
 
     # each second also counts in the day whose frames start in its own day
-    aged = placed.withColumn("_age", F.explode(F.array(F.lit(0), *[F.lit(n) for n in frames])))
-    aged = aged.withColumn("_day", F.col("_day") + F.col("_age")).where(F.col("_span").eqNullSafe(own))
+    aged = seconds.withColumn("_age", F.explode(F.array(F.lit(0), *[F.lit(n) for n in frames])))
+    aged = aged.withColumn("_day", F.col("_day") + F.col("_age"))
     aged = aged.where((F.col("_age") == 0) | F.col("_sec").isNotNull())
-    rows = aged.unionByName(covered, allowMissingColumns=True)
+    rows = aged.unionByName(covered, allowMissingColumns=True).repartitionByRange(tasks, key, "_day")
 
-    in_day = Window.partitionBy(key, "_span", "_day")
+    in_day = Window.partitionBy(key, "_day")
     moment = F.col("_sec") + F.col("_age") * DAY
     # the row of whole days comes first
     so_far = in_day.orderBy(moment).rangeBetween(Window.unboundedPreceding, Window.currentRow)
