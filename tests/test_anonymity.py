@@ -40,3 +40,16 @@ def test_many_groups_are_joined_without_a_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, anonymity.k_anonymous(df, COLUMNS, 10).collect()))
     monkeypatch.setattr(anonymity, "MOST_BROADCAST", 0)
     assert sorted(map(tuple, anonymity.k_anonymous(df, COLUMNS, 10).collect())) == want
+
+
+def test_groups_a_task_can_hold_are_cut_as_in_rounds(spark, monkeypatch):
+    """Large groups in rounds, small ones in a task, all in rounds, all in one task: the same ranges, and few rounds."""
+    df = spark.range(4000).selectExpr("id", "IF(id % 3 = 0, 7, id * 7919 % 1009) AS a", "CAST(id * 31 % 97 / 4 AS decimal(9, 2)) AS b", "float(id % 5) AS c")
+    rounds, kept, seen = [], anonymity._cuts, set()
+    monkeypatch.setattr(anonymity, "_cuts", lambda *a: rounds.append(1) or kept(*a))
+    for task_rows, most in ((50_000, 0), (500, 5), (0, 20)):
+        monkeypatch.setattr(anonymity, "TASK_ROWS", task_rows)
+        rounds.clear()
+        seen.add(tuple(sorted(map(tuple, anonymity.k_anonymous(df, ["a", "b", "c"], 20, accuracy=100_000).collect()))))
+        assert len(rounds) <= most
+    assert len(seen) == 1
