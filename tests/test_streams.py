@@ -300,3 +300,48 @@ def test_replay_takes_every_row(spark, sf_dir):
     sent = stream.replay_stream(numbers, rows, 3)
     assert sent.count() == 400 and sent.select("key").distinct().count() == 20
     assert values(sent) == values(stream.replay_stream(numbers.repartition(3), rows.repartition(2), 3))
+
+
+@pytest.mark.parametrize("passed", [None, 2_500])
+def test_a_key_costs_one_table_of_pandas(spark, monkeypatch, passed):
+    """Rows of a micro-batch of one key, in two batches: put in order, kept as state, and one table made of them."""
+    from txrisk.streaming import rolling
+
+    taken = {}
+
+    class Rows:
+        schema = spark.range(0).selectExpr("1 AS customer_id").schema
+
+        def select(self, *_):
+            return self
+
+        withWatermark = groupBy = select  # noqa: N815
+
+        def applyInPandasWithState(self, f, *_):  # noqa: N802
+            taken["f"] = f
+
+    class State:
+        exists = False
+
+        def getCurrentWatermarkMs(self):  # noqa: N802
+            return passed
+
+        def update(self, value):
+            self.get, self.exists = value, True
+
+        def setTimeoutTimestamp(self, at):  # noqa: N802
+            self.due = at
+
+    rolling.rolling_features_stream(Rows(), frames=(1, 2), hold="1 second" if passed else None)
+    batches = [pd.DataFrame({"at": at, "transaction_id": ids, "tx_amount": x}) for at, ids, x in (([2_000_000, 1_000_000], [2, 1], [4.0, 2.0]), ([3_000_000, 2_000_000], [4, 3], [None, 6.0]))]
+    made, kept = [], pd.DataFrame
+    monkeypatch.setattr(rolling.pd, "DataFrame", lambda *a, **k: made.append(1) or kept(*a, **k))
+    state = State()
+    (out,) = taken["f"]((7,), iter(batches), state)
+    assert len(made) == 1
+    n = 3 if passed else 4
+    assert out["transaction_id"].tolist() == [1, 2, 3, 4][:n] and out["customer_id"].tolist() == [7] * n
+    assert out["avg_transaction_mean_1"].tolist() == [2.0, 3.0, 5.0, 6.0][:n]
+    assert out["avg_transaction_count_2"].tolist() == [1, 2, 3, 3][:n]
+    assert state.get[0] == pytest.approx([4.0, 6.0] if passed else [6.0, float("nan")], nan_ok=True)
+    assert state.get[1:3] == (([3_000_000], [4]) if passed else ([], []))

@@ -96,26 +96,29 @@ def rolling_features_stream(
 
     def per_key(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, at, ids, amounts = state.get if state.exists else ([], [], [], [])
-        rows = [pd.DataFrame({"at": at, ID: ids, AMOUNT: amounts}, columns=["at", ID, AMOUNT])]
-        rows += [b[["at", ID, AMOUNT]] for b in batches]
-        pending = pd.concat([r for r in rows if len(r)] or rows, ignore_index=True).sort_values(["at", ID])
-        waiting = pending.iloc[:0]
-        if hold:
-            passed = pending["at"] <= state.getCurrentWatermarkMs() * 1000
-            waiting, pending = pending[~passed], pending[passed]
-        new = pending[AMOUNT].to_numpy(dtype=float)
+        # plain arrays: most keys have few rows, and a table of pandas costs more than their work
+        parts = [[np.array(x) for x in (at, ids, amounts)]] if at else []
+        parts += [[b[c].to_numpy() for c in ("at", ID, AMOUNT)] for b in batches if len(b)]
+        if not parts:
+            return
+        at, ids, amounts = (np.concatenate(column) for column in zip(*parts, strict=True))
+        order = np.lexsort((ids, at))
+        at, ids, amounts = at[order], ids[order], amounts[order]
+        passed = at <= state.getCurrentWatermarkMs() * 1000 if hold else np.ones(len(at), bool)
+        new = amounts[passed].astype(float)
         if len(new):
-            out = pending.assign(**{key: group[0]})
+            out = {ID: ids[passed], key: group[0], "at": at[passed], AMOUNT: amounts[passed]}
             for n, (c, m) in names.items():
                 counts, means = frame_values(last, new, n)
                 out[c] = counts.astype("float32")
                 if m:
                     out[m] = means
-            yield out[output.names]
-        kept = [*last, *new.tolist()][-longest:]
-        state.update((kept, waiting["at"].tolist(), waiting[ID].tolist(), waiting[AMOUNT].tolist()))
+            yield pd.DataFrame(out, columns=output.names)
+        kept = [*last, *new[-longest:].tolist()][-longest:]
+        waiting = at[~passed]
+        state.update((kept, waiting.tolist(), ids[~passed].tolist(), amounts[~passed].tolist()))
         if len(waiting):
-            due = int(waiting["at"].min()) // 1000 + 1
+            due = int(waiting.min()) // 1000 + 1
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
     timeout = GroupStateTimeout.NoTimeout
