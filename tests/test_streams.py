@@ -334,8 +334,9 @@ def test_a_key_costs_one_table_of_pandas(spark, monkeypatch, passed):
 
     rolling.rolling_features_stream(Rows(), frames=(1, 2), hold="1 second" if passed else None)
     batches = [pd.DataFrame({"at": at, "transaction_id": ids, "tx_amount": x}) for at, ids, x in (([2_000_000, 1_000_000], [2, 1], [4.0, 2.0]), ([3_000_000, 2_000_000], [4, 3], [None, 6.0]))]
-    made, kept = [], pd.DataFrame
-    monkeypatch.setattr(rolling.pd, "DataFrame", lambda *a, **k: made.append(1) or kept(*a, **k))
+    made = []
+    for name in ("DataFrame", "concat"):
+        monkeypatch.setattr(rolling.pd, name, lambda *a, kept=getattr(pd, name), **k: made.append(1) or kept(*a, **k))
     state = State()
     (out,) = taken["f"]((7,), iter(batches), state)
     assert len(made) == 1
