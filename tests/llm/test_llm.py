@@ -446,3 +446,15 @@ def test_pipeline_against_its_parts(spark, sf_dir):
     clean = docs.where(F.col("doc_id").isin([i for i in want if not any(brute.personal(texts[i])[:4])]))
     lengths = {r.doc_id: r.doc_tokens for r in pieces.collect()}
     assert all(lengths[r.doc_id] == len(tk.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in clean.collect())
+
+
+def test_texts_to_pack_are_encoded_together(monkeypatch):
+    """Slices hold every row once, in order, and end with the text that fills them."""
+    from txrisk.llm import packing
+
+    monkeypatch.setattr(packing, "SLICE_CHARS", 10)
+    rows = [(1, "abc", 0), (2, None, 0), (3, "x" * 30, 2), (4, "", 0), (5, "y" * 10, 0), (None, "z", 0)]
+    slices = list(packing._slices(iter(rows)))
+    assert [[r[0] for r in s] for s in slices] == [[1, 2, 3], [4, 5], [None]]
+    assert [r for s in slices for r in s] == rows
+    assert list(packing._slices(iter([]))) == []

@@ -7,7 +7,7 @@ fill it.  Documents longer than a sequence are cut to full sequences first.  Wha
 at the end of a task is cut to powers of two, which need no padding.
 
 Each task packs its own rows as they come and holds at most ``BLOCK_DOCS`` documents or
-``BLOCK_IDS`` ids (and one text), so there is no shuffle and no large group.  A null text is empty and gives
+``BLOCK_IDS`` ids, and the texts that are encoded together (``SLICE_CHARS`` characters and one text), so there is no shuffle and no large group.  A null text is empty and gives
 its end id alone; equal rows are packed like any others; an empty table gives no pieces.
 Columns besides ``doc_id``, ``text`` and (if named) ``prompt_chars`` are not read.
 """
@@ -30,6 +30,8 @@ from txrisk.llm.tokens import encoder
 #: documents, and ids, that are packed together
 BLOCK_DOCS = 768
 BLOCK_IDS = 1 << 19
+#: texts of so many characters are encoded together
+SLICE_CHARS = 4_000_000
 
 PIECES = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
@@ -153,17 +155,36 @@ def powers(pieces: list[Piece]) -> Iterator[list[Piece]]:
         yield held
 
 
+def _slices(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Rows whose texts are encoded together."""
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += len(row[1] or "")
+        if chars >= SLICE_CHARS:
+            yield held
+            held, chars = [], 0
+    if held:
+        yield held
+
+
 def _pack(batches: Iterable, path: str, end_id: int, limits: Limits) -> Iterator[pa.RecordBatch]:
-    encode = encoder(path).encode
+    encode = encoder(path)
     end = int(end_id).to_bytes(4, "little")
     packer = Packer(limits)
 
+    def encoded() -> Iterator[tuple]:
+        for rows in _slices(rows_of(batches)):
+            ids, sizes = encode.encode_all([text or "" for _, text, _ in rows])
+            first = 0
+            for (doc_id, text, prompt_chars), n in zip(rows, sizes.tolist(), strict=True):
+                prompt = len(encode.encode((text or "")[:prompt_chars])) // 4 if prompt_chars else 0
+                yield doc_id, ids[first : first + n].tobytes() + end, prompt
+                first += n
+
     def sequences() -> Iterator[list[Piece]]:
         held = 0
-        for doc_id, text, prompt_chars in rows_of(batches):
-            text = text or ""
-            ids = encode(text) + end
-            prompt = len(encode(text[:prompt_chars])) // 4 if prompt_chars else 0
+        for doc_id, ids, prompt in encoded():
             yield from packer.add(Piece(doc_id, ids, prompt, 0, len(ids) // 4))
             held += len(ids) // 4
             if len(packer.left) >= BLOCK_DOCS or held >= BLOCK_IDS:
