@@ -346,3 +346,45 @@ def test_a_key_costs_one_table_of_pandas(spark, monkeypatch, passed):
     assert out["avg_transaction_count_2"].tolist() == [1, 2, 3, 3][:n]
     assert state.get[0] == pytest.approx([4.0, 6.0] if passed else [6.0, float("nan")], nan_ok=True)
     assert state.get[1:3] == (([3_000_000], [4]) if passed else ([], []))
+
+
+def test_many_waiting_requests_are_few_rows_of_state():
+    """A key with 2,500 requests that wait, one without a value; all come out once their time is over."""
+    from txrisk.streaming.replies import Pending
+
+    class State:
+        rows = ()
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = rows
+
+        def clear(self):
+            self.rows = ()
+
+    class Handle:
+        def getListState(self, *_):  # noqa: N802
+            return State()
+
+        def registerTimer(self, _):  # noqa: N802
+            pass
+
+    class Times:
+        watermark = 0
+
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return self.watermark
+
+    pending, times = Pending(1_000_000), Times()
+    pending.init(Handle())
+    at = [*range(0, 2_499_000, 1000), 0]
+    rows = pd.DataFrame({"asks": [True] * 2500 + [False], "at": [*at, 2_000_000], "value": [*(f"r{i}" for i in range(2499)), None, "told"]})
+    assert not list(pending.handleInputRows(("k",), iter([rows]), times))
+    assert len(pending.requests.rows) <= 3 and len(pending.replies.rows) == 1
+    times.watermark = 10_000_000
+    (out,) = pending.handleExpiredTimer(("k",), times, None)
+    assert out["at"].tolist() == sorted(at) and out["value"].tolist()[:3] == [None, "r0", "r1"]
+    assert [i for i, r in zip(out["at"], out["reply"], strict=True) if r == "told"] == list(range(1_000_000, 2_001_000, 1000))
+    assert not pending.requests.rows and not pending.replies.rows

@@ -13,7 +13,17 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from txrisk.operators import quality
 
-HELD = T.StructType([T.StructField("at", T.LongType()), T.StructField("value", T.StringType())])
+#: many rows of a key are one row of state, since every row of state is sent by itself
+HELD = T.StructType([T.StructField("at", T.ArrayType(T.LongType())), T.StructField("value", T.ArrayType(T.StringType()))])
+CHUNK = 1_000
+
+
+def _chunks(held: list[tuple]) -> list[tuple]:
+    return [tuple(map(list, zip(*held[i : i + CHUNK], strict=True))) for i in range(0, len(held), CHUNK)]
+
+
+def _held(state) -> set:
+    return {row for at, values in state.get() for row in zip(at, values, strict=True)}
 
 
 def _order(row: tuple) -> tuple:
@@ -21,6 +31,14 @@ def _order(row: tuple) -> tuple:
     return at, value is not None, value or ""
 
 
+def _ordered(rows: set) -> list:
+    """Rows by time and value, a missing value first; only where one meets another of its time is a key needed."""
+    try:
+        return sorted(rows)
+    except TypeError:
+        return sorted(rows, key=_order)
+
+
 class Pending(StatefulProcessor):
     """Requests of a key that wait for a reply, and the replies that may still be theirs."""
 
@@ -33,21 +51,21 @@ class Pending(StatefulProcessor):
         self.replies = handle.getListState("replies", HELD)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        new: dict[bool, set] = {True: set(self.requests.get()), False: set(self.replies.get())}
+        new: dict[bool, set] = {True: _held(self.requests), False: _held(self.replies)}
         for batch in rows:
-            for asks, at, value in zip(batch["asks"], batch["at"], batch["value"], strict=True):
-                new[bool(asks)].add((int(at), None if pd.isna(value) else value))
+            for asks, at, value in zip(batch["asks"].tolist(), batch["at"].tolist(), batch["value"].tolist(), strict=True):
+                new[asks].add((at, value if isinstance(value, str) else None))
         yield from self._answered(key, new[True], new[False], timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        yield from self._answered(key, set(self.requests.get()), set(self.replies.get()), timerValues)
+        yield from self._answered(key, _held(self.requests), _held(self.replies), timerValues)
 
     def _answered(self, key, requests: set, replies: set, timer_values) -> Iterator[pd.DataFrame]:
         passed = timer_values.getCurrentWatermarkInMs() * 1000  # all rows from before this have come
-        told = [] if key[0] is None else sorted(replies, key=_order)
+        told = [] if key[0] is None else _ordered(replies)
         times = [at for at, _ in told]
         done, waiting, due, needed = [], [], [], set()
-        for at, value in sorted(requests, key=_order):
+        for at, value in _ordered(requests):
             last = at + self.within
             first = bisect_left(times, at)
             reply = told[first] if first < len(told) and times[first] <= last else None
@@ -62,7 +80,7 @@ class Pending(StatefulProcessor):
         # what a waiting request would take now, and what may be the reply to one that waits or comes yet
         kept = [r for r in told if r[0] >= passed or r in needed]
         for state, held in ((self.requests, waiting), (self.replies, kept)):
-            state.put(held) if held else state.clear()
+            state.put(_chunks(held)) if held else state.clear()
         if due:
             self.handle.registerTimer(min(due))
         if done:
