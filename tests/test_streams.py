@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -388,3 +389,44 @@ def test_many_waiting_requests_are_few_rows_of_state():
     assert out["at"].tolist() == sorted(at) and out["value"].tolist()[:3] == [None, "r0", "r1"]
     assert [i for i, r in zip(out["at"], out["reply"], strict=True) if r == "told"] == list(range(1_000_000, 2_001_000, 1000))
     assert not pending.requests.rows and not pending.replies.rows
+
+
+def test_keys_of_a_slot_share_a_call():
+    """Two micro-batches of 40 keys, one of them null: one table each, a read and a write of state per key, values as key by key."""
+    from txrisk.streaming.keyed import LastRows
+    from txrisk.streaming.rolling import frame_values
+
+    class State(dict):
+        reads = writes = 0
+
+        def getValue(self, key):  # noqa: N802
+            self.reads += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):  # noqa: N802
+            self.writes += 1
+            self[key] = value
+
+    class Handle:
+        def getMapState(self, *_):  # noqa: N802
+            return State()
+
+    rows = [(i * 37 % 200, i, f"k{i % 40}" if i % 40 else None, float("nan") if i % 9 == 0 else i * 0.1, False) for i in range(200)]
+    first, second = (pd.DataFrame(part, columns=["at_micros", "transaction_id", "state_key", "tx_amount", "late"]) for part in (
+        [r for r in rows if r[0] < 100], [r for r in rows if r[0] >= 100] + [(0, 900, "k1", 1.0, False), (199, 901, "new", 1.0, True)]))
+    processor = LastRows({1: ("count_1", "mean_1"), 3: ("count_3", None)}, ["transaction_id", "late", "count_1", "mean_1", "count_3"], None)
+    processor.init(Handle())
+    out = []
+    for part in (first, second):
+        part["state_id"] = part["transaction_id"]
+        (made,) = processor.handleInputRows((5,), iter([part.iloc[::2], part.iloc[1::2]]), None)
+        out.append(made)
+    out = pd.concat(out).set_index("transaction_id")
+    assert processor.last.reads == first["state_key"].nunique(dropna=False) + second["state_key"].nunique(dropna=False)
+    assert processor.last.writes <= processor.last.reads and max(len(v[0]) for v in processor.last.values()) == 3
+    assert out.loc[[900, 901], "late"].all() and out["late"].sum() == 2 and out.loc[[900, 901]].drop(columns="late").isna().all(axis=None)
+    for key in {r[2] for r in rows}:
+        own = sorted(r for r in rows if r[2] == key)
+        for n, names in {1: ["count_1", "mean_1"], 3: ["count_3"]}.items():
+            for name, want in zip(names, frame_values([], np.array([r[3] for r in own]), n), strict=False):
+                assert out.loc[[r[1] for r in own], name].tolist() == pytest.approx(want.tolist(), nan_ok=True, abs=0)

@@ -15,13 +15,20 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from txrisk.functions import epoch_micros
 from txrisk.operators.features import AMOUNT, CUSTOMER, CUSTOMER_COUNT, CUSTOMER_MEAN, ID, TERMINAL, TERMINAL_COUNT, TIME
 from txrisk.schema import FRAMES
-from txrisk.streaming.rolling import frame_values
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: keys are dealt to so many groups of state; a checkpoint holds for one number of them
+SLOTS = 1024
+KEY = T.StructType([T.StructField("key", T.StringType())])
+#: the last rows of a key are one row of state, in order of time and id
 LAST = T.StructType(
-    [T.StructField("at", T.LongType()), T.StructField("id", T.LongType()), T.StructField("amount", T.DoubleType())]
+    [
+        T.StructField("at", T.ArrayType(T.LongType())),
+        T.StructField("id", T.ArrayType(T.LongType())),
+        T.StructField("amount", T.ArrayType(T.DoubleType())),
+    ]
 )
 
 
@@ -36,35 +43,70 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def frames_of_keys(amounts: np.ndarray, depth: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``frame_values`` for the rows of several keys, one key after the other; ``depth`` rows of its own key come before a row."""
+    m = len(amounts)
+    priced = ~np.isnan(amounts)
+    filled = np.where(priced, amounts, 0.0)
+    sums, held = np.zeros(m), np.zeros(m)
+    for back in range(min(n, max(m - 1, 0)), -1, -1):
+        inside = depth[back:] >= back
+        sums[back:] += np.where(inside, filled[: m - back], 0.0)
+        held[back:] += inside & priced[: m - back]
+    with np.errstate(invalid="ignore"):
+        return np.minimum(depth + 1, n + 1), sums / held
+
+
 class LastRows(StatefulProcessor):
-    """Keeps the last rows of a key as list state, and gives each new row the statistics of its frames."""
+    """Keeps the last rows of each key of a slot as map state, and gives each new row the statistics of its frames.
+
+    A slot's keys share one table and one call per micro-batch; a key costs one read and one write of its state.
+    """
 
-    def __init__(self, names: dict[int, tuple[str, str | None]], columns: list[str], flag: str, ttl_ms: int | None):
-        self.names, self.columns, self.flag, self.ttl_ms = names, columns, flag, ttl_ms
+    def __init__(self, names: dict[int, tuple[str, str | None]], columns: list[str], ttl_ms: int | None):
+        self.names, self.columns, self.ttl_ms = names, columns, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getListState("last", LAST, self.ttl_ms)
+        self.last = handle.getMapState("last", KEY, LAST, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        held = sorted(self.last.get())
         new = pd.concat(list(rows), ignore_index=True)
-        order = new.sort_values(["at_micros", ID], kind="stable")
-        newest = held[-1][:2] if held else (np.iinfo(np.int64).min, np.iinfo(np.int64).min)
-        at, ids = order["at_micros"].to_numpy(np.int64), order[ID].to_numpy(np.int64)
+        codes, found = pd.factorize(new["state_key"], use_na_sentinel=False)
+        keys = [(k if isinstance(k, str) else None,) for k in found]
+        order = np.lexsort((new["state_id"].to_numpy(np.int64), new["at_micros"].to_numpy(np.int64), codes))
+        new, codes = new.iloc[order].reset_index(drop=True), codes[order]
+        at, ids = new["at_micros"].to_numpy(np.int64), new["state_id"].to_numpy(np.int64)
+        held = [self.last.getValue(k) or ([], [], []) for k in keys]
+        least = np.iinfo(np.int64).min
+        newest = np.array([(h[0][-1], h[1][-1]) if len(h[0]) else (least, least) for h in held], np.int64)
+        newest_at, newest_id = newest[codes].T
         # of rows that are late for another key already, nothing is worked out either
-        late = (at < newest[0]) | ((at == newest[0]) & (ids <= newest[1])) | order["late"].to_numpy(bool)
-        order = order.assign(late=late)
-        kept = order[~late]
-        amounts = kept[AMOUNT].to_numpy(float)
+        late = (at < newest_at) | ((at == newest_at) & (ids <= newest_id) & (newest_at > least)) | new["late"].to_numpy(bool)
+        kept = np.flatnonzero(~late)
+        # what is held for a key, then its new rows, one key after the other
+        owner = np.concatenate([np.repeat(np.arange(len(keys)), [len(h[0]) for h in held]), codes[kept]])
+        before = len(owner) - len(kept)
+        turn = np.argsort(owner, kind="stable")
+        owner = owner[turn]
+
+        def joined(part: int, fresh: np.ndarray) -> np.ndarray:
+            return np.concatenate([*(np.asarray(h[part], fresh.dtype) for h in held), fresh])[turn]
+
+        at, ids, amounts = joined(0, at[kept]), joined(1, ids[kept]), joined(2, new[AMOUNT].to_numpy(float)[kept])
+        begin, end = np.searchsorted(owner, np.arange(len(keys))), np.searchsorted(owner, np.arange(len(keys)), "right")
+        depth = np.arange(len(owner)) - begin[owner]
+        fresh = turn >= before
+        columns = {"late": late}
         for n, (count, mean) in self.names.items():
-            counts, means = frame_values([x for _, _, x in held], amounts, n)
-            order[count] = pd.Series(counts.astype("float32"), index=kept.index).reindex(order.index)
-            if mean:
-                order[mean] = pd.Series(means, index=kept.index).reindex(order.index)
-        if len(kept):
-            fresh = [(int(a), int(i), float(x)) for a, i, x in zip(kept["at_micros"], kept[ID], amounts, strict=True)]
-            self.last.put([*held, *fresh][-max(self.names) :])
-        yield order[self.columns]
+            for name, values in zip((count, mean), frames_of_keys(amounts, depth, n), strict=True):
+                if name:
+                    columns[name] = np.full(len(new), np.nan)
+                    columns[name][kept[turn[fresh] - before]] = values[fresh]
+            columns[count] = columns[count].astype("float32")
+        for k in np.unique(codes[kept]):
+            last = slice(max(begin[k], end[k] - max(self.names)), end[k])
+            self.last.updateValue(keys[k], (at[last].tolist(), ids[last].tolist(), amounts[last].tolist()))
+        yield new.assign(**columns)[self.columns]
 
     def close(self) -> None:
         pass
@@ -76,15 +118,18 @@ def _rolled(rows: DataFrame, key: str, names: dict[int, tuple[str, str | None]],
         fields.append(T.StructField(count, T.FloatType()))
         fields += [T.StructField(mean, T.DoubleType())] if mean else []
     out = T.StructType(fields)
-    processor = LastRows(names, out.names, "late", ttl_ms)
+    processor = LastRows(names, out.names, ttl_ms)
     mode = "ProcessingTime" if ttl_ms else "None"
-    return rows.groupBy(key).transformWithStateInPandas(processor, out, "Append", mode)
+    slotted = rows.withColumns(
+        {"state_slot": F.pmod(F.xxhash64(key), F.lit(SLOTS)), "state_key": F.col(key).cast("string"), "state_id": F.coalesce(ID, F.lit(-(2**63)))}
+    )
+    return slotted.groupBy("state_slot").transformWithStateInPandas(processor, out, "Append", mode)
 
 
 def with_rolling_features(source: DataFrame, frames: Sequence[int] = FRAMES, ttl_ms: int | None = None) -> DataFrame:
     """``source`` with all its columns, the rolling features of customer and terminal, and ``late``."""
     taken = {c.lower() for c in source.columns}
-    clash = taken & {"at_micros", "late"}
+    clash = taken & {"at_micros", "late", "state_slot", "state_key", "state_id"}
     if clash:
         raise ValueError(f"columns of these names are added: {sorted(clash)}")
     rows = source.withColumns({"at_micros": F.coalesce(epoch_micros(TIME), F.lit(-(2**61))), "late": F.lit(False)})
@@ -109,7 +154,8 @@ def rolling_features_state(
     customer's or terminal's in an earlier micro-batch (or is that row again) is ``late``: it has no features for
     the key it is late for, nor for the terminal if it is late for its customer, and counts in no later frame of these.
 
-    The rows of one key in one micro-batch are worked through in one task; the source's limit on the size of a
+    Keys are dealt to ``SLOTS`` groups by a hash, so a micro-batch costs so many calls at most and, for each of its keys, one
+    read and one write of state.  The rows of a group in one micro-batch are worked through in one task; the source's limit on the size of a
     micro-batch bounds them.  ``rolling_features_batches`` is the form that cuts hot keys.
     """
     with setting(source.sparkSession, PROVIDER, ROCKSDB):
