@@ -14,7 +14,7 @@ import brute  # noqa: E402
 
 pytest.importorskip("txrisk.llm")
 
-from txrisk.llm import jaccard, spelling, whitening  # noqa: E402
+from txrisk.llm import common, jaccard, neardup, spelling, whitening  # noqa: E402
 
 SCHEMA = "doc_id long, text string, `a.b` string, key string, item long, component long"
 
@@ -170,3 +170,22 @@ def test_words_of_texts(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert spelling.variants(spelling.vocabulary(spelling.words(empty))).count() == 0
     assert spelling.vocabulary(spelling.words(docs), 2, 1).where(F.col("n") != 1).count() == 0
+
+
+def test_pairs_that_bits_rule_out_are_not_formed(spark):
+    """100 sets of 100 items with one early item in common: only those with nearly the same bits meet."""
+    full = (1 << 63) - 1
+    rows = [(i, 100, i, 7, 0, True, *[(full if k == i % 4 else 0) ^ (i % 3 == 0) for k in range(4)]) for i in range(100)]
+    entries = spark.createDataFrame(rows, "id long, n long, component long, item long, place long, early boolean, f0 long, f1 long, f2 long, f3 long")
+    found = {(r.lo, r.hi) for r in neardup.meetings(entries, 80).collect()}
+    assert found == {(a, b) for a in range(100) for b in range(a + 1, 100) if a % 4 == b % 4}
+
+
+def test_only_rows_that_may_be_wanted_are_left(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"t{i}") for i in [*range(5000), None]], "id long, filter_word string")
+    wanted = spark.createDataFrame([(i,) for i in [*range(0, 5000, 250), None, None, 9999]], "who long")
+    left = [r.id for r in common.only(rows, "id", wanted, "who").collect()]
+    assert {*range(0, 5000, 250), None} <= set(left) and len(left) == len(set(left)) < 100
+    assert common.only(rows, "id", wanted.limit(0), "who").isEmpty()
+    monkeypatch.setattr(common, "FILTER_WORDS", 1)
+    assert {*range(0, 5000, 250), None} <= {r.id for r in common.only(rows, "id", wanted, "who").collect()}

@@ -16,6 +16,9 @@ BATCH_BYTES = 16 * 1024 * 1024
 #: how often a task writes out what it has gathered
 FLUSH_ROWS = 2048
 
+#: words of 64 bits, at most, that tell which ids are wanted
+FILTER_WORDS = 1 << 19
+
 
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches of this session by rows and bytes."""
@@ -68,6 +71,24 @@ def ddl(schema: pa.Schema) -> str:
     return ", ".join(f"`{f.name}` {one(f.type)}" for f in schema)
 
 
+def only(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
+    """Rows whose ``key`` is among the values ``name`` of ``wanted`` (a null is a value), with some others.
+
+    One bit of a hash per wanted value goes to all tasks in a table of bounded size, so rows that no join can need, such as long texts, are not
+    shuffled; where more values are wanted than there are bits, all rows pass.  A join by the value itself must follow.
+    """
+
+    def place(column: str):
+        return F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
+
+    word, bits = free_name(rows, "filter_word"), free_name(rows, "filter_bits")
+    at = wanted.select(place(name).alias("at"))
+    one = F.expr("shiftleft(1L, cast(at % 64 as int))")
+    words = at.groupBy(F.shiftright("at", 6).alias(word)).agg(F.bit_or(one).alias(bits))
+    held = rows.withColumn(word, F.shiftright(place(key), 6)).join(F.broadcast(words), word)
+    return held.where(F.getbit(F.col(bits), (place(key) % 64).cast("int")) == 1).select(*[rows[f"`{c}`"] for c in rows.columns])
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

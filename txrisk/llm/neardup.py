@@ -25,15 +25,16 @@ each id that is kept.  An empty table gives an empty result; other columns are n
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import partial, reduce
+from operator import add
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import batches_of, ddl, rows_of, small_batches, texts
+from txrisk.llm.common import batches_of, ddl, only, rows_of, small_batches, texts
 from txrisk.llm.components import components
 from txrisk.llm.shingles import MinHash, common, mixed, set_digest, shingle_set
 from txrisk.session import settle
@@ -44,6 +45,8 @@ PAIRS_PER_TASK = 256
 STARS = 3
 #: a set is summed up in ``2**BITS`` bits: whether an odd number of its items begin with each
 BITS = 10
+#: the same folded to so many words, that go with a set to where it meets others
+SHORT = ("f0", "f1", "f2", "f3")
 
 
 class Params(NamedTuple):
@@ -128,9 +131,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sets = sets.select("id", "items")
     slices = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).alias("slices"))
     sliced = pairs.join(slices, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("slices")).alias("slice"))
-    right = sliced.join(sets.withColumnRenamed("id", "b"), "b").select("a", "slice", "b", "items")
+    # few sets are left in later rounds, so the others are not shuffled
+    right = sliced.join(only(sets, "id", pairs, "b").withColumnRenamed("id", "b"), "b").select("a", "slice", "b", "items")
     left = (
-        slices.join(sets.withColumnRenamed("id", "a"), "a")
+        slices.join(only(sets, "id", pairs, "a").withColumnRenamed("id", "a"), "a")
         .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.lit(None).cast("long").alias("b"), "items")
     )
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -168,7 +172,7 @@ def candidates(open_: DataFrame, percent: int) -> DataFrame:
     entries = settle(entries.withColumn("early", early), "prefixes")
     apart = entries.groupBy("item").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("early").alias("any"))
     entries = settle(entries.join(apart.where("lo <> hi and any").select("item"), "item", "left_semi"), "prefixes")
-    return meetings(entries, percent)
+    return meetings(entries.join(open_.select("id", *SHORT), "id"), percent)
 
 
 def meetings(entries: DataFrame, percent: int) -> DataFrame:
@@ -176,22 +180,40 @@ def meetings(entries: DataFrame, percent: int) -> DataFrame:
 
     Components meet before their members do.  What the other component has at best (its least and largest
     size, and the most that is left behind the item) already leaves out the members that can be
-    alike enough to none of it, so a large component gives rows to a small one only where they are of use.
+    alike enough to none of it, so a large component gives rows to a small one only where they are of use.  Components, members and pairs
+    are held against each other by their bits too (of a component, those that all or none of its members have), so pairs that differ in too many are not formed.
     """
-    y = entries.select("item", F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), (F.col("n") - F.col("place")).alias("ly"))
-    x = entries.where("early").select("item", F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), (F.col("n") - F.col("place")).alias("lx"))
+    y = entries.select("item", F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), (F.col("n") - F.col("place")).alias("ly"), *[F.col(f).alias(f"{f}y") for f in SHORT])
+    x = entries.where("early").select("item", F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), (F.col("n") - F.col("place")).alias("lx"), *SHORT)
 
     def may(left, size):
         return (100 + percent) * left >= percent * size
 
-    tops = y.groupBy("item", "cy").agg(F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"))
-    own = x.groupBy("item", "cx").agg(F.min("nx").alias("own_least"), F.max("lx").alias("own_top"))
+    def few(differ: list[Column], size: Column) -> Column:
+        """Whether so few bits differ that the sets may be alike enough."""
+        return (100 + percent) * reduce(add, [F.bit_count(d) for d in differ]) <= (100 - percent) * size
+
+    def sure(all_: str, any_: str) -> list[Column]:
+        """Bits that every member has, or none has, here and not there."""
+        here = [F.col(f"{f}{all_}").bitwiseAND(F.bitwise_not(F.col(f"{f}any"))) for f in SHORT]
+        there = [F.col(f"{f}all").bitwiseAND(F.bitwise_not(F.col(f"{f}{any_}"))) for f in SHORT]
+        return [h.bitwiseOR(t) for h, t in zip(here, there, strict=True)]
+
+    def bits_of(x: str, all_: str, any_: str) -> list[Column]:
+        return [F.bit_and(f"{f}{x}").alias(f"{f}{all_}") for f in SHORT] + [F.bit_or(f"{f}{x}").alias(f"{f}{any_}") for f in SHORT]
+
+    tops = y.groupBy("item", "cy").agg(F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"), *bits_of("y", "all", "any"))
+    own = x.groupBy("item", "cx").agg(F.min("nx").alias("own_least"), F.max("nx").alias("own_most"), F.max("lx").alias("own_top"), *bits_of("", "own_all", "own_any"))
     met = own.join(tops, "item").where((F.col("cx") != F.col("cy")) & (F.col("own_least") <= F.col("most")))
-    met = met.where(may(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least"))).drop("own_least", "own_top")
-    near = met.join(x, ["item", "cx"]).where((F.col("nx") <= F.col("most")) & may(F.least("lx", "top"), F.col("nx") + F.greatest("nx", "least")))
-    near = near.select("item", "cy", "ix", "nx", "lx")
+    met = met.where(may(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least")))
+    met = met.where(few(sure("own_all", "own_any"), F.col("own_most") + F.col("most")))
+    met = met.drop("own_least", "own_most", "own_top", *[f"{f}own_{k}" for f in SHORT for k in ("all", "any")])
+    near = met.join(x, ["item", "cx"]).where((F.col("nx") <= F.col("most")) & may(F.least("lx", "top"), F.col("nx") + F.greatest("nx", "least")) & few(sure("", ""), F.col("nx") + F.col("most")))
+    near = near.select("item", "cy", "ix", "nx", "lx", *SHORT)
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
-    found = near.join(y, ["item", "cy"]).where(smaller & may(F.least("lx", "ly"), F.col("nx") + F.col("ny")))
+    alike = (100 * F.col("nx") >= percent * F.col("ny")) & may(F.least("lx", "ly"), F.col("nx") + F.col("ny"))
+    alike = alike & few([F.col(f).bitwiseXOR(F.col(f"{f}y")) for f in SHORT], F.col("nx") + F.col("ny"))
+    found = near.join(y, ["item", "cy"]).where(smaller & alike)
     return found.select(F.least("ix", "iy").alias("lo"), F.greatest("ix", "iy").alias("hi")).distinct()
 
 
@@ -210,21 +232,22 @@ def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataF
     grouped = sketches.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     # sets, not documents, are linked, as rows may share an id; a written table keeps the numbers its rows were given
     classes = settle(grouped.withColumn("id", F.monotonically_increasing_id()), "classes")
-    # one order of all ids: the member of a bucket that comes first is compared with the others
-    entries = classes.select(F.explode("keys").alias("key"), F.xxhash64("id").alias("turn"), "id", "n")
-    buckets = entries.groupBy("key").agg(
-        F.min(F.struct("turn", "id", "n")).alias("first"), F.count(F.lit(1)).alias("members")
-    ).where("members > 1")
-    members = settle(entries.drop("turn").join(buckets.drop("members"), "key"), "members")
+    entries = classes.select(F.explode("keys").alias("key"), "id", "n")
+    buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
+    # most keys have one member, so those are left behind before anything else is worked out
+    members = settle(entries.join(buckets, "key", "left_semi"), "members")
     named = classes.select("id", "h1", "h2", "least_id").join(members.select("id").distinct(), "id", "left_semi")
     named = settle(named, "named")
-    rows = plain.join(named, plain["doc_id"].eqNullSafe(named["least_id"]), "left_semi").mapInArrow(partial(_sets, p=p), ddl(SETS))
+    near = only(plain, "doc_id", named, "least_id")
+    rows = near.join(named, near["doc_id"].eqNullSafe(named["least_id"]), "left_semi").mapInArrow(partial(_sets, p=p), ddl(SETS))
     sets = settle(rows.dropDuplicates(["h1", "h2"]).join(named.select("h1", "h2", "id"), ["h1", "h2"]).select("id", "size", "bits", "items"), "sets")
 
     def alike(x: str, y: str):
         return 100 * F.least(x, y) >= p.percent * F.greatest(x, y)
 
-    stars = members.where(F.col("id") != F.col("first.id")).where(alike("n", "first.n"))
+    # one order of all ids: the member of a bucket that comes first is compared with the others
+    firsts = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("turn"), "id", "n")).alias("first"))
+    stars = members.join(firsts, "key").where(F.col("id") != F.col("first.id")).where(alike("n", "first.n"))
     stars = settle(stars.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     links = settle(confirm(stars, sets, p.percent), "links")
     labels = components(links)
@@ -242,8 +265,11 @@ def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataF
         if not found.isEmpty():
             labels = components(links)
 
-    open_ = still_open(members, labels).select("id", "n", "component").distinct()
-    rest = candidates(settle(open_.join(sets.select("id", "items"), "id"), "open"), p.percent)
+    open_ = settle(still_open(members, labels).select("id", "n", "component").distinct(), "open")
+    words = len(SHORT)
+    short = [reduce(Column.bitwiseXOR, [F.col("bits")[k] for k in range(i, 2**BITS // 64, words)]).alias(f) for i, f in enumerate(SHORT)]
+    listed = open_.join(only(sets, "id", open_, "id").select("id", "items", *short), "id")
+    rest = candidates(settle(listed, "open"), p.percent)
     tried = stars.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
     rest = settle(rest.join(tried, ["lo", "hi"], "left_anti").select(F.col("lo").alias("a"), F.col("hi").alias("b")), "pairs")
     if not rest.isEmpty():
