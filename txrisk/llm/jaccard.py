@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import batches_of, ddl, rows_of, small_batches, texts
+from txrisk.llm.common import batches_of, ddl, only, rows_of, small_batches, texts
 from txrisk.llm.components import components
 from txrisk.llm.shingles import common, set_digest, shingle_set
 from txrisk.session import new_path, remove, settle
@@ -139,7 +139,8 @@ def _sets(batches: Iterable, words: int) -> Iterator[pa.RecordBatch]:
 def sets_of(ids: DataFrame, classes: DataFrame, plain: DataFrame, words: int) -> DataFrame:
     """``(id, items)`` of some classes, from the texts of their smallest document id."""
     wanted = settle(classes.join(ids, "id", "left_semi").select("id", "h1", "h2", "least_id"), "wanted")
-    rows = plain.join(wanted, plain["doc_id"].eqNullSafe(wanted["least_id"]), "left_semi")
+    near = only(plain, "doc_id", wanted, "least_id")
+    rows = near.join(wanted, near["doc_id"].eqNullSafe(wanted["least_id"]), "left_semi")
     found = rows.mapInArrow(partial(_sets, words=words), ddl(SETS)).join(wanted.select("h1", "h2", "id"), ["h1", "h2"])
     return settle(found.select("id", "items").dropDuplicates(["id"]), "sets")
 
