@@ -189,3 +189,28 @@ def test_only_rows_that_may_be_wanted_are_left(spark, monkeypatch):
     assert common.only(rows, "id", wanted.limit(0), "who").isEmpty()
     monkeypatch.setattr(common, "FILTER_WORDS", 1)
     assert {*range(0, 5000, 250), None} <= {r.id for r in common.only(rows, "id", wanted, "who").collect()}
+
+
+def joins_of(df):
+    """The joins of the optimized plan, outermost first."""
+    return [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+
+
+def test_wanted_rows_are_picked_before_a_semi_join(spark):
+    """The bits must be looked at first, whatever join by the value follows, or all rows are shuffled for that join."""
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(500)], "id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in range(0, 500, 50)], "id long")
+    left = common.only(rows, "id", wanted, "id").join(wanted, "id", "left_semi")
+    assert sorted(r.id for r in left.collect()) == list(range(0, 500, 50))
+    assert ["getbit" in line for line in joins_of(left)] == [False, True]
+
+
+def test_sets_are_found_without_a_shuffle_of_texts(spark):
+    docs = spark.createDataFrame([(i, f"a b c d{i % 30}") for i in range(60)] + [(None, "x y")], "doc_id long, text string")
+    p = neardup.Params(words=2)
+    sketches = [(neardup.set_digest(neardup.shingle_set(t, 2)), i) for i, t in [(3, "a b c d3"), (7, "a b c d7"), (None, "x y")]]
+    named = spark.createDataFrame([(n, *h, i) for n, (h, i) in enumerate(sketches)], "id long, h1 long, h2 long, least_id long")
+    sets = neardup.sets_of(docs, named, p)
+    assert sorted((r.id, r.size) for r in sets.collect()) == [(0, 3), (1, 3), (2, 1)]
+    shuffles = [line for line in sets._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("doc_id" in line or "least_id" in line for line in shuffles)

@@ -75,7 +75,8 @@ def only(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
     """Rows whose ``key`` is among the values ``name`` of ``wanted`` (a null is a value), with some others.
 
     One bit of a hash per wanted value goes to all tasks in a table of bounded size, so rows that no join can need, such as long texts, are not
-    shuffled; where more values are wanted than there are bits, all rows pass.  A join by the value itself must follow.
+    shuffled; where more values are wanted than there are bits, all rows pass.  A join by the value itself, or by what is worked out from the row, must follow.
+    A semi join is not moved below another one, so this stays before whatever follows.
     """
 
     def place(column: str):
@@ -85,8 +86,8 @@ def only(rows: DataFrame, key: str, wanted: DataFrame, name: str) -> DataFrame:
     at = wanted.select(place(name).alias("at"))
     one = F.expr("shiftleft(1L, cast(at % 64 as int))")
     words = at.groupBy(F.shiftright("at", 6).alias(word)).agg(F.bit_or(one).alias(bits))
-    held = rows.withColumn(word, F.shiftright(place(key), 6)).join(F.broadcast(words), word)
-    return held.where(F.getbit(F.col(bits), (place(key) % 64).cast("int")) == 1).select(*[rows[f"`{c}`"] for c in rows.columns])
+    held = F.getbit(F.col(bits), (place(key) % 64).cast("int")) == 1
+    return rows.join(F.broadcast(words), (F.shiftright(place(key), 6) == F.col(word)) & held, "left_semi")
 
 
 def free_name(df: DataFrame, name: str) -> str:

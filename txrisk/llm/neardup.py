@@ -224,6 +224,15 @@ def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(keys, "key", "left_semi").select("key", "id", "n", "component")
 
 
+def sets_of(plain: DataFrame, named: DataFrame, p: Params) -> DataFrame:
+    """``(id, size, bits, items)`` of the classes ``named``.
+
+    Texts are not shuffled: those that may have one of the least ids are made into sets where they are, and the sets are found by their digests.
+    """
+    rows = only(plain, "doc_id", named, "least_id").mapInArrow(partial(_sets, p=p), ddl(SETS))
+    return rows.dropDuplicates(["h1", "h2"]).join(named.select("h1", "h2", "id"), ["h1", "h2"]).select("id", "size", "bits", "items")
+
+
 def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """Sketches of all rows, and ``(h1, h2, component_id)`` of each distinct set."""
     small_batches(docs.sparkSession)
@@ -238,9 +247,7 @@ def classes_and_components(docs: DataFrame, p: Params) -> tuple[DataFrame, DataF
     members = settle(entries.join(buckets, "key", "left_semi"), "members")
     named = classes.select("id", "h1", "h2", "least_id").join(members.select("id").distinct(), "id", "left_semi")
     named = settle(named, "named")
-    near = only(plain, "doc_id", named, "least_id")
-    rows = near.join(named, near["doc_id"].eqNullSafe(named["least_id"]), "left_semi").mapInArrow(partial(_sets, p=p), ddl(SETS))
-    sets = settle(rows.dropDuplicates(["h1", "h2"]).join(named.select("h1", "h2", "id"), ["h1", "h2"]).select("id", "size", "bits", "items"), "sets")
+    sets = settle(sets_of(plain, named, p), "sets")
 
     def alike(x: str, y: str):
         return 100 * F.least(x, y) >= p.percent * F.greatest(x, y)
