@@ -15,6 +15,7 @@ import brute  # noqa: E402
 pytest.importorskip("txrisk.llm")
 
 from txrisk.llm import common, jaccard, neardup, spelling, whitening  # noqa: E402
+from txrisk.session import settle  # noqa: E402
 
 SCHEMA = "doc_id long, text string, `a.b` string, key string, item long, component long"
 
@@ -214,3 +215,30 @@ def test_sets_are_found_without_a_shuffle_of_texts(spark):
     assert sorted((r.id, r.size) for r in sets.collect()) == [(0, 3), (1, 3), (2, 1)]
     shuffles = [line for line in sets._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert not any("doc_id" in line or "least_id" in line for line in shuffles)
+
+
+def test_components_that_share_many_items_are_paired_once(spark, monkeypatch):
+    """Two components of three members that share 40 early items, and one that meets them on one item."""
+    ids = [(i, i // 3, item) for i in range(6) for item in range(40)] + [(i, 2, 0) for i in range(6, 26)]
+    entries = spark.createDataFrame([(i, 100, c, 5, item, 100, True) for i, c, item in ids], "id long, n long, component long, band int, item long, left long, early boolean")
+    classes = spark.createDataFrame([(i, 0, 0, 0, 0) for i in range(26)], "id long, f0 long, f1 long, f2 long, f3 long")
+    tables = {}
+
+    def kept(df, name):
+        tables[name] = settle(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(jaccard, "settle", kept)
+    found = sorted((r.a, r.b) for r in jaccard.meetings(entries, classes, 80).collect())
+    assert found == [(a, b) for a in range(26) for b in range(a + 1, 26) if min(a // 3, 2) != min(b // 3, 2)]
+    assert {(r.cx, r.cy) for r in tables["once"].collect()} >= {(0, 1), (1, 0)}
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_pairs_are_the_same_once_or_on_each_item(spark, first):
+    """A component too large to be paired at once with one it meets on a single item."""
+    rows = [(i, 100, 0, 5, 1000 + i if i else 0, 100, True) for i in range(30)] + [(40, 100, 1, 5, 0, 100, True)] + [(41, 100, 1, 5, 3 if first else 1001, 100, True)]
+    entries = spark.createDataFrame(rows, "id long, n long, component long, band int, item long, left long, early boolean")
+    classes = spark.createDataFrame([(i, 0, 0, 0, 0) for i in range(50)], "id long, f0 long, f1 long, f2 long, f3 long")
+    found = sorted((r.a, r.b) for r in jaccard.meetings(entries, classes, 80).collect())
+    assert found == [(0, 40)] + ([] if first else [(1, 41)])

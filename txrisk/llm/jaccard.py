@@ -137,12 +137,14 @@ def _sets(batches: Iterable, words: int) -> Iterator[pa.RecordBatch]:
 
 
 def sets_of(ids: DataFrame, classes: DataFrame, plain: DataFrame, words: int) -> DataFrame:
-    """``(id, items)`` of some classes, from the texts of their smallest document id."""
+    """``(id, items)`` of some classes, from the texts of their smallest document id.
+
+    Texts are not shuffled: those that may have one of these ids are made into sets where they are, and the sets are found by their digests.
+    """
     wanted = settle(classes.join(ids, "id", "left_semi").select("id", "h1", "h2", "least_id"), "wanted")
-    near = only(plain, "doc_id", wanted, "least_id")
-    rows = near.join(wanted, near["doc_id"].eqNullSafe(wanted["least_id"]), "left_semi")
-    found = rows.mapInArrow(partial(_sets, words=words), ddl(SETS)).join(wanted.select("h1", "h2", "id"), ["h1", "h2"])
-    return settle(found.select("id", "items").dropDuplicates(["id"]), "sets")
+    rows = only(plain, "doc_id", wanted, "least_id").mapInArrow(partial(_sets, words=words), ddl(SETS))
+    found = rows.dropDuplicates(["h1", "h2"]).join(wanted.select("h1", "h2", "id"), ["h1", "h2"])
+    return settle(found.select("id", "items"), "sets")
 
 
 def band_column(n: Column, percent: int) -> Column:
@@ -273,7 +275,8 @@ def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     The smaller set of a pair finds the other by an early item, in its own band or the next.  Components meet first, by
     what they have at best in the tile; then the members that can be alike enough to some member of the other, by sizes, by what
     is left and by their short signatures, so a pair that its bits rule out is not even formed.  Components too are held against each other by
-    the bits that all or none of their members have.  The members of a large component are cut into slices, so a tile that many sets share is spread over many tasks.
+    the bits that all or none of their members have.  Two components that meet in many tiles are paired once and not in each of them,
+    wherever all their pairs are no more than those in their tiles together.  The members of a large component are cut into slices, so a tile that many sets share is spread over many tasks.
     """
     entries = entries.join(classes.select("id", *SHORT), "id")
     y = entries.select("item", F.col("band").alias("tile"), F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), F.col("left").alias("ly"), *[F.col(f).alias(f"{f}y") for f in SHORT])
@@ -281,11 +284,11 @@ def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     x = entries.where("early").select("item", tiles, F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), F.col("left").alias("lx"), *SHORT)
     # bits that all members of a component have, and those that none has: where one has and the other has not, every two members differ
     tops = y.groupBy("item", "tile", "cy").agg(
-        F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"), F.ceil(F.count(F.lit(1)) / MEETS_PER_TASK).alias("slices"),
+        F.min("ny").alias("least"), F.max("ny").alias("most"), F.max("ly").alias("top"), F.count(F.lit(1)).alias("ky"), F.ceil(F.count(F.lit(1)) / MEETS_PER_TASK).alias("slices"),
         *[F.bit_and(f"{f}y").alias(f"{f}all") for f in SHORT], *[F.bit_or(f"{f}y").alias(f"{f}any") for f in SHORT],
     )
     own = x.groupBy("item", "tile", "cx").agg(
-        F.min("nx").alias("own_least"), F.max("nx").alias("own_most"), F.max("lx").alias("own_top"),
+        F.min("nx").alias("own_least"), F.max("nx").alias("own_most"), F.max("lx").alias("own_top"), F.count(F.lit(1)).alias("kx"),
         *[F.bit_and(f).alias(f"{f}own_all") for f in SHORT], *[F.bit_or(f).alias(f"{f}own_any") for f in SHORT],
     )
 
@@ -299,20 +302,37 @@ def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     met = own.join(tops, ["item", "tile"]).where((F.col("cx") != F.col("cy")) & (F.col("own_least") <= F.col("most")))
     met = met.where(may_overlap(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least"), percent))
     met = met.where(near_enough("own_all", "own_any", F.col("own_most") + F.col("most")))
-    met = met.drop("own_least", "own_most", "own_top", *[f"{f}own_{x}" for f in SHORT for x in ("all", "any")])
+    met = settle(met.drop("own_least", "own_most", "own_top", *[f"{f}own_{x}" for f in SHORT for x in ("all", "any")]), "met")
+    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
+    sizes = F.col("nx") + F.col("ny")
+    differ = reduce(add, [F.bit_count(F.col(f).bitwiseXOR(F.col(f"{f}y"))) for f in SHORT])
+    alike = smaller & (100 * F.col("nx") >= percent * F.col("ny")) & ((100 + percent) * (sizes - differ) >= 2 * percent * sizes)
+    each_slice = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice")
+    pair = [F.least("ix", "iy").alias("a"), F.greatest("ix", "iy").alias("b")]
+
+    # components that meet on many items meet once, member by member, if that is less than what their members would on each of these items
+    members = entries.select("component", "id", "n", *SHORT).distinct()
+    counts = members.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    times = met.groupBy("cx", "cy").agg(F.sum(F.col("kx") * F.col("ky")).alias("times"))
+    for end in ("cx", "cy"):
+        times = times.join(counts.select(F.col("component").alias(end), F.col("members").alias(f"of_{end}")), end)
+    once = times.where(F.col("of_cx") * F.col("of_cy") <= F.col("times"))
+    once = settle(once.select("cx", "cy", F.ceil(F.col("of_cy") / MEETS_PER_TASK).alias("slices")), "once")
+    left = members.select(F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), *SHORT)
+    left = once.join(left, "cx").select("cy", "ix", "nx", *SHORT, each_slice)
+    right = members.select(F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), *[F.col(f).alias(f"{f}y") for f in SHORT])
+    right = right.join(once.select("cy", "slices").distinct(), "cy").withColumn("slice", F.pmod(F.xxhash64("iy"), F.col("slices")))
+    at_once = left.join(right, ["cy", "slice"]).where(alike).select(*pair)
+
+    met = met.drop("kx", "ky").join(once.select("cx", "cy"), ["cx", "cy"], "left_anti")
     wanted = (F.col("nx") <= F.col("most")) & may_overlap(F.least("lx", "top"), F.col("nx") + F.greatest("nx", "least"), percent)
     wanted = wanted & near_enough("", "", F.col("nx") + F.col("most"))
     near = met.join(x, ["item", "tile", "cx"]).where(wanted)
-    near = near.select("item", "tile", "cy", "ix", "nx", "lx", *SHORT, F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
-    sliced = y.join(tops.select("item", "tile", "cy", "slices"), ["item", "tile", "cy"])
+    near = near.select("item", "tile", "cy", "ix", "nx", "lx", *SHORT, each_slice)
+    sliced = y.join(met.select("item", "tile", "cy", "slices").distinct(), ["item", "tile", "cy"])
     sliced = sliced.select("item", "tile", "cy", "iy", "ny", "ly", *[f"{f}y" for f in SHORT], F.pmod(F.xxhash64("iy"), F.col("slices")).alias("slice"))
-    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
-    sizes = F.col("nx") + F.col("ny")
-    alike = (100 * F.col("nx") >= percent * F.col("ny")) & may_overlap(F.least("lx", "ly"), sizes, percent)
-    differ = reduce(add, [F.bit_count(F.col(f).bitwiseXOR(F.col(f"{f}y"))) for f in SHORT])
-    alike = alike & ((100 + percent) * (sizes - differ) >= 2 * percent * sizes)
-    found = near.join(sliced, ["item", "tile", "cy", "slice"]).where(smaller & alike)
-    return found.select(F.least("ix", "iy").alias("a"), F.greatest("ix", "iy").alias("b")).distinct()
+    on_items = near.join(sliced, ["item", "tile", "cy", "slice"]).where(alike & may_overlap(F.least("lx", "ly"), sizes, percent)).select(*pair)
+    return at_once.unionByName(on_items).distinct()
 
 
 # -- the join ---------------------------------------------------------------------------
@@ -335,7 +355,9 @@ def classes_and_components(docs: DataFrame, words: int, percent: int) -> tuple[D
     classes = settle(grouped.select("*", F.monotonically_increasing_id().alias("id"), band_column(F.col("n"), percent).alias("band")), "classes")
     remove(spark, wide)
     exploded = classes.select("id", F.posexplode("window").alias("place", "item"))
-    held = exploded.groupBy("item").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("item")
+    held = settle(exploded.groupBy("item").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("item"), "held")
+    # most items are in one window only, and their rows stay behind
+    exploded = only(exploded, "item", held, "item")
     sizes = classes.select("id", "n", "band", first_items(F.col("n"), percent).cast("long").alias("first"), F.size("window").alias("n_window"))
     shared = settle(exploded.join(held, "item", "left_semi").join(sizes, "id"), "shared")
     entries = shared.where("place < first").select("id", "n", "band", "item", (F.col("n") - F.col("place")).alias("left"))
