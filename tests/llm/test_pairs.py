@@ -242,3 +242,26 @@ def test_pairs_are_the_same_once_or_on_each_item(spark, first):
     classes = spark.createDataFrame([(i, 0, 0, 0, 0) for i in range(50)], "id long, f0 long, f1 long, f2 long, f3 long")
     found = sorted((r.a, r.b) for r in jaccard.meetings(entries, classes, 80).collect())
     assert found == [(0, 40)] + ([] if first else [(1, 41)])
+
+
+def test_a_large_component_is_not_made_for_each_it_meets(spark, monkeypatch):
+    """One component of 40 sets shares 60 items with each of 20 others, but each of these can be alike to one of its sets only."""
+    bits = [(1 << i) - 1 if i < 63 else -1 for i in range(64)]
+    sign = lambda i: [bits[(7 * i + k * i) % 64] ^ (0x5555 * i * (k + 1)) for k in range(4)]
+    ids = [(i, 0 if i < 40 else i) for i in range(60)]
+    rows = [(i, 30, c, 5, item, 30, True) for i, c in ids for item in range(60)]
+    entries = spark.createDataFrame(rows, "id long, n long, component long, band int, item long, left long, early boolean")
+    signs = {i: sign(i if i < 40 else i - 40) for i, _ in ids}
+    classes = spark.createDataFrame([(i, *f) for i, f in signs.items()], "id long, f0 long, f1 long, f2 long, f3 long")
+    differ = lambda a, b: sum(bin((x ^ y) & (1 << 64) - 1).count("1") for x, y in zip(signs[a], signs[b], strict=True))
+    near = [(a, b) for a, c in ids for b, d in ids if a < b and c != d and 20 * 60 >= 180 * differ(a, b)]
+    met, old = [], jaccard.callers
+
+    def counted(*args):
+        met.append(settle(old(*args), "callers"))
+        return met[-1]
+
+    monkeypatch.setattr(jaccard, "callers", counted)
+    found = sorted((r.a, r.b) for r in jaccard.meetings(entries, classes, 80).collect())
+    assert found == sorted(near) and {(i, i + 40) for i in range(20)} <= set(near)
+    assert met[0].where("cx = 0").count() == sum(a < 40 for a, _ in near) < 100  # 800 without the bounds

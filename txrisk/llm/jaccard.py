@@ -174,12 +174,14 @@ def _intersect(batches: Iterable, percent: int) -> Iterator[pa.RecordBatch]:
 
 
 def by_bits(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Those ``(a, b)`` whose bits allow a link."""
-    bits = classes.select("id", "n", "bits")
+    """Those ``(a, b)`` whose bits allow a link, by the short signatures first."""
+    names = ("n", *SHORT, "bits")
     for end in ("a", "b"):
-        pairs = pairs.join(bits.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}")), end)
+        pairs = pairs.join(classes.select(F.col("id").alias(end), *[F.col(x).alias(f"{x}_{end}") for x in names]), end)
     sizes = F.col("n_a") + F.col("n_b")
-    near = may_overlap((sizes - apart(F.col("bits_a"), F.col("bits_b"))) / 2, sizes, percent)
+    short = reduce(add, [F.bit_count(F.col(f"{f}_a").bitwiseXOR(F.col(f"{f}_b"))) for f in SHORT])
+    near = may_overlap((sizes - short) / 2, sizes, percent)
+    near = near & may_overlap((sizes - apart(F.col("bits_a"), F.col("bits_b"))) / 2, sizes, percent)
     return settle(pairs.where(near).select("a", "b"), "pairs")
 
 
@@ -269,6 +271,25 @@ def common_last(shared: DataFrame, open_ids: DataFrame, labels: DataFrame, sets,
     return settle(open_entries(settle(entries.select("*", early.alias("early")), "entries")), "entries")
 
 
+def near_enough(all_: str, any_: str, sizes: Column, percent: int) -> Column:
+    """Whether so many bits may differ, of what every member has, or no member has, here and there."""
+    here = [F.col(f"{f}{all_}").bitwiseAND(F.bitwise_not(F.col(f"{f}any"))) for f in SHORT]
+    there = [F.col(f"{f}all").bitwiseAND(F.bitwise_not(F.col(f"{f}{any_}"))) for f in SHORT]
+    differ = reduce(add, [F.bit_count(h.bitwiseOR(t)) for h, t in zip(here, there, strict=True)])
+    return (100 - percent) * sizes >= (100 + percent) * differ
+
+
+def callers(once: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``(cx, cy, slices, ix, nx)`` and bits: members of ``cx`` that may be alike enough to some member of ``cy``, by its sizes and by the bits that all or none of it have.
+
+    A large component that meets many others would be made anew for each of them without these bounds.
+    """
+    x = members.select(F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), *SHORT)
+    fits = (F.col("nx") <= F.col("most")) & (100 * F.col("nx") >= percent * F.col("least"))
+    fits = fits & near_enough("", "", F.col("nx") + F.col("most"), percent)
+    return once.join(x, "cx").where(fits).select("cx", "cy", "slices", "ix", "nx", *SHORT)
+
+
 def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of sets in different components that share a tile and may be alike enough.
 
@@ -278,7 +299,8 @@ def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     the bits that all or none of their members have.  Two components that meet in many tiles are paired once and not in each of them,
     wherever all their pairs are no more than those in their tiles together.  The members of a large component are cut into slices, so a tile that many sets share is spread over many tasks.
     """
-    entries = entries.join(classes.select("id", *SHORT), "id")
+    # read several times below, so the signatures are joined once
+    entries = settle(entries.join(classes.select("id", *SHORT), "id"), "signed")
     y = entries.select("item", F.col("band").alias("tile"), F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), F.col("left").alias("ly"), *[F.col(f).alias(f"{f}y") for f in SHORT])
     tiles = F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile")
     x = entries.where("early").select("item", tiles, F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), F.col("left").alias("lx"), *SHORT)
@@ -292,16 +314,9 @@ def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         *[F.bit_and(f).alias(f"{f}own_all") for f in SHORT], *[F.bit_or(f).alias(f"{f}own_any") for f in SHORT],
     )
 
-    def near_enough(all_: str, any_: str, sizes: Column) -> Column:
-        """Whether so many bits may differ, of what every member has, or no member has, here and there."""
-        here = [F.col(f"{f}{all_}").bitwiseAND(F.bitwise_not(F.col(f"{f}any"))) for f in SHORT]
-        there = [F.col(f"{f}all").bitwiseAND(F.bitwise_not(F.col(f"{f}{any_}"))) for f in SHORT]
-        differ = reduce(add, [F.bit_count(h.bitwiseOR(t)) for h, t in zip(here, there, strict=True)])
-        return (100 - percent) * sizes >= (100 + percent) * differ
-
     met = own.join(tops, ["item", "tile"]).where((F.col("cx") != F.col("cy")) & (F.col("own_least") <= F.col("most")))
     met = met.where(may_overlap(F.least("own_top", "top"), F.col("own_least") + F.greatest("own_least", "least"), percent))
-    met = met.where(near_enough("own_all", "own_any", F.col("own_most") + F.col("most")))
+    met = met.where(near_enough("own_all", "own_any", F.col("own_most") + F.col("most"), percent))
     met = settle(met.drop("own_least", "own_most", "own_top", *[f"{f}own_{x}" for f in SHORT for x in ("all", "any")]), "met")
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("ix") < F.col("iy")))
     sizes = F.col("nx") + F.col("ny")
@@ -313,20 +328,22 @@ def meetings(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     # components that meet on many items meet once, member by member, if that is less than what their members would on each of these items
     members = entries.select("component", "id", "n", *SHORT).distinct()
     counts = members.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    whole = members.groupBy(F.col("component").alias("cy")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), *[F.bit_and(f).alias(f"{f}all") for f in SHORT], *[F.bit_or(f).alias(f"{f}any") for f in SHORT]
+    )
     times = met.groupBy("cx", "cy").agg(F.sum(F.col("kx") * F.col("ky")).alias("times"))
     for end in ("cx", "cy"):
         times = times.join(counts.select(F.col("component").alias(end), F.col("members").alias(f"of_{end}")), end)
     once = times.where(F.col("of_cx") * F.col("of_cy") <= F.col("times"))
-    once = settle(once.select("cx", "cy", F.ceil(F.col("of_cy") / MEETS_PER_TASK).alias("slices")), "once")
-    left = members.select(F.col("component").alias("cx"), F.col("id").alias("ix"), F.col("n").alias("nx"), *SHORT)
-    left = once.join(left, "cx").select("cy", "ix", "nx", *SHORT, each_slice)
+    once = settle(once.select("cx", "cy", F.ceil(F.col("of_cy") / MEETS_PER_TASK).alias("slices")).join(whole, "cy"), "once")
+    left = callers(once, members, percent).select("cy", "ix", "nx", *SHORT, each_slice)
     right = members.select(F.col("component").alias("cy"), F.col("id").alias("iy"), F.col("n").alias("ny"), *[F.col(f).alias(f"{f}y") for f in SHORT])
     right = right.join(once.select("cy", "slices").distinct(), "cy").withColumn("slice", F.pmod(F.xxhash64("iy"), F.col("slices")))
     at_once = left.join(right, ["cy", "slice"]).where(alike).select(*pair)
 
     met = met.drop("kx", "ky").join(once.select("cx", "cy"), ["cx", "cy"], "left_anti")
     wanted = (F.col("nx") <= F.col("most")) & may_overlap(F.least("lx", "top"), F.col("nx") + F.greatest("nx", "least"), percent)
-    wanted = wanted & near_enough("", "", F.col("nx") + F.col("most"))
+    wanted = wanted & near_enough("", "", F.col("nx") + F.col("most"), percent)
     near = met.join(x, ["item", "tile", "cx"]).where(wanted)
     near = near.select("item", "tile", "cy", "ix", "nx", "lx", *SHORT, each_slice)
     sliced = y.join(met.select("item", "tile", "cy", "slices").distinct(), ["item", "tile", "cy"])
@@ -354,14 +371,14 @@ def classes_and_components(docs: DataFrame, words: int, percent: int) -> tuple[D
     # a written table keeps the numbers its rows were given
     classes = settle(grouped.select("*", F.monotonically_increasing_id().alias("id"), band_column(F.col("n"), percent).alias("band")), "classes")
     remove(spark, wide)
-    exploded = classes.select("id", F.posexplode("window").alias("place", "item"))
+    exploded = classes.select("id", "n", "band", F.size("window").alias("n_window"), F.posexplode("window").alias("place", "item"))
     held = settle(exploded.groupBy("item").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("item"), "held")
     # most items are in one window only, and their rows stay behind
     exploded = only(exploded, "item", held, "item")
-    sizes = classes.select("id", "n", "band", first_items(F.col("n"), percent).cast("long").alias("first"), F.size("window").alias("n_window"))
-    shared = settle(exploded.join(held, "item", "left_semi").join(sizes, "id"), "shared")
+    shared = settle(exploded.join(held, "item", "left_semi").withColumn("first", first_items(F.col("n"), percent).cast("long")), "shared")
     entries = shared.where("place < first").select("id", "n", "band", "item", (F.col("n") - F.col("place")).alias("left"))
-    entries = settle(open_entries(with_components(entries, None)), "entries")
+    # tiles of one component give no pairs; before there are links, few of these items are in such tiles
+    entries = with_components(entries, None)
 
     links = tried = labels = known = None
 
@@ -392,7 +409,9 @@ def classes_and_components(docs: DataFrame, words: int, percent: int) -> tuple[D
 
     for turn in range(STARS):
         if turn:
-            entries = settle(open_entries(with_components(entries, labels)), "entries")
+            # most tiles that close do so by the first links, and the last ones are left out below
+            labelled = with_components(entries, labels)
+            entries = settle(open_entries(labelled) if turn == 1 else labelled, "entries")
         if not test(star_pairs(entries, turn, percent)):
             break
     rest = open_entries(with_components(entries, labels)).select("id").distinct()
